@@ -114,12 +114,15 @@ def _rows_by_shuffle(
         .join(hits.withColumnRenamed(_HIT, _HOT_HIT), keys, "left")
         .select(*[quoted(k) for k in keys], F.lit(True).alias(_HOT), quoted(_HOT_HIT))
     )
-    # Rows whose fate is settled already get a spread value no stored key carries.
+    # Rows whose fate is settled already get a spread value no stored key carries. The
+    # other side's zero is computed from its key: a literal would be folded away, and
+    # the exchange would then go by the key alone.
     settled = quoted(_HOT).isNotNull() | _any_null(keys)
+    zero = F.pmod(F.hash(*[quoted(k) for k in keys]), F.lit(1))
     marked = (
         rows.join(F.broadcast(hot), keys, "left")
         .withColumn(_SPREAD, F.when(settled, 1 + F.spark_partition_id()).otherwise(0))
-        .join(hits.withColumn(_SPREAD, F.lit(0)), keys + [_SPREAD], "left")
+        .join(hits.withColumn(_SPREAD, zero), keys + [_SPREAD], "left")
     )
     hit = F.coalesce(quoted(_HIT), quoted(_HOT_HIT))
     keep = hit.isNotNull() | _any_null(keys) if present else hit.isNull()

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from matchlake.functions import nan_to_null, pct_of_total, quoted, result_label, round2
-from matchlake.schemas import GOAL_MEASURES, RESULT_ORDER, SIDE_MEASURES
+from matchlake.schemas import GOAL_MEASURES, RESULT_LABELS, RESULT_ORDER, SIDE_MEASURES
 from matchlake.session import pinned
 
 COUNT = "matches"
@@ -36,6 +36,13 @@ def _matches(weight: str | None, where: Column | None = None) -> Column:
     return F.coalesce(F.sum(each), F.lit(0).cast("long"))
 
 
+def _matches_by_result(column: str, weight: str | None) -> list[Column]:
+    """One count per result in display order, named by its label; codes are compared
+    as stored, so no label is looked up per row."""
+    code_of = {label: code for code, label in RESULT_LABELS.items()}
+    return [_matches(weight, quoted(column) == code_of[r]).alias(r) for r in RESULT_ORDER]
+
+
 def _weighted_sum(column: str, weight: str | None) -> Column:
     value = quoted(column) if weight is None else quoted(column) * quoted(weight)
     return F.coalesce(F.sum(value), F.lit(0).cast("long"))
@@ -137,11 +144,7 @@ def result_distribution(
     df: DataFrame, column: str = "match_winner", weight: str | None = None
 ) -> DataFrame:
     """Three rows in display order; the share is of all matches, unplayed ones included."""
-    label = result_label(quoted(column))
-    counts = df.agg(
-        _matches(weight).alias("total"),
-        *[_matches(weight, label == r).alias(r) for r in RESULT_ORDER],
-    )
+    counts = df.agg(_matches(weight).alias("total"), *_matches_by_result(column, weight))
     return _rows(
         counts,
         *[
@@ -163,11 +166,10 @@ def results_by_season(
     weight: str | None = None,
 ) -> DataFrame:
     """One row per season in ascending order, one column per result, zero-filled."""
-    label = result_label(quoted(column))
     return (
         df.filter(quoted(season).isNotNull())
         .groupBy(quoted(season))
-        .agg(*[_matches(weight, label == r).alias(r) for r in RESULT_ORDER])
+        .agg(*_matches_by_result(column, weight))
         .orderBy(quoted(season).asc())
     )
 
@@ -193,12 +195,14 @@ def goals_by_condition(df: DataFrame, weight: str | None = None) -> DataFrame:
 def _frequencies(
     df: DataFrame, measures: Mapping[str, str], weight: str | None
 ) -> DataFrame:
-    """(category, value, matches) for several measures.
+    """(category, value, matches) for several measures, (value, matches) for one.
 
     The combinations are counted before they are unpivoted, so input rows are not
     multiplied by the number of measures.
     """
     names = list(measures.values())
+    if len(names) == 1:
+        return df.groupBy(quoted(names[0]).alias("value")).agg(_matches(weight).alias("n"))
     counts = df.groupBy(*[quoted(c) for c in names]).agg(_matches(weight).alias(COUNT))
     return (
         counts.select(
@@ -279,8 +283,14 @@ def goals_histogram(
     df: DataFrame, column: str = "total_goals", weight: str | None = None
 ) -> DataFrame:
     """Matches per whole number of goals from 0 to the maximum, empty bins kept."""
-    counts = df.groupBy(quoted(column).alias("goals")).agg(_matches(weight).alias("n"))
-    bins = counts.agg(F.max("goals").alias("top")).select(
+    counts = (
+        df.filter(quoted(column).isNotNull())
+        .groupBy(quoted(column).alias("goals"))
+        .agg(_matches(weight).alias("n"))
+    )
+    # Naming the count in the maximum keeps both uses of ``counts`` alike, so that the
+    # table is scanned once and the exchange is reused.
+    bins = counts.agg(F.max(F.when(F.col("n") > 0, F.col("goals"))).alias("top")).select(
         F.explode(F.when(F.col("top") >= 0, F.sequence(F.lit(0).cast("long"), "top"))).alias("goals")
     )
     return bins.join(counts, "goals", "left").select(

@@ -137,8 +137,8 @@ def merge_where(
 ) -> None:
     """``save_new`` for a condition over the aliases ``source`` and ``target``.
 
-    With ``target.event_date = source.event_date`` in the condition only the batch's
-    days of the table are read.
+    Prefer ``save_new`` where the condition is equality of keys: it measures the batch
+    and then need not shuffle the table.
     """
     spark = source.sparkSession
     if not table_exists(spark, path):
