@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -42,10 +44,12 @@ def split_documents(raw: DataFrame, data_field: str | None) -> Landing:
     """Records of the readable documents; the others with file, reason and text.
 
     A document Spark flags (invalid JSON, or a value that does not fit the declared
-    type) is rejected whole, so no record enters half read.
+    type, after which some content may still be there) is rejected whole, so no record
+    enters half read.
     """
     broken = quoted(CORRUPT).isNotNull()
     content = [c for c in raw.columns if c not in (CORRUPT, SOURCE_FILE)]
+    partly_read = reduce(or_, [quoted(c).isNotNull() for c in content])
     if data_field:
         records = raw.filter(~broken).select(F.inline(quoted(data_field)))
         missing = quoted(data_field).isNull()
@@ -54,7 +58,10 @@ def split_documents(raw: DataFrame, data_field: str | None) -> Landing:
         missing = F.lit(False)
     rejects = raw.filter(broken | missing).select(
         quoted(SOURCE_FILE).alias("source_file"),
-        F.when(broken, "invalid document").otherwise("no data field").alias("reason"),
+        F.when(broken & partly_read, "invalid value")
+        .when(broken, "invalid document")
+        .otherwise("no data field")
+        .alias("reason"),
         quoted(CORRUPT).alias("document"),
     )
     return Landing(records, rejects)
