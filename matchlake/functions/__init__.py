@@ -13,6 +13,7 @@ from matchlake.functions.numbers import (
     pct_of_total,
     quoted,
     round2,
+    ticked,
     whole_number,
 )
 from matchlake.functions.outcome import label_for, result_label, total_goals, winner
@@ -34,6 +35,7 @@ __all__ = [
     "result_label",
     "round2",
     "run_day",
+    "ticked",
     "total_goals",
     "utc_midnight",
     "whole_number",

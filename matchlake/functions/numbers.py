@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F, types as T
 
 
+def ticked(name: str) -> str:
+    """A column name, possibly with dots, as it is written in SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quoted(name: str) -> Column:
     """Reference a column whose name may hold dots."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(ticked(name))
 
 
 def nan_to_null(value: Column, dtype: T.DataType) -> Column:

@@ -13,7 +13,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from matchlake.functions import nan_to_null, pct_of_total, quoted, result_label, round2
+from matchlake.functions import (
+    nan_to_null,
+    pct_of_total,
+    quoted,
+    result_label,
+    round2,
+    ticked,
+)
 from matchlake.schemas import GOAL_MEASURES, RESULT_LABELS, RESULT_ORDER, SIDE_MEASURES
 from matchlake.session import pinned
 
@@ -28,29 +35,32 @@ CUBE_COLUMNS = [
 ]
 
 
-def _matches(weight: str | None, where: Column | None = None) -> Column:
+def _matches(weight: str | None, where: str = "true") -> Column:
     """Number of matches, all or those for which a condition is true."""
-    each = F.lit(1).cast("long") if weight is None else quoted(weight)
-    if where is not None:
-        each = F.when(where, each)
-    return F.coalesce(F.sum(each), F.lit(0).cast("long"))
+    each = "1L" if weight is None else ticked(weight)
+    return F.expr(f"coalesce(sum(if({where}, {each}, NULL)), 0L)")
 
 
 def _matches_by_result(column: str, weight: str | None) -> list[Column]:
     """One count per result in display order, named by its label; codes are compared
     as stored, so no label is looked up per row."""
     code_of = {label: code for code, label in RESULT_LABELS.items()}
-    return [_matches(weight, quoted(column) == code_of[r]).alias(r) for r in RESULT_ORDER]
+    return [_matches(weight, f"{ticked(column)} = '{code_of[r]}'").alias(r) for r in RESULT_ORDER]
 
 
 def _weighted_sum(column: str, weight: str | None) -> Column:
-    value = quoted(column) if weight is None else quoted(column) * quoted(weight)
-    return F.coalesce(F.sum(value), F.lit(0).cast("long"))
+    value = ticked(column) + ("" if weight is None else f" * {ticked(weight)}")
+    return F.expr(f"coalesce(sum({value}), 0L)")
 
 
-def _rows(one_row: DataFrame, *structs: Column) -> DataFrame:
-    """Turn the columns of a one-row frame into rows."""
-    return one_row.select(F.inline(F.array(*structs)))
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _rows(one_row: DataFrame, names: str, *values: Sequence[str]) -> DataFrame:
+    """Turn the columns of a one-row frame into rows, given as SQL text."""
+    cells = ", ".join(cell for row in values for cell in row)
+    return one_row.selectExpr(f"stack({len(values)}, {cells}) AS ({names})")
 
 
 def match_counts(df: DataFrame, columns: Sequence[str] = CUBE_COLUMNS) -> DataFrame:
@@ -65,21 +75,20 @@ def row_count(df: DataFrame, weight: str | None = None) -> DataFrame:
     return df.agg(_matches(weight).alias("rows"))
 
 
-def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row per column, all from one pass."""
-    columns = list(columns or df.columns)
-    counts = df.agg(
-        *[F.count_if(quoted(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)]
+def _per_column(df: DataFrame, columns: Sequence[str], count: str, name: str) -> DataFrame:
+    """One aggregate of every column in one pass, turned into one row per column."""
+    counts = df.selectExpr(
+        *[f"{count.format(ticked(c))} AS n{i}" for i, c in enumerate(columns)]
     )
     return _rows(
-        counts,
-        *[
-            F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("nulls"))
-            for i, c in enumerate(columns)
-        ],
+        counts, f"column_name, {name}", *[(_text(c), f"n{i}") for i, c in enumerate(columns)]
     )
 
 
+def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    return _per_column(df, list(columns or df.columns), "count_if({} IS NULL)", "nulls")
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """Distinct values, a missing one included."""
     return df.select(quoted(column)).distinct()
@@ -87,30 +96,20 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 def n_unique(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
     """Distinct non-null values per column; exact unless ``approximate``."""
-    count = F.approx_count_distinct if approximate else F.count_distinct
-    counts = df.agg(*[count(quoted(c)).alias(f"n{i}") for i, c in enumerate(columns)])
-    return _rows(
-        counts,
-        *[
-            F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n_unique"))
-            for i, c in enumerate(columns)
-        ],
-    )
+    count = "approx_count_distinct({})" if approximate else "count(DISTINCT {})"
+    return _per_column(df, columns, count, "n_unique")
 
 
 def column_profile(df: DataFrame) -> DataFrame:
     """Position, name, type and number of non-null values of every column."""
-    counts = df.agg(*[F.count(quoted(c)).alias(f"n{i}") for i, c in enumerate(df.columns)])
+    fields = df.schema.fields
+    counts = df.selectExpr(*[f"count({ticked(f.name)}) AS n{i}" for i, f in enumerate(fields)])
     return _rows(
         counts,
+        "position, column_name, data_type, non_null",
         *[
-            F.struct(
-                F.lit(i).alias("position"),
-                F.lit(f.name).alias("column_name"),
-                F.lit(f.dataType.simpleString()).alias("data_type"),
-                F.col(f"n{i}").alias("non_null"),
-            )
-            for i, f in enumerate(df.schema.fields)
+            (str(i), _text(f.name), _text(f.dataType.simpleString()), f"n{i}")
+            for i, f in enumerate(fields)
         ],
     )
 
@@ -147,15 +146,10 @@ def result_distribution(
     counts = df.agg(_matches(weight).alias("total"), *_matches_by_result(column, weight))
     return _rows(
         counts,
-        *[
-            F.struct(
-                F.lit(i).alias("position"),
-                F.lit(r).alias("Resultado"),
-                F.col(r).alias(COUNT),
-                pct_of_total(F.col(r), F.col("total")).alias("pct"),
-            )
-            for i, r in enumerate(RESULT_ORDER)
-        ],
+        f"position, Resultado, {COUNT}, total",
+        *[(str(i), _text(r), ticked(r), "total") for i, r in enumerate(RESULT_ORDER)],
+    ).select(
+        "position", "Resultado", COUNT, pct_of_total(F.col(COUNT), F.col("total")).alias("pct")
     )
 
 
@@ -185,10 +179,8 @@ def goals_by_condition(df: DataFrame, weight: str | None = None) -> DataFrame:
     sums = df.agg(*[_weighted_sum(c, weight).alias(c) for c in SIDE_MEASURES.values()])
     return _rows(
         sums,
-        *[
-            F.struct(F.lit(label).alias("Condicion"), F.col(c).alias("Goles"))
-            for label, c in SIDE_MEASURES.items()
-        ],
+        "Condicion, Goles",
+        *[(_text(label), ticked(c)) for label, c in SIDE_MEASURES.items()],
     )
 
 
@@ -205,19 +197,10 @@ def _frequencies(
         return df.groupBy(quoted(names[0]).alias("value")).agg(_matches(weight).alias("n"))
     counts = df.groupBy(*[quoted(c) for c in names]).agg(_matches(weight).alias(COUNT))
     return (
-        counts.select(
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(label).alias("category"),
-                            quoted(c).alias("value"),
-                            F.col(COUNT).alias("n"),
-                        )
-                        for label, c in measures.items()
-                    ]
-                )
-            )
+        _rows(
+            counts,
+            "category, value, n",
+            *[(_text(label), ticked(c), COUNT) for label, c in measures.items()],
         )
         .groupBy("category", "value")
         .agg(F.sum("n").alias("n"))
@@ -230,20 +213,17 @@ def _statistics(frequencies: DataFrame, *by: str) -> DataFrame:
     The state of the median is one counter per distinct value, which for goals is a
     handful; ``approximate_stats`` serves measures with a wide domain.
     """
-    value, n = F.col("value"), F.col("n")
-    played = F.when(value.isNotNull(), n)
-    total, mass = F.sum(played), F.sum(value * n)
-    squares = F.sum(value.cast("double") * value * n)
-    spread = (squares - mass.cast("double") * mass / total) / (total - 1)
-    aggregates = [
-        (mass / total).alias("mean"),
-        F.percentile(value, F.lit(0.5), n).alias("median"),
-        F.max_by(
-            value, F.when(value.isNotNull(), F.struct(n.alias("n"), (-value).alias("v")))
-        ).alias("mode"),
-        F.when(total > 1, F.sqrt(F.greatest(spread, F.lit(0.0)))).alias("std"),
-    ]
-    return frequencies.groupBy(*by).agg(*aggregates)
+    played = "if(value IS NULL, NULL, n)"
+    total, mass = f"sum({played})", "sum(value * n)"
+    squares = "sum(cast(value AS DOUBLE) * value * n)"
+    spread = f"({squares} - cast({mass} AS DOUBLE) * {mass} / {total}) / ({total} - 1)"
+    aggregates = {
+        "mean": f"{mass} / {total}",
+        "median": "percentile(value, 0.5D, n)",
+        "mode": "max_by(value, if(value IS NULL, NULL, struct(n, -value)))",
+        "std": f"if({total} > 1, sqrt(greatest({spread}, 0D)), NULL)",
+    }
+    return frequencies.groupBy(*by).agg(*[F.expr(e).alias(n) for n, e in aggregates.items()])
 
 
 def goals_stats(df: DataFrame, column: str = "total_goals", weight: str | None = None) -> DataFrame:
@@ -290,12 +270,10 @@ def goals_histogram(
     )
     # Naming the count in the maximum keeps both uses of ``counts`` alike, so that the
     # table is scanned once and the exchange is reused.
-    bins = counts.agg(F.max(F.when(F.col("n") > 0, F.col("goals"))).alias("top")).select(
-        F.explode(F.when(F.col("top") >= 0, F.sequence(F.lit(0).cast("long"), "top"))).alias("goals")
-    )
-    return bins.join(counts, "goals", "left").select(
-        "goals", F.coalesce("n", F.lit(0).cast("long")).alias(COUNT)
+    bins = counts.agg(F.expr("max(if(n > 0, goals, NULL))").alias("top")).selectExpr(
+        "explode(if(top >= 0, sequence(0L, top), NULL)) AS goals"
     )
+    return bins.join(counts, "goals", "left").selectExpr("goals", f"coalesce(n, 0L) AS {COUNT}")
 
 
 # --- Everything at once ------------------------------------------------------
@@ -329,21 +307,11 @@ def metrics_report(metrics: Mapping[str, DataFrame]) -> DataFrame:
         single = metric in ("row_count", "goals_sum", "goals_stats")
         key = None if single else (text[0] if text else df.columns[0])
         values = [c for c in df.columns if c not in (key, "position")]
-        item = F.lit("") if key is None else quoted(key).cast("string")
-        return df.select(
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(metric).alias("metric"),
-                            item.alias("item"),
-                            F.lit(v).alias("measure"),
-                            quoted(v).cast("double").alias("value"),
-                        )
-                        for v in values
-                    ]
-                )
-            )
+        item = "''" if key is None else f"cast({ticked(key)} AS STRING)"
+        return _rows(
+            df,
+            "metric, item, measure, value",
+            *[(_text(metric), item, _text(v), f"cast({ticked(v)} AS DOUBLE)") for v in values],
         )
 
     return reduce(DataFrame.unionByName, [long(m, df) for m, df in metrics.items()])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, types as T
 
 from matchlake.functions import nan_to_null, quoted, whole_number
 from matchlake.schemas import (
@@ -15,28 +15,35 @@ from matchlake.schemas import (
 )
 
 
-def _present(df: DataFrame, columns: Iterable[str]) -> list[str]:
-    have = set(df.columns)
-    return [c for c in columns if c in have]
+def _present(df: DataFrame, columns: Iterable[str], wanted: T.DataType | None) -> list[str]:
+    """The columns that are there and not of the wanted type already."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return [c for c in columns if c in types and types[c] != wanted]
 
 
 def cast_float_if_exists(df: DataFrame, columns: Iterable[str] = SCORE_FLOAT_COLUMNS) -> DataFrame:
+    # Doubles are not passed over: their NaN has to become NULL.
     return df.withColumns(
         {
             c: nan_to_null(quoted(c), df.schema[c].dataType).cast("double")
-            for c in _present(df, columns)
+            for c in _present(df, columns, None)
         }
     )
 
 
 def cast_int_if_exists(df: DataFrame, columns: Iterable[str] = SILVER_INT_COLUMNS) -> DataFrame:
     return df.withColumns(
-        {c: whole_number(quoted(c), df.schema[c].dataType) for c in _present(df, columns)}
+        {
+            c: whole_number(quoted(c), df.schema[c].dataType)
+            for c in _present(df, columns, T.LongType())
+        }
     )
 
 
 def cast_string_if_exists(df: DataFrame, columns: Iterable[str] = SILVER_TEXT_COLUMNS) -> DataFrame:
-    return df.withColumns({c: quoted(c).cast("string") for c in _present(df, columns)})
+    return df.withColumns(
+        {c: quoted(c).cast("string") for c in _present(df, columns, T.StringType())}
+    )
 
 
 def cast_categorical(df: DataFrame, columns: Iterable[str] = GOLD_CATEGORY_COLUMNS) -> DataFrame:

@@ -7,23 +7,27 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from matchlake.functions import quoted
+from matchlake.functions import quoted, ticked
 from matchlake.schemas import GOLD_COLUMNS, SILVER_DROPPED_COLUMNS
 
 
-def _leaves(schema: T.StructType, parent: Column | None, prefix: str, sep: str):
+def _leaves(schema: T.StructType, path: list[str]):
     for field in schema.fields:
-        value = quoted(field.name) if parent is None else parent.getField(field.name)
-        name = f"{prefix}{sep}{field.name}" if prefix else field.name
+        here = [*path, field.name]
         if isinstance(field.dataType, T.StructType):
-            yield from _leaves(field.dataType, value, name, sep)
+            yield from _leaves(field.dataType, here)
         else:
-            yield value.alias(name)
+            yield here
 
 
 def flatten_nested(df: DataFrame, sep: str = ".") -> DataFrame:
     """Nested structs become ``a.b.c`` columns; arrays are left whole."""
-    return df.select(*_leaves(df.schema, None, "", sep))
+    return df.selectExpr(
+        *[
+            f"{'.'.join(ticked(n) for n in path)} AS {ticked(sep.join(path))}"
+            for path in _leaves(df.schema, [])
+        ]
+    )
 
 
 def rename_key(df: DataFrame, old: str = "fixture.id", new: str = "fixture_id") -> DataFrame:

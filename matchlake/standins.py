@@ -19,82 +19,70 @@ def _tag(prefix: str, number: Column) -> Column:
 
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One finished, running or not yet started match per order."""
-    o = table(spark, sf_dir, "orders")
-    status, cust = F.col("o_orderstatus"), F.col("o_custkey")
-    return o.select(
-        F.col("o_orderkey").alias("fixture_id"),
-        F.col("o_orderdate").alias("fixture_date"),
-        F.col("o_orderdate").cast("date").alias("event_date"),
-        (cust % 20).alias("league_id"),
-        F.col("o_orderpriority").alias("league_name"),
-        F.year("o_orderdate").alias("league_season"),
-        status.alias("fixture_status_short"),
-        F.when(status == "F", F.lit(90).cast("long"))
-        .when(status == "P", F.col("o_orderkey") % 90)
-        .alias("fixture_status_elapsed"),
-        _tag("Team#", cust % 50).alias("teams_home_name"),
-        _tag("Team#", cust % 47).alias("teams_away_name"),
-        F.when(status != "O", F.floor("o_totalprice") % 6).alias("goals_home"),
-        F.when(status != "O", cust % 5).alias("goals_away"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS fixture_id",
+        "o_orderdate AS fixture_date",
+        "CAST(o_orderdate AS DATE) AS event_date",
+        "o_custkey % 20 AS league_id",
+        "o_orderpriority AS league_name",
+        "YEAR(o_orderdate) AS league_season",
+        "o_orderstatus AS fixture_status_short",
+        """CASE o_orderstatus WHEN 'F' THEN 90L WHEN 'P' THEN o_orderkey % 90 END
+           AS fixture_status_elapsed""",
+        "'Team#' || (o_custkey % 50) AS teams_home_name",
+        "'Team#' || (o_custkey % 47) AS teams_away_name",
+        "IF(o_orderstatus != 'O', FLOOR(o_totalprice) % 6, NULL) AS goals_home",
+        "IF(o_orderstatus != 'O', o_custkey % 5, NULL) AS goals_away",
     )
 
 
 def fixture_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested match record per event: the shape of a landed ``fixtures`` record."""
-    e = table(spark, sf_dir, "events")
-    kind, user, ident = F.col("event_type"), F.col("user_id"), F.col("event_id")
-    kickoff = F.unix_seconds(F.col("ts").cast("timestamp"))
-    played, shootout = kind != "signup", kind == "error"
-    home = F.when(played, F.floor("value") % 6)
-    away = F.when(played, ident % 5)
-    none = F.lit(None).cast("long")
-
-    def struct(**fields: Column) -> Column:
-        return F.struct(*[value.alias(name) for name, value in fields.items()])
-
-    def sides(h: Column, a: Column) -> Column:
-        return struct(home=h, away=a)
-
-    def team(number: Column, won: Column) -> Column:
-        return struct(
-            name=_tag("Team#", number), logo=_tag("logo/", number), winner=F.when(home != away, won)
-        )
-
-    return e.select(
-        struct(
-            id=ident,
-            date=F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+00:00'"),
-            referee=_tag("Referee#", user % 9),
-            timezone=F.lit("UTC"),
-            timestamp=kickoff,
-            periods=struct(
-                first=F.when(played, kickoff), second=F.when(played, kickoff + 3600)
-            ),
-            venue=struct(id=user, name=_tag("Venue#", user), city=_tag("City#", user % 30)),
-            status=struct(
-                long=F.upper(kind),
-                short=kind,
-                elapsed=F.when(kind == "view", F.lit(45)).when(played, F.lit(90)).cast("long"),
-                extra=none,
-            ),
-        ).alias("fixture"),
-        struct(
-            id=user % 20,
-            name=_tag("League#", user % 20),
-            country=_tag("Country#", user % 7),
-            season=(F.lit(2020) + ident % 4).cast("int"),
-            round=_tag("Round ", F.dayofmonth("ts")),
-            logo=F.lit("logo/league"),
-            flag=F.lit("flag/league"),
-        ).alias("league"),
-        struct(home=team(user % 50, home > away), away=team(ident % 47, away > home)).alias("teams"),
-        sides(home, away).alias("goals"),
-        struct(
-            halftime=sides(F.floor(home / 2), F.floor(away / 2)),
-            fulltime=sides(home, away),
-            extratime=sides(none, none),
-            penalty=sides(F.when(shootout, ident % 3), F.when(shootout, user % 3)),
-        ).alias("score"),
+    played = table(spark, sf_dir, "events").selectExpr(
+        "*",
+        "unix_seconds(cast(ts AS TIMESTAMP)) AS kickoff",
+        "event_type != 'signup' AS played",
+        "if(event_type != 'signup', floor(value) % 6, NULL) AS h",
+        "if(event_type != 'signup', event_id % 5, NULL) AS a",
+        "if(event_type = 'error', event_id % 3, NULL) AS ph",
+        "if(event_type = 'error', user_id % 3, NULL) AS pa",
+    )
+    return played.selectExpr(
+        """named_struct(
+             'id', event_id,
+             'date', date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'+00:00'"),
+             'referee', 'Referee#' || (user_id % 9),
+             'timezone', 'UTC',
+             'timestamp', kickoff,
+             'periods', named_struct(
+               'first', if(played, kickoff, NULL), 'second', if(played, kickoff + 3600, NULL)),
+             'venue', named_struct(
+               'id', user_id, 'name', 'Venue#' || user_id, 'city', 'City#' || (user_id % 30)),
+             'status', named_struct(
+               'long', upper(event_type), 'short', event_type,
+               'elapsed', if(event_type = 'view', 45L, if(played, 90L, NULL)),
+               'extra', cast(NULL AS BIGINT))) AS fixture""",
+        """named_struct(
+             'id', user_id % 20,
+             'name', 'League#' || (user_id % 20),
+             'country', 'Country#' || (user_id % 7),
+             'season', cast(2020 + event_id % 4 AS INT),
+             'round', 'Round ' || dayofmonth(ts),
+             'logo', 'logo/league',
+             'flag', 'flag/league') AS league""",
+        """named_struct(
+             'home', named_struct(
+               'name', 'Team#' || (user_id % 50), 'logo', 'logo/' || (user_id % 50),
+               'winner', if(h != a, h > a, NULL)),
+             'away', named_struct(
+               'name', 'Team#' || (event_id % 47), 'logo', 'logo/' || (event_id % 47),
+               'winner', if(h != a, a > h, NULL))) AS teams""",
+        "named_struct('home', h, 'away', a) AS goals",
+        """named_struct(
+             'halftime', named_struct('home', h div 2, 'away', a div 2),
+             'fulltime', named_struct('home', h, 'away', a),
+             'extratime', named_struct('home', cast(NULL AS BIGINT), 'away', cast(NULL AS BIGINT)),
+             'penalty', named_struct('home', ph, 'away', pa)) AS score""",
     )
 
 
