@@ -4,7 +4,8 @@ A merge compares a batch (source) with a stored table (target) on key columns.
 Three things decide what that costs on a large table, and the plans below follow
 from them:
 
-* only key columns of the table are read to find out which keys are stored;
+* only key columns of the table are read to find out which keys are stored, and of
+  those only the row groups within the batch's range of keys;
 * when the batch's distinct keys are measured and small, they are broadcast, so
   the table is not shuffled at all; otherwise distinct keys are shuffled, which
   collapses the copies of a repeated key before the exchange;
@@ -30,6 +31,10 @@ from matchlake.session import pinned
 _HIT, _HOT, _HOT_HIT, _SPREAD, _COPIES = "__hit", "__hot", "__hot_hit", "__spread", "__copies"
 
 
+# Key types whose range is worth a scan filter.
+_RANGED = (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.StringType, T.DateType)
+
+
 @dataclass(frozen=True)
 class MergeLimits:
     """When a key set counts as small, and when a key counts as hot."""
@@ -42,10 +47,13 @@ class MergeLimits:
 
 @dataclass(frozen=True)
 class KeyProfile:
+    """Size of a batch's key set, and the range of each key column."""
+
     rows: int
     distinct: int
     bytes: int
     max_copies: int
+    ranges: tuple[tuple[str, object, object], ...] = ()
 
     def fits(self, limits: MergeLimits) -> bool:
         return self.distinct <= limits.broadcast_rows and self.bytes <= limits.broadcast_bytes
@@ -85,13 +93,28 @@ def _key_width(df: DataFrame, keys: Sequence[str]) -> Column:
 def profile_keys(copies: DataFrame, keys: str | Sequence[str]) -> KeyProfile:
     """Measure a ``key_copies`` frame: one distributed aggregate, one row back."""
     keys = _keys(keys)
+    ranged = [k for k in keys if isinstance(copies.schema[k].dataType, _RANGED)]
     got = copies.agg(
         F.coalesce(F.sum(_COPIES), F.lit(0)),
         F.count(F.lit(1)),
         F.coalesce(F.sum(_key_width(copies, keys).cast("long")), F.lit(0)),
         F.coalesce(F.max(_COPIES), F.lit(0)),
+        *[edge(quoted(k)) for k in ranged for edge in (F.min, F.max)],
     ).first()
-    return KeyProfile(*[int(x) for x in got])
+    edges = zip(ranged, got[4::2], got[5::2])
+    return KeyProfile(*[int(x) for x in got[:4]], tuple(edges))
+
+
+def near_keys(target: DataFrame, profile: KeyProfile) -> DataFrame:
+    """The table's rows within the batch's key ranges, which hold every possible match.
+
+    The bounds reach the Parquet scan, so where keys grow with time a daily batch
+    reads the key column of the recent row groups only.
+    """
+    for key, low, high in profile.ranges:
+        if low is not None:
+            target = target.filter(quoted(key).between(F.lit(low), F.lit(high)))
+    return target
 
 
 def _rows_by_broadcast(
@@ -160,8 +183,9 @@ def new_rows(
     keys = _keys(keys)
     copies = key_copies(source, keys)
     incoming = copies.drop(_COPIES)
-    stored = target.select(*[quoted(k) for k in keys])
-    if profile_keys(copies, keys).fits(limits):
+    profile = profile_keys(copies, keys)
+    stored = near_keys(target, profile).select(*[quoted(k) for k in keys])
+    if profile.fits(limits):
         # At most as many keys as the batch has, so this set is small as well.
         stored = stored.join(F.broadcast(incoming), keys, "left_semi").distinct()
         return rows_by_keyset(source, stored, keys, present=False, small=True)

@@ -14,6 +14,7 @@ from matchlake.operators.merging import (
     MergeLimits,
     checked_unique,
     distinct_keys,
+    near_keys,
     new_rows,
     new_rows_where,
     rows_by_keyset,
@@ -174,7 +175,7 @@ def _upsert_partitions(
     spark = source.sparkSession
     profile = checked_unique(source, keys)
     columns = [quoted(p) for p in parts]
-    slim = target.select(*[quoted(k) for k in keys if k not in parts], *columns)
+    slim = near_keys(target, profile).select(*[quoted(k) for k in keys if k not in parts], *columns)
     incoming = distinct_keys(source, keys)
     complete = reduce(and_, [quoted(k).isNotNull() for k in keys])
     matched = rows_by_keyset(

@@ -72,12 +72,26 @@ def _day(as_of: str | dt.date) -> dt.date:
     return as_of if isinstance(as_of, dt.date) else dt.date.fromisoformat(as_of)
 
 
+def _read_one_directory(
+    spark: SparkSession, path: str, info: TableInfo, column: str, value: str
+) -> DataFrame:
+    """One partition without listing the others, of which a long history has many."""
+    directory = f"{path}/{column}={value}"
+    if not files.exists(spark, directory):
+        return spark.createDataFrame([], info.schema)
+    df = spark.read.schema(info.schema).option("basePath", path).parquet(directory)
+    return partition_eq_filter(df.select(*[quoted(c) for c in info.schema.names]), value, column)
+
+
 def read_partition_day(
     spark: SparkSession, path: str, as_of: str | dt.date, column: str = "event_date"
 ) -> DataFrame:
     """The partition of the day before ``as_of``; a day without data gives no rows."""
+    day = _day(as_of) - dt.timedelta(days=1)
     try:
-        day = _day(as_of) - dt.timedelta(days=1)
+        info = load_info(spark, path)
+        if info is not None and info.partition == (column,):
+            return _read_one_directory(spark, path, info, column, str(day))
         return partition_eq_filter(read_table(spark, path), day, column)
     except (AnalysisException, OSError, ValueError) as error:
         raise RuntimeError(f"could not read the day before {as_of} from {path}: {error}") from error

@@ -130,4 +130,18 @@ def test_key_profile(spark):
     profile = merging.profile_keys(merging.key_copies(df, ["k", "v"]), ["k", "v"])
     assert (profile.rows, profile.distinct, profile.max_copies) == (3, 2, 2)
     assert profile.bytes == 8 + 2 + 8 + 2
+    assert profile.ranges == (("k", 1, 2), ("v", "ab", "é"))
     assert profile.fits(SMALL) and not profile.fits(MergeLimits(broadcast_bytes=10))
+
+
+def test_batch_range_reaches_the_table_scan(spark, tmp_path):
+    spark.range(0, 1000).selectExpr("id as k", "'t' as v").write.parquet(str(tmp_path / "t"))
+    target = spark.read.parquet(str(tmp_path / "t"))
+    source = spark.createDataFrame([(990, "s"), (1005, "s"), (None, "s")], SCHEMA)
+    for limits in (SMALL, LARGE):
+        got = merging.new_rows(target, source, "k", limits)
+        assert rows(got) == [(1005, "s"), (None, "s")]
+    got = merging.new_rows(target, source, "k")
+    scan = got._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(k,990), LessThanOrEqual(k,1005)" in scan
+    assert "ReadSchema: struct<k:bigint>" in scan
