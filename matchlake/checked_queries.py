@@ -69,67 +69,67 @@ _PLAYED = "event_type <> 'signup'"
 _HOME = f"(case when {_PLAYED} then cast(floor(value) as bigint) % 6 end)"
 _AWAY = f"(case when {_PLAYED} then event_id % 5 end)"
 
-# Flattened match records: dotted names, as received.
+# Flattened match records. Names are dotted; here a double underscore stands for the dot.
 FLAT = f"""
-  select event_id as "fixture.id", strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') as "fixture.date",
-    concat('Referee#', cast(user_id % 9 as varchar)) as "fixture.referee",
-    'UTC' as "fixture.timezone", cast(floor(epoch(ts)) as bigint) as "fixture.timestamp",
-    case when {_PLAYED} then cast(floor(epoch(ts)) as bigint) end as "fixture.periods.first",
-    case when {_PLAYED} then cast(floor(epoch(ts)) as bigint) + 3600 end as "fixture.periods.second",
-    user_id as "fixture.venue.id", concat('Venue#', cast(user_id as varchar)) as "fixture.venue.name",
-    concat('City#', cast(user_id % 30 as varchar)) as "fixture.venue.city",
-    upper(event_type) as "fixture.status.long", event_type as "fixture.status.short",
+  select event_id as "fixture__id", strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') as "fixture__date",
+    concat('Referee#', cast(user_id % 9 as varchar)) as "fixture__referee",
+    'UTC' as "fixture__timezone", cast(floor(epoch(ts)) as bigint) as "fixture__timestamp",
+    case when {_PLAYED} then cast(floor(epoch(ts)) as bigint) end as "fixture__periods__first",
+    case when {_PLAYED} then cast(floor(epoch(ts)) as bigint) + 3600 end as "fixture__periods__second",
+    user_id as "fixture__venue__id", concat('Venue#', cast(user_id as varchar)) as "fixture__venue__name",
+    concat('City#', cast(user_id % 30 as varchar)) as "fixture__venue__city",
+    upper(event_type) as "fixture__status__long", event_type as "fixture__status__short",
     cast(case when event_type = 'view' then 45 when {_PLAYED} then 90 end as bigint)
-      as "fixture.status.elapsed",
-    cast(null as bigint) as "fixture.status.extra",
-    user_id % 20 as "league.id", concat('League#', cast(user_id % 20 as varchar)) as "league.name",
-    concat('Country#', cast(user_id % 7 as varchar)) as "league.country",
-    cast(2020 + event_id % 4 as integer) as "league.season",
-    concat('Round ', cast(day(ts) as varchar)) as "league.round",
-    'logo/league' as "league.logo", 'flag/league' as "league.flag",
-    concat('Team#', cast(user_id % 50 as varchar)) as "teams.home.name",
-    concat('logo/', cast(user_id % 50 as varchar)) as "teams.home.logo",
-    case when {_HOME} <> {_AWAY} then {_HOME} > {_AWAY} end as "teams.home.winner",
-    concat('Team#', cast(event_id % 47 as varchar)) as "teams.away.name",
-    concat('logo/', cast(event_id % 47 as varchar)) as "teams.away.logo",
-    case when {_HOME} <> {_AWAY} then {_AWAY} > {_HOME} end as "teams.away.winner",
-    {_HOME} as "goals.home", {_AWAY} as "goals.away",
-    {_HOME} // 2 as "score.halftime.home", {_AWAY} // 2 as "score.halftime.away",
-    {_HOME} as "score.fulltime.home", {_AWAY} as "score.fulltime.away",
-    cast(null as bigint) as "score.extratime.home", cast(null as bigint) as "score.extratime.away",
-    case when event_type = 'error' then event_id % 3 end as "score.penalty.home",
-    case when event_type = 'error' then user_id % 3 end as "score.penalty.away"
+      as "fixture__status__elapsed",
+    cast(null as bigint) as "fixture__status__extra",
+    user_id % 20 as "league__id", concat('League#', cast(user_id % 20 as varchar)) as "league__name",
+    concat('Country#', cast(user_id % 7 as varchar)) as "league__country",
+    cast(2020 + event_id % 4 as integer) as "league__season",
+    concat('Round ', cast(day(ts) as varchar)) as "league__round",
+    'logo/league' as "league__logo", 'flag/league' as "league__flag",
+    concat('Team#', cast(user_id % 50 as varchar)) as "teams__home__name",
+    concat('logo/', cast(user_id % 50 as varchar)) as "teams__home__logo",
+    case when {_HOME} <> {_AWAY} then {_HOME} > {_AWAY} end as "teams__home__winner",
+    concat('Team#', cast(event_id % 47 as varchar)) as "teams__away__name",
+    concat('logo/', cast(event_id % 47 as varchar)) as "teams__away__logo",
+    case when {_HOME} <> {_AWAY} then {_AWAY} > {_HOME} end as "teams__away__winner",
+    {_HOME} as "goals__home", {_AWAY} as "goals__away",
+    {_HOME} // 2 as "score__halftime__home", {_AWAY} // 2 as "score__halftime__away",
+    {_HOME} as "score__fulltime__home", {_AWAY} as "score__fulltime__away",
+    cast(null as bigint) as "score__extratime__home", cast(null as bigint) as "score__extratime__away",
+    case when event_type = 'error' then event_id % 3 end as "score__penalty__home",
+    case when event_type = 'error' then user_id % 3 end as "score__penalty__away"
   from events"""
 
 BRONZE = f"""
-  select "fixture.id" as fixture_id, * exclude ("fixture.id")
-    replace (cast("score.extratime.home" as double) as "score.extratime.home",
-      cast("score.extratime.away" as double) as "score.extratime.away",
-      cast("score.penalty.home" as double) as "score.penalty.home",
-      cast("score.penalty.away" as double) as "score.penalty.away",
-      make_timestamp("fixture.timestamp" * 1000000) as "fixture.date"),
-    cast(make_timestamp("fixture.timestamp" * 1000000) as date) as event_date
+  select "fixture__id" as fixture_id, * exclude ("fixture__id")
+    replace (cast("score__extratime__home" as double) as "score__extratime__home",
+      cast("score__extratime__away" as double) as "score__extratime__away",
+      cast("score__penalty__home" as double) as "score__penalty__home",
+      cast("score__penalty__away" as double) as "score__penalty__away",
+      make_timestamp("fixture__timestamp" * 1000000) as "fixture__date"),
+    cast(make_timestamp("fixture__timestamp" * 1000000) as date) as event_date
   from ({FLAT})"""
 
 SILVER = f"""
-  select fixture_id, date_trunc('minute', "fixture.date") as fixture_date,
-    date_trunc('minute', make_timestamp("fixture.periods.first" * 1000000)) as fixture_periods_first,
-    "fixture.venue.id" as fixture_venue_id, "fixture.venue.name" as fixture_venue_name,
-    "fixture.venue.city" as fixture_venue_city, "fixture.status.short" as fixture_status_short,
-    "fixture.status.elapsed" as fixture_status_elapsed, "league.id" as league_id,
-    "league.name" as league_name, "league.country" as league_country,
-    "league.season" as league_season, "league.round" as league_round,
-    "teams.home.name" as teams_home_name, "teams.away.name" as teams_away_name,
-    "goals.home" as goals_home, "goals.away" as goals_away,
-    "score.halftime.home" as score_halftime_home, "score.halftime.away" as score_halftime_away,
-    "score.fulltime.home" as score_fulltime_home, "score.fulltime.away" as score_fulltime_away,
-    cast("score.extratime.home" as bigint) as score_extratime_home,
-    cast("score.extratime.away" as bigint) as score_extratime_away,
-    cast("score.penalty.home" as bigint) as score_penalty_home,
-    cast("score.penalty.away" as bigint) as score_penalty_away,
-    "goals.home" + "goals.away" as total_goals,
-    case when "goals.home" > "goals.away" then 'Home' when "goals.home" < "goals.away" then 'Away'
-         when "goals.home" = "goals.away" then 'Draw' end as match_winner,
+  select fixture_id, date_trunc('minute', "fixture__date") as fixture_date,
+    date_trunc('minute', make_timestamp("fixture__periods__first" * 1000000)) as fixture_periods_first,
+    "fixture__venue__id" as fixture_venue_id, "fixture__venue__name" as fixture_venue_name,
+    "fixture__venue__city" as fixture_venue_city, "fixture__status__short" as fixture_status_short,
+    "fixture__status__elapsed" as fixture_status_elapsed, "league__id" as league_id,
+    "league__name" as league_name, "league__country" as league_country,
+    "league__season" as league_season, "league__round" as league_round,
+    "teams__home__name" as teams_home_name, "teams__away__name" as teams_away_name,
+    "goals__home" as goals_home, "goals__away" as goals_away,
+    "score__halftime__home" as score_halftime_home, "score__halftime__away" as score_halftime_away,
+    "score__fulltime__home" as score_fulltime_home, "score__fulltime__away" as score_fulltime_away,
+    cast("score__extratime__home" as bigint) as score_extratime_home,
+    cast("score__extratime__away" as bigint) as score_extratime_away,
+    cast("score__penalty__home" as bigint) as score_penalty_home,
+    cast("score__penalty__away" as bigint) as score_penalty_away,
+    "goals__home" + "goals__away" as total_goals,
+    case when "goals__home" > "goals__away" then 'Home' when "goals__home" < "goals__away" then 'Away'
+         when "goals__home" = "goals__away" then 'Draw' end as match_winner,
     strftime(event_date, '%Y-%m-%d') as event_date
   from ({BRONZE})"""
 
@@ -160,7 +160,7 @@ LEAGUES = f"""
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return _plain_timestamps(build(configure(spark), sf_dir))
+            return _comparable(build(configure(spark), sf_dir))
 
         QUERIES[name] = run
         if sql is not None:
@@ -170,10 +170,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def _plain_timestamps(df: DataFrame) -> DataFrame:
-    """UTC instants as timestamps without zone, the form the SQL side has."""
+def _comparable(df: DataFrame) -> DataFrame:
+    """The form the SQL side has: UTC instants without a zone, no dots in names."""
     instants = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]
-    return df.withColumns({c: fn.quoted(c).cast("timestamp_ntz") for c in instants})
+    plain = df.withColumns({c: fn.quoted(c).cast("timestamp_ntz") for c in instants})
+    return plain.toDF(*[c.replace(".", "__") for c in plain.columns])
 
 
 def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,11 +249,11 @@ _FX_COLUMNS = [
     "teams_home_winner",
 ]
 _FX_SQL = """
-  "fixture.id" as fixture_id, "fixture.date" as fixture_date,
-  "fixture.venue.name" as fixture_venue_name, "fixture.status.short" as fixture_status_short,
-  "league.season" as league_season, "goals.home" as goals_home,
-  "score.halftime.away" as score_halftime_away, "score.penalty.home" as score_penalty_home,
-  "teams.home.winner" as teams_home_winner"""
+  "fixture__id" as fixture_id, "fixture__date" as fixture_date,
+  "fixture__venue__name" as fixture_venue_name, "fixture__status__short" as fixture_status_short,
+  "league__season" as league_season, "goals__home" as goals_home,
+  "score__halftime__away" as score_halftime_away, "score__penalty__home" as score_penalty_home,
+  "teams__home__winner" as teams_home_winner"""
 
 
 @query("json_envelope", f"select {_FX_SQL} from ({FLAT})")
@@ -433,7 +434,7 @@ def _flatten_nested(spark, sf_dir):
     return _flat(spark, sf_dir)
 
 
-@query("rename_key", f'select "fixture.id" as fixture_id, * exclude ("fixture.id") from ({FLAT})')
+@query("rename_key", f'select "fixture__id" as fixture_id, * exclude ("fixture__id") from ({FLAT})')
 def _rename_key(spark, sf_dir):
     return _flat(spark, sf_dir).transform(shaping.rename_key)
 
@@ -446,16 +447,16 @@ def _standardize_names(spark, sf_dir):
 _DOTTED_DROPS = ", ".join(
     f'"{c}"'
     for c in (
-        "fixture.referee",
-        "fixture.timezone",
-        "fixture.timestamp",
-        "fixture.periods.second",
-        "fixture.status.long",
-        "fixture.status.extra",
-        "league.logo",
-        "league.flag",
-        "teams.home.logo",
-        "teams.away.logo",
+        "fixture__referee",
+        "fixture__timezone",
+        "fixture__timestamp",
+        "fixture__periods__second",
+        "fixture__status__long",
+        "fixture__status__extra",
+        "league__logo",
+        "league__flag",
+        "teams__home__logo",
+        "teams__away__logo",
     )
 )
 
@@ -480,11 +481,12 @@ def _select_curated(spark, sf_dir):
 # --- Types -----------------------------------------------------------------------
 
 _SCORES = ", ".join(
-    f'cast("{c}" as double) as {c.replace(".", "_")}' for c in SCORE_FLOAT_COLUMNS
+    f'cast("{c.replace(".", "__")}" as double) as {c.replace(".", "_")}'
+    for c in SCORE_FLOAT_COLUMNS
 )
 
 
-@query("cast_float_if_exists", f'select "fixture.id" as fixture_id, {_SCORES} from ({FLAT})')
+@query("cast_float_if_exists", f'select "fixture__id" as fixture_id, {_SCORES} from ({FLAT})')
 def _cast_float_if_exists(spark, sf_dir):
     df = _flat(spark, sf_dir).transform(retype.cast_float_if_exists)
     return shaping.standardize_names(
@@ -544,7 +546,7 @@ def _cast_year_int(spark, sf_dir):
 # --- Dates -----------------------------------------------------------------------
 
 
-@query("event_date_derive", f'select fixture_id, "fixture.date" as kickoff, event_date from ({BRONZE})')
+@query("event_date_derive", f'select fixture_id, "fixture__date" as kickoff, event_date from ({BRONZE})')
 def _event_date_derive(spark, sf_dir):
     df = _flat(spark, sf_dir).transform(shaping.rename_key).transform(calendar.event_date_derive)
     return df.select("fixture_id", F.col("`fixture.date`").alias("kickoff"), "event_date")
@@ -898,10 +900,10 @@ def _head_n(spark, sf_dir):
 
 @query(
     "bronze_static",
-    f"""select league_id as "league.id", league_name as "league.name",
-          league_type as "league.type", league_logo as "league.logo",
-          country_name as "country.name", country_code as "country.code",
-          country_flag as "country.flag", season_text from ({LEAGUES})""",
+    f"""select league_id as "league__id", league_name as "league__name",
+          league_type as "league__type", league_logo as "league__logo",
+          country_name as "country__name", country_code as "country__code",
+          country_flag as "country__flag", season_text from ({LEAGUES})""",
 )
 def _bronze_static(spark, sf_dir):
     landing, path = scratch_dir(spark, "landing"), scratch_dir(spark, "bronze_static")
