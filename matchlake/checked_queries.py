@@ -410,6 +410,26 @@ def _merge_predicate(spark, sf_dir):
     return read_table(spark, path)
 
 
+@query(
+    "merge_predicate_condition",
+    f"""select * from ({M}) where fixture_status_short <> 'P'
+        union all
+        select l.* from ({LATE}) l where not exists
+          (select 1 from ({M}) t where t.fixture_status_short <> 'P'
+           and t.fixture_id = l.fixture_id and t.teams_home_name >= l.teams_away_name)""",
+)
+def _merge_predicate_condition(spark, sf_dir):
+    """A condition that is more than equality of keys."""
+    path, df = _stored_matches(spark, sf_dir, "merge_predicate_condition")
+    merge_where(
+        _late(df),
+        path,
+        "target.fixture_id = source.fixture_id"
+        " and target.teams_home_name >= source.teams_away_name",
+    )
+    return read_table(spark, path)
+
+
 @query("export_csv", GOLD)
 def _export_csv(spark, sf_dir):
     path = scratch_dir(spark, "export_csv")
@@ -814,8 +834,8 @@ def _goals_sum(spark, sf_dir):
     return metrics.goals_sum(_outcomes(spark, sf_dir))
 
 
-def _stats_sql(column: str, names: str = "mean median mode std") -> str:
-    mean, median, mode, std = names.split()
+def _stats_sql(column: str, names: str = "mean|median|mode|std") -> str:
+    mean, median, mode, std = names.split("|")
     return f"""round(avg({column}), 2) as "{mean}", round(median({column}), 2) as "{median}",
       (select {column} from ({MW}) where {column} is not null
        group by {column} order by count(*) desc, {column} limit 1) as "{mode}",
@@ -830,7 +850,7 @@ def _goals_stats(spark, sf_dir):
 @query(
     "stats_by_category",
     " union all ".join(
-        f"""select '{label}' as "Categoria", {_stats_sql(c, 'Media Mediana Moda Desvio')}
+        f"""select '{label}' as "Categoría", {_stats_sql(c, 'Media|Mediana|Moda|Desvío estándar')}
             from ({MW})"""
         for label, c in (
             ("Goles totales", "total_goals"),
@@ -845,7 +865,7 @@ def _stats_by_category(spark, sf_dir):
 
 @query(
     "goals_by_condition",
-    f"""select 'Local' as "Condicion", cast(sum(goals_home) as bigint) as "Goles" from ({M})
+    f"""select 'Local' as "Condición", cast(sum(goals_home) as bigint) as "Goles" from ({M})
         union all select 'Visitante', cast(sum(goals_away) as bigint) from ({M})""",
 )
 def _goals_by_condition(spark, sf_dir):
@@ -997,7 +1017,7 @@ def _report_sql() -> str:
             )
         )
     for metric, labels, names in (
-        ("goals_stats", {"": "total_goals"}, "mean median mode std"),
+        ("goals_stats", {"": "total_goals"}, "mean|median|mode|std"),
         (
             "stats_by_category",
             {
@@ -1005,11 +1025,11 @@ def _report_sql() -> str:
                 "Goles de local": "goals_home",
                 "Goles de visitante": "goals_away",
             },
-            "Media Mediana Moda Desvio",
+            "Media|Mediana|Moda|Desvío estándar",
         ),
     ):
         for label, column in labels.items():
-            for name in names.split():
+            for name in names.split("|"):
                 parts.append(
                     _report(
                         metric, f"'{label}'", name, f's."{name}"',

@@ -18,6 +18,7 @@ NULL keys never match, so such rows always count as new.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -127,10 +128,17 @@ def _rows_by_broadcast(
 
 
 def _rows_by_shuffle(
-    rows: DataFrame, keyset: DataFrame, keys: list[str], present: bool, limits: MergeLimits
+    rows: DataFrame,
+    keyset: DataFrame,
+    keys: list[str],
+    present: bool,
+    limits: MergeLimits,
+    copies: DataFrame | None,
 ) -> DataFrame:
-    copies = key_copies(rows, keys)
-    hot_above = max(int(profile_keys(copies, keys).rows * limits.hot_share), 1)
+    if copies is None:
+        copies = key_copies(rows, keys)
+    keyed_rows = copies.agg(F.coalesce(F.sum(_COPIES), F.lit(0))).first()[0]
+    hot_above = max(int(keyed_rows * limits.hot_share), 1)
     hits = keyset.withColumn(_HIT, F.lit(True))
     hot = (
         copies.filter(quoted(_COPIES) > hot_above)
@@ -159,18 +167,20 @@ def rows_by_keyset(
     present: bool,
     limits: MergeLimits = MergeLimits(),
     small: bool | None = None,
+    copies: DataFrame | None = None,
 ) -> DataFrame:
     """Rows whose key is in (``present``) or not in a set of unique keys.
 
     Rows without a complete key are kept either way: for a merge they are new.
     ``small`` says that the key set was measured already; by default it is here.
+    ``copies`` are the rows' ``key_copies`` where the caller has them at hand.
     """
     keys = _keys(keys)
     if small is None:
         small = profile_keys(keyset.withColumn(_COPIES, F.lit(1)), keys).fits(limits)
     if small:
         return _rows_by_broadcast(rows, keyset, keys, present)
-    return _rows_by_shuffle(rows, keyset, keys, present, limits)
+    return _rows_by_shuffle(rows, keyset, keys, present, limits, copies)
 
 
 def new_rows(
@@ -189,8 +199,10 @@ def new_rows(
         # At most as many keys as the batch has, so this set is small as well.
         stored = stored.join(F.broadcast(incoming), keys, "left_semi").distinct()
         return rows_by_keyset(source, stored, keys, present=False, small=True)
-    fresh = pinned(incoming.join(distinct_keys(stored, keys), keys, "left_anti"))
-    return rows_by_keyset(source, fresh, keys, present=True, limits=limits)
+    known = distinct_keys(stored, keys).withColumn(_HIT, F.lit(True))
+    judged = pinned(copies.join(known, keys, "left"))
+    fresh = judged.filter(quoted(_HIT).isNull()).select(*[quoted(k) for k in keys])
+    return rows_by_keyset(source, fresh, keys, True, limits, copies=judged.drop(_HIT))
 
 
 def merge_insert_new(
@@ -236,6 +248,23 @@ def merge_upsert(
     return unmatched_target(target, source, keys, profile, limits).unionByName(source)
 
 
+_SAME_KEY = re.compile(r"\s*(source|target)\.(\w+)\s*=\s*(source|target)\.(\w+)\s*")
+
+
+def equality_keys(condition: str | Column) -> list[str]:
+    """The keys of a condition that only equates like-named columns of both sides.
+
+    ``target.id = source.id and target.day = source.day`` gives ``[id, day]``; any other
+    condition gives nothing.
+    """
+    if not isinstance(condition, str):
+        return []
+    found = [_SAME_KEY.fullmatch(part) for part in re.split(r"\band\b", condition, flags=re.I)]
+    if not all(m and m[1] != m[3] and m[2] == m[4] for m in found):
+        return []
+    return [m[2] for m in found]
+
+
 def new_rows_where(target: DataFrame, source: DataFrame, condition: str | Column) -> DataFrame:
     """Source rows no target row matches, for a condition over ``source`` and ``target``.
 

@@ -179,7 +179,7 @@ def goals_by_condition(df: DataFrame, weight: str | None = None) -> DataFrame:
     sums = df.agg(*[_weighted_sum(c, weight).alias(c) for c in SIDE_MEASURES.values()])
     return _rows(
         sums,
-        "Condicion, Goles",
+        "`Condición`, Goles",
         *[(_text(label), ticked(c)) for label, c in SIDE_MEASURES.items()],
     )
 
@@ -241,11 +241,11 @@ def stats_by_category(df: DataFrame, weight: str | None = None) -> DataFrame:
     """The four statistics, one row for total, home and away goals."""
     stats = _statistics(_frequencies(df, GOAL_MEASURES, weight), "category")
     return stats.select(
-        F.col("category").alias("Categoria"),
+        F.col("category").alias("Categoría"),
         round2(F.col("mean")).alias("Media"),
         round2(F.col("median")).alias("Mediana"),
         F.col("mode").alias("Moda"),
-        round2(F.col("std")).alias("Desvio"),
+        round2(F.col("std")).alias("Desvío estándar"),
     )
 
 

@@ -38,7 +38,7 @@ class Lake:
 
     root: str
     landing: str
-    source: str = "football"
+    source: str = "feed"
     layout: str = "document"
     day_folder: str = "{day}"
     merge_mode: str = "insert"

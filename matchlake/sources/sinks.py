@@ -14,6 +14,7 @@ from matchlake.operators.merging import (
     MergeLimits,
     checked_unique,
     distinct_keys,
+    equality_keys,
     near_keys,
     new_rows,
     new_rows_where,
@@ -138,9 +139,13 @@ def merge_where(
 ) -> None:
     """``save_new`` for a condition over the aliases ``source`` and ``target``.
 
-    Prefer ``save_new`` where the condition is equality of keys: it measures the batch
-    and then need not shuffle the table.
+    A condition that just equates keys takes the measured plan of ``save_new``; for
+    others Spark plans the join.
     """
+    keys = equality_keys(condition)
+    if keys:
+        save_new(source, path, keys, partition_cols)
+        return
     spark = source.sparkSession
     if not table_exists(spark, path):
         write_table(source, path, "append", partition_cols)

@@ -70,6 +70,20 @@ def test_conditions(spark):
         merging.new_rows_where(t, s, "target.k < source.k")
 
 
+def test_equality_keys():
+    keys = merging.equality_keys
+    assert keys("target.fixture_id = source.fixture_id") == ["fixture_id"]
+    assert keys("source.a=target.a AND target.b = source.b") == ["a", "b"]
+    for other in (
+        "target.a = source.b",
+        "target.a = target.a",
+        "target.a = source.a or target.b = source.b",
+        "target.a = source.a and target.b > source.b",
+        F.expr("target.a = source.a"),
+    ):
+        assert keys(other) == []
+
+
 def test_latest_per_key(spark):
     df = spark.createDataFrame(
         [(1, "a", 1), (1, "b", 2), (None, "c", 1), (None, "c", 1)], "k long, v string, at int"

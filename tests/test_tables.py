@@ -144,6 +144,9 @@ def test_merge_where(spark, path):
         frame(spark, (1, "b", 1), (2, "b", 2)), path, "target.fixture_id = source.fixture_id"
     )
     assert rows(read_table(spark, path)) == [(1, "a", 1), (2, "b", 2)]
+    changed = "target.fixture_id = source.fixture_id and target.goals >= source.goals"
+    merge_where(frame(spark, (1, "c", 1), (2, "c", 3)), path, changed)
+    assert rows(read_table(spark, path)) == [(1, "a", 1), (2, "b", 2), (2, "c", 3)]
 
 
 @pytest.mark.parametrize("partition", [None, "event_date", ["event_date", "goals"]])
