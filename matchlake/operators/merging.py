@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from matchlake.functions import quoted
@@ -273,7 +274,20 @@ def new_rows_where(target: DataFrame, source: DataFrame, condition: str | Column
     they have the measured and skew-proof plans.
     """
     condition = F.expr(condition) if isinstance(condition, str) else condition
-    found = source.alias("source").join(target.alias("target"), condition, "left_anti")
+
+    def unmatched(stored: DataFrame) -> DataFrame:
+        return source.alias("source").join(stored.alias("target"), condition, "left_anti")
+
+    # Only the columns the condition needs, each combination once: copies collapse
+    # before the exchange. A column is needed if the join is not valid without it.
+    unmatched(target)
+    needed = []
+    for column in target.columns:
+        try:
+            unmatched(target.drop(column))
+        except AnalysisException:
+            needed.append(column)
+    found = unmatched(target.select(*[quoted(c) for c in needed]).distinct())
     plan = found._jdf.queryExecution().sparkPlan().toString()
     if "NestedLoop" in plan or "CartesianProduct" in plan:
         raise ValueError("the merge condition needs an equality between source and target")

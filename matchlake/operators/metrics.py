@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from matchlake.functions import (
     nan_to_null,
@@ -211,7 +211,7 @@ def _statistics(frequencies: DataFrame, *by: str) -> DataFrame:
     """Mean, exact median, lowest mode and sample deviation from value frequencies.
 
     The state of the median is one counter per distinct value, which for goals is a
-    handful; ``approximate_stats`` serves measures with a wide domain.
+    handful; ``exact_median`` serves measures with very many distinct values.
     """
     played = "if(value IS NULL, NULL, n)"
     total, mass = f"sum({played})", "sum(value * n)"
@@ -259,6 +259,44 @@ def approximate_stats(df: DataFrame, column: str, accuracy: int = 10_000) -> Dat
     )
 
 
+def exact_median(df: DataFrame, column: str, few: int = 100_000) -> float | None:
+    """Median of a measure with any number of distinct values.
+
+    Values are counted, and the counts narrowed to the range that holds the middle
+    ranks until few are left; no task or driver ever holds the others.
+    """
+    value = nan_to_null(quoted(column), df.schema[column].dataType).alias("value")
+    counts = df.select(value).filter("value IS NOT NULL").groupBy("value")
+    counts = pinned(counts.agg(F.count(F.lit(1)).alias("n")))
+    total = counts.agg(F.sum("n")).first()[0]
+    if total is None:
+        return None
+    ranks = sorted({(total - 1) // 2, total // 2})
+    return float(sum(_value_at(counts, rank, few) for rank in ranks) / len(ranks))
+
+
+def _value_at(counts: DataFrame, rank: int, few: int):
+    """The value at a rank (from 0) among counted values."""
+    while counts.count() > few:
+        # Pivots split the distinct values evenly, whatever their counts.
+        shares = ", ".join(f"{i / 64}D" for i in range(1, 64))
+        pivots = counts.agg(F.expr(f"percentile_approx(value, array({shares}), 10000)")).first()[0]
+        limits = F.array(*[F.lit(p) for p in sorted(set(pivots))])
+        parts = counts.withColumn("part", F.size(F.filter(limits, lambda p: p < F.col("value"))))
+        for part, matches in sorted(parts.groupBy("part").agg(F.sum("n")).collect()):
+            if rank < matches:
+                break
+            rank -= matches
+        counts = parts.filter(F.col("part") == part).select("value", "n")
+    reached = F.sum("n").over(Window.orderBy("value"))
+    return (
+        counts.withColumn("reached", reached)
+        .filter(F.col("reached") > rank)
+        .agg(F.min("value"))
+        .first()[0]
+    )
+
+
 def goals_histogram(
     df: DataFrame, column: str = "total_goals", weight: str | None = None
 ) -> DataFrame:

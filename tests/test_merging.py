@@ -66,6 +66,8 @@ def test_conditions(spark):
     s = spark.createDataFrame([(1, "z"), (2, "a"), (3, "c")], SCHEMA)
     got = merging.new_rows_where(t, s, "target.k = source.k and target.v >= source.v")
     assert rows(got) == [(1, "z"), (3, "c")]
+    as_column = F.expr("target.k = source.k and target.v >= source.v")
+    assert rows(merging.new_rows_where(t.withColumn("w", F.lit(1)), s, as_column)) == rows(got)
     with pytest.raises(ValueError, match="equality"):
         merging.new_rows_where(t, s, "target.k < source.k")
 

@@ -82,6 +82,23 @@ def test_approximate_stats(spark):
     assert rows(metrics.approximate_stats(df, "v")) == [(500.0, 500.0, 289.11)]
 
 
+@pytest.mark.parametrize("hot", ["none", "below", "middle", "above"])
+@pytest.mark.parametrize("size", [4000, 4001])
+def test_exact_median_of_many_values(spark, hot, size):
+    """With a third of the rows on one value, and narrowing forced by a small ``few``."""
+    at = {"below": -1.0, "middle": size * 0.5, "above": size * 2.0}
+    values = [float((i * 7919) % size) for i in range(size)]
+    if hot != "none":
+        values += [at[hot]] * (size // 2)
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "v double")
+    assert metrics.exact_median(df, "v", few=20) == statistics.median(values)
+
+
+def test_exact_median_of_nothing(spark):
+    assert metrics.exact_median(spark.createDataFrame([(None,)], "v double"), "v") is None
+    assert metrics.exact_median(spark.createDataFrame([(3,), (4,)], "v int"), "v") == 3.5
+
+
 goal = st.one_of(st.none(), st.integers(0, 7))
 
 
