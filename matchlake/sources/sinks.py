@@ -48,18 +48,22 @@ def _put(df: DataFrame, path: str, partition: Sequence[str], mode: str) -> None:
     _writer(df, partition).mode(mode).parquet(path)
 
 
-def _fitted(df: DataFrame, path: str) -> tuple[DataFrame, tuple[str, ...]]:
-    """Order and type the columns as the stored table has them."""
-    info = load_info(df.sparkSession, path)
-    if info is None:
-        return df, ()
-    extra = sorted(set(df.columns) - set(info.schema.names))
+def _fitted(
+    df: DataFrame, path: str, partition_cols: str | Sequence[str] | None = None
+) -> tuple[DataFrame, tuple[str, ...]]:
+    """Order and type the columns as the stored table has them, and tell its partitioning.
+
+    A table some other writer made has no schema file; its partition columns are then
+    those the caller names.
+    """
+    spark = df.sparkSession
+    info = load_info(spark, path)
+    schema = info.schema if info else read_table(spark, path).schema
+    extra = sorted(set(df.columns) - set(schema.names))
     if extra:
         raise ValueError(f"columns not in the table at {path}: {extra}")
-    fitted = df.select(
-        *[quoted(f.name).cast(f.dataType).alias(f.name) for f in info.schema.fields]
-    )
-    return fitted, info.partition
+    fitted = df.select(*[quoted(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return fitted, info.partition if info else _listed(partition_cols)
 
 
 def _replace(df: DataFrame, path: str, partition: Sequence[str]) -> None:
@@ -102,7 +106,7 @@ def write_table(
         if mode == "error":
             raise FileExistsError(f"table exists: {path}")
         if mode == "append":
-            fitted, stored_partition = _fitted(df, path)
+            fitted, stored_partition = _fitted(df, path, partition)
             _put(fitted, path, stored_partition, "append")
         return
     # Schema first: should the write fail, a rerun finds an empty table with its types.
@@ -127,7 +131,7 @@ def save_new(
     if not table_exists(spark, path):
         write_table(source, path, "append", partition_cols)
         return
-    fitted, partition = _fitted(source, path)
+    fitted, partition = _fitted(source, path, partition_cols)
     _put(new_rows(read_table(spark, path), fitted, keys, limits), path, partition, "append")
 
 
@@ -150,7 +154,7 @@ def merge_where(
     if not table_exists(spark, path):
         write_table(source, path, "append", partition_cols)
         return
-    fitted, partition = _fitted(source, path)
+    fitted, partition = _fitted(source, path, partition_cols)
     _put(new_rows_where(read_table(spark, path), fitted, condition), path, partition, "append")
 
 
@@ -234,7 +238,7 @@ def save_upsert(
     if not table_exists(spark, path):
         write_table(source, path, "append", partition_cols)
         return
-    fitted, partition = _fitted(source, path)
+    fitted, partition = _fitted(source, path, partition_cols)
     target = read_table(spark, path)
     if partition:
         _upsert_partitions(target, fitted, path, keys, partition, limits)

@@ -5,6 +5,7 @@ from pathlib import Path
 
 import pytest
 
+from matchlake.__main__ import main
 from matchlake.plans.flow import Lake, run
 from matchlake.sources import read_table, table_exists
 from matchlake.streaming import incremental_stream
@@ -159,6 +160,13 @@ def test_static_entities(spark, lake):
     assert dict(silver.dtypes)["current_year"] == "int"
 
 
+def test_command_line(spark, lake):
+    main(["--root", lake.root, "--landing", lake.landing, "--as-of", "2025-09-04",
+          "--gold-new-days", "--no-export"])
+    assert gold(spark, lake) == INSERTED[-1:]
+    assert not table_exists(spark, lake.table("exports", "fixtures_gold") + ".parquet")
+
+
 def test_unknown_merge_mode(spark, lake):
     with pytest.raises(ValueError, match="merge mode"):
         run(spark, replace(lake, merge_mode="replace"), "2025-09-02")

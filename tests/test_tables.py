@@ -138,6 +138,14 @@ def test_append_fits_columns_to_the_table(spark, path):
         save_new(shuffled.withColumn("referee", F.lit("r")), path, "fixture_id")
 
 
+def test_tables_of_other_writers(spark, path):
+    frame(spark, (1, "a", 1)).write.partitionBy("event_date").parquet(path)
+    save_new(frame(spark, (1, "b", 1), (2, "b", 2)), path, "fixture_id", "event_date")
+    assert files.exists(spark, f"{path}/event_date=b")
+    got = read_table(spark, path).select("fixture_id", "event_date", "goals")
+    assert rows(got) == [(1, "a", 1), (2, "b", 2)]
+
+
 def test_merge_where(spark, path):
     merge_where(frame(spark, (1, "a", 1)), path, "target.fixture_id = source.fixture_id", "event_date")
     merge_where(
