@@ -294,17 +294,22 @@ def new_rows_where(target: DataFrame, source: DataFrame, condition: str | Column
     return found
 
 
-def latest_per_key(df: DataFrame, keys: str | Sequence[str], latest_by: str) -> DataFrame:
-    """Optional clean-up of a batch: one row per key, the one with the largest ``latest_by``.
+def one_per_key(
+    df: DataFrame, keys: str | Sequence[str], latest_by: str | None = None
+) -> DataFrame:
+    """Optional clean-up of a batch: one row per key, the one with the largest ``latest_by``
+    (without it the largest row, which makes the choice repeatable).
 
     Partial aggregation keeps one candidate per key and task, whatever the number
     of copies; rows without a key are kept as they are.
     """
     keys = _keys(keys)
+    row = F.struct(*[quoted(c) for c in df.columns])
+    order = row if latest_by is None else F.struct(quoted(latest_by), row)
     best = (
         df.filter(~_any_null(keys))
         .groupBy(*[quoted(k) for k in keys])
-        .agg(F.max_by(F.struct(*[quoted(c) for c in df.columns]), quoted(latest_by)).alias("row"))
+        .agg(F.max_by(row, order).alias("row"))
         .select("row.*")
     )
     return best.unionByName(df.filter(_any_null(keys)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from matchlake.operators.calendar import event_date_derive
+from matchlake.operators.merging import one_per_key
 from matchlake.operators.retype import cast_float_if_exists
 from matchlake.operators.shaping import flatten_nested, rename_key
 from matchlake.schemas import ENTITIES
@@ -31,9 +32,18 @@ def load_static(records: DataFrame, path: str) -> None:
 
 
 def load_fixtures(
-    records: DataFrame, path: str, merge_mode: str = "insert", lenient: bool = False
-) -> None:
-    store(bronze_fixtures(records, lenient), path, merge_mode)
+    records: DataFrame,
+    path: str,
+    merge_mode: str = "insert",
+    lenient: bool = False,
+    dedup_source: bool = False,
+) -> DataFrame:
+    """Merge landed matches into Bronze; returns the batch that was merged."""
+    batch = bronze_fixtures(records, lenient)
+    if dedup_source:
+        batch = one_per_key(batch, ENTITIES["fixtures"].keys)
+    store(batch, path, merge_mode)
+    return batch
 
 
 def store(df: DataFrame, path: str, merge_mode: str = "insert") -> None:
@@ -43,5 +53,3 @@ def store(df: DataFrame, path: str, merge_mode: str = "insert") -> None:
     entity = ENTITIES["fixtures"]
     save = save_new if merge_mode == "insert" else save_upsert
     save(df, path, entity.keys, entity.partition)
-
-

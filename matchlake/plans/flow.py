@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from matchlake.plans import bronze
 from matchlake.plans.gold import Gold, gold_fixtures
@@ -42,6 +42,7 @@ class Lake:
     layout: str = "document"
     day_folder: str = "{day}"
     merge_mode: str = "insert"
+    dedup_source: bool = False
     # False: offer Gold the run's own days only. Every Silver day was offered by the run
     # that wrote it, so an insert-only Gold ends up the same without rereading Silver.
     gold_rereads_all: bool = True
@@ -87,11 +88,16 @@ def _landed_paths(
 
 def ingest(
     spark: SparkSession, lake: Lake, entity: Entity, first: dt.date, last: dt.date
-) -> None:
-    """Landed documents to Bronze; unreadable ones to the rejects table."""
+) -> list[dt.date]:
+    """Landed documents to Bronze; unreadable ones, if any, to the rejects table.
+
+    For upserts it returns the days the batch has matches on (days, not matches, come
+    to the driver).
+    """
     paths = _landed_paths(spark, lake, entity, first, last)
     if not paths:
-        return
+        return []
+    days = []
     raw = read_documents(
         spark, paths, entity.record, entity.data_field, lake.layout, recursive=True
     )
@@ -99,30 +105,48 @@ def ingest(
         records, rejects = split_documents(documents, entity.data_field)
         target = lake.table("bronze", entity.name)
         if entity.keys:
-            bronze.load_fixtures(records, target, lake.merge_mode)
+            batch = bronze.load_fixtures(
+                records, target, lake.merge_mode, dedup_source=lake.dedup_source
+            )
+            if lake.merge_mode == "upsert":
+                found = batch.select("event_date").distinct().collect()
+                days = sorted(r["event_date"] for r in found if r["event_date"] is not None)
         else:
             bronze.load_static(records, target)
-        write_table(rejects, lake.table("rejects", entity.name), "append")
+        if rejects.count():
+            write_table(rejects, lake.table("rejects", entity.name), "append")
+    return days
 
 
 def refine_fixtures(
-    spark: SparkSession, lake: Lake, as_of: dt.date, since: dt.date | None
+    spark: SparkSession,
+    lake: Lake,
+    as_of: dt.date,
+    since: dt.date | None,
+    changed: list[dt.date],
 ) -> Gold:
-    """Bronze days to Silver, Silver to Gold and exports."""
+    """Bronze days to Silver, Silver to Gold and exports.
+
+    Inserts read the run's days. Upserts read the days on which the batch changed
+    something, as a late result belongs to an earlier day.
+    """
     yesterday = as_of - dt.timedelta(days=1)
-    source, target = lake.table("bronze", "fixtures"), lake.table("silver", "fixtures")
-    if since is None:
-        days = read_partition_day(spark, source, as_of)
-    else:
-        days = read_partition_days(spark, source, since, yesterday)
+    upsert = lake.merge_mode == "upsert"
+
+    def of_this_run(path: str) -> DataFrame:
+        if upsert:
+            return read_table(spark, path).filter(F.col("event_date").isin([str(d) for d in changed]))
+        if since is None:
+            return read_partition_day(spark, path, as_of)
+        return read_partition_days(spark, path, since, yesterday)
+
+    target = lake.table("silver", "fixtures")
+    days = of_this_run(lake.table("bronze", "fixtures"))
     bronze.store(silver_fixtures(days), target, lake.merge_mode)
 
-    stored = read_table(spark, target)
-    gold = gold_fixtures(stored)
-    if lake.gold_rereads_all:
-        offered = gold
-    else:
-        offered = gold_fixtures(read_partition_days(spark, target, since or yesterday, yesterday))
+    gold = gold_fixtures(read_table(spark, target))
+    everything = lake.gold_rereads_all and not upsert
+    offered = gold if everything else gold_fixtures(of_this_run(target))
     bronze.store(offered.curated, lake.table("gold", "fixtures"), lake.merge_mode)
     if lake.export:
         stem = lake.table("exports", "fixtures_gold")
@@ -149,12 +173,12 @@ def run(
     gold = None
     for name in entities:
         entity = ENTITIES[name]
-        ingest(spark, lake, entity, since or yesterday, yesterday)
+        changed = ingest(spark, lake, entity, since or yesterday, yesterday)
         if name == "leagues":
             silver = silver_leagues(read_table(spark, lake.table("bronze", name)))
             write_table(silver, lake.table("silver", name), "overwrite")
         elif name == "fixtures":
-            gold = refine_fixtures(spark, lake, as_of, since)
+            gold = refine_fixtures(spark, lake, as_of, since, changed)
     return gold
 
 

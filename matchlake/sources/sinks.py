@@ -236,6 +236,7 @@ def save_upsert(
     spark = source.sparkSession
     keys = list(_listed(keys))
     if not table_exists(spark, path):
+        checked_unique(source, keys)
         write_table(source, path, "append", partition_cols)
         return
     fitted, partition = _fitted(source, path, partition_cols)

@@ -45,7 +45,7 @@ def incremental_stream(
         try:
             parts = split_documents(held, entity.data_field)
             bronze.load_fixtures(parts.records, table, merge_mode)
-            if rejects:
+            if rejects and parts.rejects.count():
                 write_table(parts.rejects, rejects, "append")
         finally:
             held.unpersist()

@@ -86,15 +86,15 @@ def test_equality_keys():
         assert keys(other) == []
 
 
-def test_latest_per_key(spark):
+def test_one_per_key(spark):
     df = spark.createDataFrame(
         [(1, "a", 1), (1, "b", 2), (None, "c", 1), (None, "c", 1)], "k long, v string, at int"
     )
-    assert rows(merging.latest_per_key(df, "k", "at")) == [
-        (1, "b", 2),
-        (None, "c", 1),
-        (None, "c", 1),
-    ]
+    expected = [(1, "b", 2), (None, "c", 1), (None, "c", 1)]
+    assert rows(merging.one_per_key(df, "k", "at")) == expected
+    assert rows(merging.one_per_key(df, "k")) == expected
+    dotted = df.withColumnRenamed("v", "v.w")
+    assert merging.one_per_key(dotted, "k").columns == ["k", "v.w", "at"]
 
 
 def _skewed(spark):
