@@ -26,6 +26,12 @@ def delete(spark: SparkSession, path: str) -> None:
     _fs(spark, path).delete(_path(spark, path), True)
 
 
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Make a folder that goes with the application, unless it is deleted before."""
+    _fs(spark, path).mkdirs(_path(spark, path))
+    _fs(spark, path).deleteOnExit(_path(spark, path))
+
+
 def path_of_uri(spark: SparkSession, uri: str) -> str:
     """A plain path from the URL-encoded form Spark reports for files."""
     jvm = spark._jvm
