@@ -12,6 +12,7 @@ empty result; further columns of any name are ignored, or kept by ``keep_good``.
 
 from __future__ import annotations
 
+import operator
 import re
 import time
 from collections import Counter
@@ -67,8 +68,9 @@ def too_many_symbols(text: str, words: list[str]) -> bool:
 
 
 def too_many_duplicate_lines(text: str, words: list[str]) -> bool:
-    """More than 30 of 100 lines equal an earlier one."""
-    return 100 * duplicate_lines(text) > 30 * len(lines_with_words(text))
+    """At least three lines equal an earlier one, and more than 30 of 100 do."""
+    duplicates = duplicate_lines(text)
+    return duplicates >= 3 and 100 * duplicates > 30 * len(lines_with_words(text))
 
 
 def shouting(text: str, words: list[str]) -> bool:
@@ -82,6 +84,11 @@ def exclaiming(text: str, words: list[str]) -> bool:
     return 100 * sum(1 for w in words if _SHOUTED.search(w)) > 20 * len(words)
 
 
+def stuttering(text: str, words: list[str]) -> bool:
+    """More than 30 of 100 words equal the word before."""
+    return 100 * sum(map(operator.eq, words, words[1:])) > 30 * len(words)
+
+
 def few_letters(text: str, words: list[str]) -> bool:
     """More than 40 of 100 words hold no letter."""
     return 100 * sum(1 for w in words if not _LETTER.search(w)) > 40 * len(words)
@@ -97,6 +104,7 @@ RULES: dict[str, Callable[[str, list[str]], bool]] = {
     "too_many_duplicate_lines": too_many_duplicate_lines,
     "shouting": shouting,
     "exclaiming": exclaiming,
+    "stuttering": stuttering,
     "few_letters": few_letters,
     "endless_words": endless_words,
 }
