@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.llm import near_dedup, quality_rules
-from matchlake.llm.common import table
+from matchlake.llm import bitplanes, mixing, near_dedup, packing, quality_rules
+from matchlake.llm.common import Scratch, table
+
+
+def op3_token_bitplanes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{Scratch(spark, 'bitplanes').root}/tokens"
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    bitplanes.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary, end=2)
+    return bitplanes.digest(spark, path)
 
 
 def op7_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,8 +26,24 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op8_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary, end=1)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_quality_cascade, op9_near_dedup)
+    f.__name__: f
+    for f in (
+        op3_token_bitplanes,
+        op7_quality_cascade,
+        op8_entropy_mixing,
+        op9_near_dedup,
+        op10_best_fit_packing,
+    )
 }
 
 SQL: dict[str, str] = {}
