@@ -5,9 +5,10 @@ Each stage works on all rows its predecessor kept, written as Parquet between st
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.llm import near_dedup, quality_rules
+from matchlake.llm import line_dedup, mixing, near_dedup, packing, quality_rules
 from matchlake.llm.common import Scratch, table
 
 
@@ -16,12 +17,33 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that an earlier line repeats; those left empty go."""
+    return line_dedup.dedup_lines(docs)
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
     return near_dedup.drop_near_duplicates(docs)
 
 
-STAGES = [("quality rules", quality), ("near duplicates", near_copies)]
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix of sources takes it."""
+    return mixing.mixed(docs)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their places in training sequences."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("near duplicates", near_copies),
+    ("mixing", mixture),
+    ("packing", sequences),
+]
 
 #: Rules on whole texts, word shingles and tokenizers are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
@@ -29,6 +51,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark, "corpus")
-    for at, (name, stage) in enumerate(STAGES):
+    for at, (_, stage) in enumerate(STAGES):
         docs = scratch.keep(stage(spark, docs, sf_dir), f"stage-{at}")
     return docs

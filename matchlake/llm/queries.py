@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.llm import bitplanes, mixing, near_dedup, packing, quality_rules
+from matchlake.llm import bitplanes, line_dedup, mixing, near_dedup, packing, quality_rules
 from matchlake.llm.common import Scratch, table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op3_token_bitplanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{Scratch(spark, 'bitplanes').root}/tokens"
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
@@ -38,6 +42,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_line_dedup,
         op3_token_bitplanes,
         op7_quality_cascade,
         op8_entropy_mixing,
