@@ -196,22 +196,27 @@ def near_duplicates(
     scratch = Scratch(spark, "near")
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     plan = banding(percent)
-    all_docs = scratch.keep(sketches(docs, width, plan), "sketches")
+    drawn = scratch.keep(sketches(docs, width, plan), "sketches")
 
     # One document stands for all with the same words.
-    usable = all_docs.filter("digest is not null and id is not null")
+    usable = drawn.filter("digest is not null and id is not null")
     stand = F.min_by(F.struct("n", "keys", *_ODD), "id").alias("s")
     reps = usable.groupBy("digest").agg(F.min("id").alias("id"), stand).select("id", "digest", "s.*")
     reps = scratch.keep(reps, "reps")
+    all_docs = scratch.keep(drawn.select("id", "digest", "n"), "docs")
+    scratch.drop("sketches")
 
     keyed = reps.select(F.explode("keys").alias("key"), "id")
-    shared = keyed.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi")
-    met = scratch.keep(keyed.join(shared.select("key"), "key").distinct(), "met")
+    shared = keyed.groupBy("key").count().filter("count > 1").select("key")
+    met = scratch.keep(keyed.join(shared, "key"), "met")
     members = scratch.keep(met.select("id").distinct(), "members")
     few = _small(members)
     # An id has several rows here if its rows hold several texts.
     facts = scratch.keep(reps.join(few, "id", "left_semi").drop("digest", "keys"), "facts")
-    sets = scratch.keep(shingle_sets(docs.join(few, "id", "left_semi"), width).distinct(), "sets")
+    sets = shingle_sets(docs.join(few, "id", "left_semi"), width)
+    if not all_docs.filter("id is not null").groupBy("id").count().filter("count > 1").isEmpty():
+        sets = sets.distinct()
+    sets = scratch.keep(sets, "sets")
 
     # Each document meets the smallest document of its keys that its sketch does not rule out.
     hubs = met.join(met.groupBy("key").agg(F.min("id").alias("hub")), "key").filter("id > hub")
@@ -221,8 +226,11 @@ def near_duplicates(
     step = 0
     while True:
         closed = scratch.keep(components(links, scratch, f"cc{step}"), f"closed-{step}")
-        rest = _outside(met, members, closed)
-        rest = scratch.keep(rest, f"rest-{step}")
+        rows = scratch.keep(_with_component(met, members, closed), f"rows-{step}")
+        rest = scratch.keep(_outside(rows), f"rest-{step}")
+        scratch.drop(f"rows-{step}")
+        # A key within one component stays there: it need not be looked at again.
+        met = rest.select("key", "id")
         work, largest = rest.agg(F.sum("outside_rows"), F.count("*")).first()
         if not largest:
             break
@@ -260,10 +268,13 @@ def _round(pairs: DataFrame, facts: DataFrame, sets: DataFrame, percent: int) ->
     return _confirmed(near.select(F.col("id").alias("a"), "b"), sets, percent)
 
 
-def _outside(met: DataFrame, members: DataFrame, closed: DataFrame) -> DataFrame:
-    """Rows of keys that hold several components, marked if outside the largest one."""
+def _with_component(met: DataFrame, members: DataFrame, closed: DataFrame) -> DataFrame:
     known = members.join(closed, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
-    rows = met.join(known, "id")
+    return met.join(known, "id")
+
+
+def _outside(rows: DataFrame) -> DataFrame:
+    """Rows of keys that hold several components, marked if outside the largest one."""
     groups = rows.groupBy("key", "component").agg(F.count("*").alias("n"))
     top = groups.groupBy("key").agg(
         F.max_by("component", F.struct("n", "component")).alias("top"),
