@@ -5,9 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
-
-from matchlake.llm import bitplanes, chat_format, line_dedup, mixing, near_dedup, packing, quality_rules
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from matchlake.llm import (
+    bitplanes,
+    chat_format,
+    language_id,
+    line_dedup,
+    mixing,
+    near_dedup,
+    neighbours,
+    packing,
+    quality_rules,
+)
 from matchlake.llm.common import Scratch, table
 
 
@@ -35,6 +45,15 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(chat_format.formatted(log))
 
 
+def op5_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return neighbours.search(rows, F.coalesce(F.col("vec_id") % 20 == 0, F.lit(False)))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
 
@@ -58,6 +77,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_line_dedup,
         op3_token_bitplanes,
         op4_chat_format,
+        op5_multiprobe_neighbours,
+        op6_language_id,
         op7_quality_cascade,
         op8_entropy_mixing,
         op9_near_dedup,
