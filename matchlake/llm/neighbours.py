@@ -32,7 +32,7 @@ from pyspark.sql.window import Window
 
 from matchlake.llm.common import Scratch
 
-TABLES = 10
+TABLES = 14
 DIRECTIONS = 8
 #: Width of a slot, in units of the greatest norm.
 WIDTH = 2.0

@@ -11,6 +11,7 @@ from matchlake.llm import (
     bitplanes,
     chat_format,
     language_id,
+    license_scan,
     line_dedup,
     mixing,
     near_dedup,
@@ -25,6 +26,19 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree: below their source, in directories of 64, those of 512
+    in one above; every eighth is the licence file of its directory."""
+    docs = table(spark, sf_dir, "documents")
+    kind = F.when(F.col("doc_id") % 8 == 0, "LICENSE").otherwise("file")
+    name = F.concat(kind, F.lit("."), F.col("doc_id").cast("string"))
+    path = F.concat_ws(
+        "/", F.coalesce("source", F.lit("none")), F.expr("doc_id div 512"), F.expr("doc_id div 64"), name
+    )
+    files = docs.select(F.col("doc_id").alias("id"), path.alias("path"), "text")
+    return license_scan.license_scan(files).withColumnRenamed("id", "doc_id")
+
+
 def op3_token_bitplanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{Scratch(spark, 'bitplanes').root}/tokens"
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
@@ -75,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_line_dedup,
+        op2_license_scan,
         op3_token_bitplanes,
         op4_chat_format,
         op5_multiprobe_neighbours,
