@@ -650,7 +650,7 @@ def _label_map(spark, sf_dir):
 @query(
     "pct_of_total",
     f"""select fixture_status_short, count(*) as matches,
-          round(100.0 * count(*) / (select count(*) from orders), 1) as pct
+          round_even(100.0 * count(*) / (select count(*) from orders), 1) as pct
         from ({M}) group by fixture_status_short""",
 )
 def _pct_of_total(spark, sf_dir):
@@ -660,12 +660,28 @@ def _pct_of_total(spark, sf_dir):
     return counts.withColumn("pct", fn.pct_of_total(F.col("matches"), total))
 
 
-@query("round2", "select o_orderkey, round(o_totalprice / 7, 2) as share from orders")
+@query("round2", "select o_orderkey, round_even(o_totalprice / 7, 2) as share from orders")
 def _round2(spark, sf_dir):
     orders = standins.table(spark, sf_dir, "orders")
     return orders.select("o_orderkey", fn.round2(F.col("o_totalprice") / 7).alias("share"))
 
 
+@query("round2_ties", "select l_orderkey, l_linenumber, round_even(l_quantity / 8, 2) as share from lineitem")
+def _round2_ties(spark, sf_dir):
+    """Eighths, half of which lie between two hundredths."""
+    items = standins.table(spark, sf_dir, "lineitem")
+    return items.select("l_orderkey", "l_linenumber", fn.round2(F.col("l_quantity") / 8).alias("share"))
+
+
+@query(
+    "pct_label",
+    "select l_quantity, printf('%.1f', round_even(100.0 * l_quantity / 16, 1)) || '%' as share from lineitem",
+)
+def _pct_label(spark, sf_dir):
+    items = standins.table(spark, sf_dir, "lineitem")
+    return items.select("l_quantity", fn.pct_label(F.col("l_quantity"), F.lit(16)).alias("share"))
+
+
 # --- Seasons ---------------------------------------------------------------------
 
 
@@ -771,6 +787,65 @@ def _null_counts(spark, sf_dir):
     return metrics.null_counts(standins.matches(spark, sf_dir))
 
 
+# Seven is no number of goals in the stand-ins: there it becomes NaN, which is missing.
+MN = f"""select * replace (cast(nullif(total_goals, 7) as double) as total_goals) from ({MW})"""
+
+
+def _with_nan(spark, sf_dir):
+    goals = F.when(F.col("total_goals") == 7, F.lit("NaN").cast("double"))
+    goals = goals.otherwise(F.col("total_goals").cast("double"))
+    return _outcomes(spark, sf_dir).withColumn("total_goals", goals)
+
+
+@query(
+    "null_counts_nan",
+    f"select 'total_goals' as column_name, count(*) - count(total_goals) as nulls from ({MN})",
+)
+def _null_counts_nan(spark, sf_dir):
+    return metrics.null_counts(_with_nan(spark, sf_dir), ["total_goals"])
+
+
+@query(
+    "n_unique_nan",
+    f"select 'total_goals' as column_name, count(distinct total_goals) as n_unique from ({MN})",
+)
+def _n_unique_nan(spark, sf_dir):
+    return metrics.n_unique(_with_nan(spark, sf_dir), ["total_goals"])
+
+
+@query(
+    "column_profile_nan",
+    f"""select cast(0 as integer) as position, 'total_goals' as column_name, 'double' as data_type,
+          count(total_goals) as non_null from ({MN})""",
+)
+def _column_profile_nan(spark, sf_dir):
+    return metrics.column_profile(_with_nan(spark, sf_dir).select("total_goals"))
+
+
+@query(
+    "value_counts_nan",
+    f"select total_goals, count(*) as matches from ({MN}) where total_goals is not null group by 1",
+)
+def _value_counts_nan(spark, sf_dir):
+    return metrics.value_counts(_with_nan(spark, sf_dir), "total_goals")
+
+
+@query("goals_sum_nan", f"select coalesce(sum(total_goals), 0) as goals from ({MN})")
+def _goals_sum_nan(spark, sf_dir):
+    return metrics.goals_sum(_with_nan(spark, sf_dir))
+
+
+@query(
+    "goals_stats_nan",
+    f"""select round_even(avg(total_goals), 2) as mean, round_even(median(total_goals), 2) as median,
+          (select total_goals from ({MN}) where total_goals is not null
+           group by total_goals order by count(*) desc, total_goals limit 1) as mode,
+          round_even(stddev_samp(total_goals), 2) as std from ({MN})""",
+)
+def _goals_stats_nan(spark, sf_dir):
+    return metrics.goals_stats(_with_nan(spark, sf_dir))
+
+
 @query("distinct_values", f"select distinct match_winner from ({MW})")
 def _distinct_values(spark, sf_dir):
     return metrics.distinct_values(_outcomes(spark, sf_dir), "match_winner")
@@ -821,7 +896,7 @@ def _value_counts(spark, sf_dir):
     "result_distribution",
     f"""select cast(position as integer) as position, r as "Resultado",
           count(resultado) as matches,
-          round(100.0 * count(resultado) / (select count(*) from orders), 1) as pct
+          round_even(100.0 * count(resultado) / (select count(*) from orders), 1) as pct
         from (values (0, 'Local'), (1, 'Empate'), (2, 'Visitante')) v(position, r)
         left join ({MW}) m on m.resultado = v.r group by 1, 2""",
 )
@@ -836,10 +911,10 @@ def _goals_sum(spark, sf_dir):
 
 def _stats_sql(column: str, names: str = "mean|median|mode|std") -> str:
     mean, median, mode, std = names.split("|")
-    return f"""round(avg({column}), 2) as "{mean}", round(median({column}), 2) as "{median}",
+    return f"""round_even(avg({column}), 2) as "{mean}", round_even(median({column}), 2) as "{median}",
       (select {column} from ({MW}) where {column} is not null
        group by {column} order by count(*) desc, {column} limit 1) as "{mode}",
-      round(stddev_samp({column}), 2) as "{std}" """
+      round_even(stddev_samp({column}), 2) as "{std}" """
 
 
 @query("goals_stats", f"select {_stats_sql('total_goals')} from ({MW})")
@@ -1008,7 +1083,7 @@ def _report_sql() -> str:
     ]
     for measure, value in (
         ("matches", "count(*)"),
-        ("pct", "round(100.0 * count(*) / (select count(*) from orders), 1)"),
+        ("pct", "round_even(100.0 * count(*) / (select count(*) from orders), 1)"),
     ):
         parts.append(
             _report(

@@ -10,6 +10,7 @@ from matchlake.functions.dates import (
 )
 from matchlake.functions.numbers import (
     nan_to_null,
+    pct_label,
     pct_of_total,
     quoted,
     round2,
@@ -30,6 +31,7 @@ __all__ = [
     "nan_to_null",
     "parse_to_minute",
     "parse_utc",
+    "pct_label",
     "pct_of_total",
     "quoted",
     "result_label",

@@ -36,9 +36,16 @@ def whole_number(value: Column, dtype: T.DataType) -> Column:
 
 
 def round2(value: Column) -> Column:
-    return F.round(value, 2)
+    """Two decimals; a tie goes to the even digit."""
+    return F.bround(value, 2)
 
 
 def pct_of_total(part: Column, total: Column) -> Column:
-    """Percentage with one decimal; NULL for an empty total."""
-    return F.round(F.try_divide(part * F.lit(100.0), total), 1)
+    """Percentage with one decimal, ties to even; NULL for an empty total."""
+    return F.bround(F.try_divide(part * F.lit(100.0), total), 1)
+
+
+def pct_label(part: Column, total: Column) -> Column:
+    """The percentage as it is shown: one decimal and a percent sign."""
+    shown = F.call_function("format_number", pct_of_total(part, total), F.lit("0.0"))
+    return F.concat(shown, F.lit("%"))

@@ -25,6 +25,8 @@ from matchlake.schemas import GOAL_MEASURES, RESULT_LABELS, RESULT_ORDER, SIDE_M
 from matchlake.session import pinned
 
 COUNT = "matches"
+#: Bins of a histogram that are made as one array.
+BIN_CHUNK = 65_536
 CUBE_COLUMNS = [
     "match_winner",
     "goals_home",
@@ -35,6 +37,17 @@ CUBE_COLUMNS = [
 ]
 
 
+def without_nan(df: DataFrame) -> DataFrame:
+    """NaN means missing: it becomes NULL in every floating-point column."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    floating = [c for c, t in kinds.items() if isinstance(t, (T.DoubleType, T.FloatType))]
+    if not floating:
+        return df
+    return df.select(
+        *[nan_to_null(quoted(c), t).alias(c) if c in floating else quoted(c) for c, t in kinds.items()]
+    )
+
+
 def _matches(weight: str | None, where: str = "true") -> Column:
     """Number of matches, all or those for which a condition is true."""
     each = "1L" if weight is None else ticked(weight)
@@ -50,7 +63,7 @@ def _matches_by_result(column: str, weight: str | None) -> list[Column]:
 
 def _weighted_sum(column: str, weight: str | None) -> Column:
     value = ticked(column) + ("" if weight is None else f" * {ticked(weight)}")
-    return F.expr(f"coalesce(sum({value}), 0L)")
+    return F.expr(f"coalesce(sum({value}), 0)")
 
 
 def _text(value: str) -> str:
@@ -65,6 +78,7 @@ def _rows(one_row: DataFrame, names: str, *values: Sequence[str]) -> DataFrame:
 
 def match_counts(df: DataFrame, columns: Sequence[str] = CUBE_COLUMNS) -> DataFrame:
     """Number of matches per combination of the columns the metrics need."""
+    df = without_nan(df)
     return df.groupBy(*[quoted(c) for c in columns]).agg(F.count(F.lit(1)).alias(COUNT))
 
 
@@ -86,22 +100,26 @@ def _per_column(df: DataFrame, columns: Sequence[str], count: str, name: str) ->
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    df = without_nan(df)
     return _per_column(df, list(columns or df.columns), "count_if({} IS NULL)", "nulls")
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """Distinct values, a missing one included."""
+    df = without_nan(df)
     return df.select(quoted(column)).distinct()
 
 
 def n_unique(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
     """Distinct non-null values per column; exact unless ``approximate``."""
+    df = without_nan(df)
     count = "approx_count_distinct({})" if approximate else "count(DISTINCT {})"
     return _per_column(df, columns, count, "n_unique")
 
 
 def column_profile(df: DataFrame) -> DataFrame:
     """Position, name, type and number of non-null values of every column."""
+    df = without_nan(df)
     fields = df.schema.fields
     counts = df.selectExpr(*[f"count({ticked(f.name)}) AS n{i}" for i, f in enumerate(fields)])
     return _rows(
@@ -116,6 +134,7 @@ def column_profile(df: DataFrame) -> DataFrame:
 
 def value_counts(df: DataFrame, column: str, weight: str | None = None) -> DataFrame:
     """Matches per value, most frequent first, ties by value; missing values left out."""
+    df = without_nan(df)
     return (
         df.filter(quoted(column).isNotNull())
         .groupBy(quoted(column))
@@ -128,6 +147,7 @@ def elapsed_counts(
     df: DataFrame, column: str = "fixture_status_elapsed", weight: str | None = None
 ) -> DataFrame:
     """Matches per value in ascending order of the value."""
+    df = without_nan(df)
     return (
         df.filter(quoted(column).isNotNull())
         .groupBy(quoted(column))
@@ -160,6 +180,7 @@ def results_by_season(
     weight: str | None = None,
 ) -> DataFrame:
     """One row per season in ascending order, one column per result, zero-filled."""
+    df = without_nan(df)
     return (
         df.filter(quoted(season).isNotNull())
         .groupBy(quoted(season))
@@ -172,10 +193,12 @@ def results_by_season(
 
 
 def goals_sum(df: DataFrame, column: str = "total_goals", weight: str | None = None) -> DataFrame:
+    df = without_nan(df)
     return df.agg(_weighted_sum(column, weight).alias("goals"))
 
 
 def goals_by_condition(df: DataFrame, weight: str | None = None) -> DataFrame:
+    df = without_nan(df)
     sums = df.agg(*[_weighted_sum(c, weight).alias(c) for c in SIDE_MEASURES.values()])
     return _rows(
         sums,
@@ -192,6 +215,7 @@ def _frequencies(
     The combinations are counted before they are unpivoted, so input rows are not
     multiplied by the number of measures.
     """
+    df = without_nan(df)
     names = list(measures.values())
     if len(names) == 1:
         return df.groupBy(quoted(names[0]).alias("value")).agg(_matches(weight).alias("n"))
@@ -301,6 +325,7 @@ def goals_histogram(
     df: DataFrame, column: str = "total_goals", weight: str | None = None
 ) -> DataFrame:
     """Matches per whole number of goals from 0 to the maximum, empty bins kept."""
+    df = without_nan(df)
     counts = (
         df.filter(quoted(column).isNotNull())
         .groupBy(quoted(column).alias("goals"))
@@ -308,9 +333,15 @@ def goals_histogram(
     )
     # Naming the count in the maximum keeps both uses of ``counts`` alike, so that the
     # table is scanned once and the exchange is reused.
-    bins = counts.agg(F.expr("max(if(n > 0, goals, NULL))").alias("top")).selectExpr(
-        "explode(if(top >= 0, sequence(0L, top), NULL)) AS goals"
-    )
+    top = counts.agg(F.expr("max(if(n > 0, cast(goals AS LONG), NULL))").alias("top"))
+    # Bins are made chunk by chunk, in as many tasks as there are many chunks, so that a
+    # single very large value costs rows but no task its memory.
+    many, some = 1_000_000_000, BIN_CHUNK
+    blocks = top.selectExpr("top", f"explode(if(top >= 0, sequence(0L, top, {many}L), NULL)) AS block")
+    chunks = blocks.selectExpr(
+        "top", f"explode(sequence(block, least(top, block + {many - 1}L), {some}L)) AS first"
+    ).repartition("first")
+    bins = chunks.selectExpr(f"explode(sequence(first, least(top, first + {some - 1}L))) AS goals")
     return bins.join(counts, "goals", "left").selectExpr("goals", f"coalesce(n, 0L) AS {COUNT}")
 
 

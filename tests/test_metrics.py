@@ -133,3 +133,20 @@ def test_metrics_from_counts_equal_brute_force(spark, data):
         assert mode == min(statistics.multimode(totals))
         if len(totals) > 1:
             assert std == pytest.approx(statistics.stdev(totals), abs=0.0051)
+
+
+def test_histogram_of_one_very_large_value(spark):
+    df = spark.createDataFrame([(1,), (3_000_000,)], "total_goals long")
+    bins = metrics.goals_histogram(df)
+    assert bins.count() == 3_000_001
+    assert rows(bins.filter("matches > 0").orderBy("goals")) == [(1, 1), (3_000_000, 1)]
+
+
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "total_goals double")
+    assert rows(metrics.null_counts(df)) == [("total_goals", 2)]
+    assert rows(metrics.n_unique(df, ["total_goals"])) == [("total_goals", 1)]
+    assert rows(metrics.column_profile(df)) == [(0, "total_goals", "double", 1)]
+    assert rows(metrics.goals_sum(df)) == [(1.0,)]
+    assert rows(metrics.value_counts(df, "total_goals")) == [(1.0, 1)]
+    assert rows(metrics.goals_stats(df)) == [(1.0, 1.0, 1.0, None)]
