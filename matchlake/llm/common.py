@@ -43,6 +43,18 @@ class Scratch:
             files.delete(self.spark, f"{self.root}/{name}")
 
 
+def packed(docs: DataFrame, **columns: str) -> DataFrame:
+    """Rows as one column ``row``, and some of its columns by names of our own beside it,
+    so that no name of theirs can clash with one of ours."""
+    quoted = lambda name: F.col(f"`{name}`")
+    row = F.struct(*[quoted(c) for c in docs.columns]).alias("row")
+    return docs.select(row, *[quoted(c).alias(name) for name, c in columns.items()])
+
+
+def unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(*[F.col("row")[c].alias(c) for c in columns])
+
+
 def n_words(text: Column) -> Column:
     """Number of words of a text, 0 for null."""
     plain = F.trim(F.regexp_replace(text, SPACES, " "))

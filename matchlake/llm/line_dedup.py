@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from matchlake.llm.common import SPACES, Scratch
+from matchlake.llm.common import SPACES, Scratch, packed
 
 MIN_WORDS = 3
 MIN_WORDS_NEAR = 10
@@ -181,22 +181,21 @@ def dedup_lines(
     """The documents without the lines that go, with all their columns."""
     found = _cleaned(docs, id_col, text_col, min_words, min_words_near)
     if drop_empty:
-        emptied = F.col("__drop").isNotNull() & F.coalesce(_normal(F.col("__text")) == "", F.lit(True))
+        emptied = F.col("drop").isNotNull() & F.coalesce(_normal(F.col("left")) == "", F.lit(True))
         found = found.filter(~emptied)
-    return found.select(*[F.col("__text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    return found.select(*[F.col("left" if c == text_col else f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def _cleaned(docs: DataFrame, id_col: str, text_col: str, min_words: int, min_words_near: int) -> DataFrame:
-    """All columns, and __drop and __text; __drop is null where nothing goes."""
-    slim = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    drop = duplicate_lines(slim, min_words, min_words_near)
-    drop = drop.select(F.col("doc").alias("__doc"), F.col("drop").alias("__drop"))
-    both = docs.join(drop, docs[id_col].eqNullSafe(F.col("__doc")), "left")
-    lines = F.split(F.col(text_col), "\n")
+    """(row, id, text, drop, left): rows, what goes (null if nothing) and the text left."""
+    rows = packed(docs, id=id_col, text=text_col)
+    drop = duplicate_lines(rows.select(F.col("id").alias("doc"), "text"), min_words, min_words_near)
+    both = rows.join(drop, F.col("id").eqNullSafe(F.col("doc")), "left")
+    lines = F.split("text", "\n")
     places = F.sequence(F.lit(0), F.size(lines) - 1)
-    left = F.array_except(places, F.transform("__drop", lambda d: d["at"]))
+    left = F.array_except(places, F.transform("drop", lambda d: d["at"]))
     text = F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
-    return both.withColumn("__text", F.when(F.col("__drop").isNull(), F.col(text_col)).otherwise(text))
+    return both.withColumn("left", F.when(F.col("drop").isNull(), F.col("text")).otherwise(text))
 
 
 def line_report(
@@ -209,13 +208,13 @@ def line_report(
     """(id, n_lines, n_copies, n_near, text): what goes from each document, and what stays."""
     found = _cleaned(docs, id_col, text_col, min_words, min_words_near)
     of_kind = lambda near: F.coalesce(
-        F.size(F.filter("__drop", lambda d: d["near"] == F.lit(near))).cast("long"), F.lit(0)
+        F.size(F.filter("drop", lambda d: d["near"] == F.lit(near))).cast("long"), F.lit(0)
     )
-    n_lines = F.coalesce(F.size(F.split(F.col(text_col), "\n")).cast("long"), F.lit(0))
+    n_lines = F.coalesce(F.size(F.split("text", "\n")).cast("long"), F.lit(0))
     return found.select(
-        F.col(id_col),
+        F.col("id").alias(id_col),
         n_lines.alias("n_lines"),
         of_kind(False).alias("n_copies"),
         of_kind(True).alias("n_near"),
-        F.col("__text").alias("text"),
+        F.col("left").alias("text"),
     )

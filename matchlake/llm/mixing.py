@@ -21,7 +21,7 @@ import math
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from matchlake.llm.common import Scratch, n_words
+from matchlake.llm.common import Scratch, n_words, packed, unpacked
 from matchlake.llm.ranking import ranked
 
 WEIGHTS = (1.0, 2.0, 3.0)
@@ -162,21 +162,21 @@ def mixed(
     cap: int = CAP,
 ) -> DataFrame:
     """The rows of the mix: every row as often as it is taken, with all its columns."""
-    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(*[docs[c] for c in docs.columns]).alias("hash"))
-    rows = docs.select(key.alias("key"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"))
+    key = F.struct(F.col("id").alias("id"), F.xxhash64("row").alias("hash")).alias("key")
+    marked = packed(docs, id=id_col, text=text_col, source=source_col)
+    marked = marked.select("row", key, "source", n_words(F.col("text")).alias("size"))
     # Rows alike in all columns share their copies; one of them then stands for all.
-    total = _with_copies(rows, weights, cap).groupBy("key").agg(
-        F.sum("copies").alias("__copies"), F.count("*").alias("__alike")
+    total = _with_copies(marked.select("key", "source", "size"), weights, cap).groupBy("key").agg(
+        F.sum("copies").alias("copies"), F.count("*").alias("alike")
     )
     total = Scratch(docs.sparkSession, "mixed").keep(total, "copies")
-    names = docs.columns
-    marked = docs.withColumn("__key", key)
-    if not total.filter("__alike > 1").isEmpty():
-        marked = marked.dropDuplicates(["__key"])
-    same = F.col("__key.id").eqNullSafe(F.col("key.id")) & (F.col("__key.hash") == F.col("key.hash"))
-    taken = marked.join(total.filter("__copies > 0"), same)
-    times = F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))
-    return taken.select(*names, times.alias("__time")).select(*names)
+    if not total.filter("alike > 1").isEmpty():
+        marked = marked.dropDuplicates(["key"])
+    # Field by field, as a missing id equals a missing one here.
+    same = F.col("m.key.id").eqNullSafe(F.col("t.key.id")) & (F.col("m.key.hash") == F.col("t.key.hash"))
+    taken = marked.alias("m").join(total.filter("copies > 0").alias("t"), same)
+    times = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    return unpacked(taken.select("row", times.alias("time")), docs.columns)
 
 
 def _with_copies(rows: DataFrame, weights, cap: int) -> DataFrame:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from matchlake.llm.common import WORD, Scratch, components
+from matchlake.llm.common import WORD, Scratch, components, packed, unpacked
 
 #: Probability with which two documents just at the threshold share no key, at most.
 MISS = 1e-6
@@ -312,13 +312,11 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """One row for each group of near copies, the smallest id, with all columns of it."""
     report = near_duplicates(docs, id_col, text_col, width, percent)
-    gone = report.filter("not kept").select(F.col(id_col).alias("__gone")).distinct()
-    left = docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
+    gone = report.filter("not kept").select(F.col(id_col).alias("gone")).distinct()
+    rows = packed(docs, id=id_col, text=text_col)
+    left = rows.join(gone, F.col("id") == F.col("gone"), "left_anti")
     # Rows that repeat an id: the one with the smallest text stays; without an id all stay.
-    repeated = left.filter(F.col(id_col).isNotNull()).groupBy(id_col).count().filter("count > 1")
-    if repeated.isEmpty():
-        return left
-    names = left.columns
-    first = Window.partitionBy(F.col(id_col)).orderBy(F.col(text_col), F.xxhash64(*names))
-    ranked = left.withColumn("__rank", F.row_number().over(first))
-    return ranked.filter((F.col("__rank") == 1) | F.col(id_col).isNull()).select(*names)
+    if not left.filter("id is not null").groupBy("id").count().filter("count > 1").isEmpty():
+        first = Window.partitionBy("id").orderBy("text", F.xxhash64("row"))
+        left = left.withColumn("rank", F.row_number().over(first)).filter("rank = 1 or id is null")
+    return unpacked(left, docs.columns)

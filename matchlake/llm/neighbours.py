@@ -35,7 +35,7 @@ from matchlake.llm.common import Scratch
 TABLES = 14
 DIRECTIONS = 8
 #: Width of a slot, in units of the greatest norm.
-WIDTH = 2.0
+WIDTH = 2.15
 PROBES = 60
 #: Vectors of a group, and queries multiplied with them at once.
 GROUP = 8000

@@ -66,7 +66,7 @@ def test_sketch_never_rules_out_what_sets_confirm():
         for _ in range(random.randrange(8)):
             other[random.randrange(len(other))] = "z"
         x, y = (near_dedup.shingle_hashes(w, 3, known) for w in (words, other))
-        bits = np.bitwise_count(near_dedup.odd_sketch(x) ^ near_dedup.odd_sketch(y)).sum()
+        bits = np.bitwise_count((near_dedup.odd_sketch(x) ^ near_dedup.odd_sketch(y)).view(np.uint64)).sum()
         assert bits <= len(np.setxor1d(x, y))
 
 
@@ -78,6 +78,7 @@ def test_near_copies_of_odd_documents(odd_docs, no_docs):
     assert of[5][1] == of[6][1] == 5 and of[None][1:] == (None, True)
     left = near_dedup.drop_near_duplicates(odd_docs)
     assert left.columns == odd_docs.columns
+    assert left.filter("__text <> 'own __text' or key <> 'own key'").isEmpty()
     assert Counter(r["doc_id"] for r in left.collect())[5] == 1
     assert near_dedup.near_duplicates(no_docs).count() == near_dedup.drop_near_duplicates(no_docs).count() == 0
 
@@ -112,6 +113,7 @@ def test_mix_of_odd_documents(odd_docs, no_docs):
     assert len(found) == odd_docs.count()
     rows = mixing.mixed(odd_docs)
     assert rows.columns == odd_docs.columns
+    assert rows.filter("__text <> 'own __text' or key <> 'own key'").isEmpty()
     words = sum(len(WORD.findall(r["text"] or "")) for r in rows.collect())
     assert words == sum(r["taken"] for r in found)
     assert mixing.mix(no_docs).count() == mixing.mixed(no_docs).count() == 0

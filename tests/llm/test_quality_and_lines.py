@@ -109,6 +109,7 @@ def test_edits_at_every_place(spark):
 def test_lines_of_odd_documents(odd_docs, no_docs):
     left = line_dedup.dedup_lines(odd_docs)
     assert left.columns == odd_docs.columns
+    assert left.filter("__text <> 'own __text' or key <> 'own key'").isEmpty()
     # Without an id comes first; its copies and the line one word away go, and so do their documents.
     assert sorted((r["doc_id"] or 0) for r in left.collect()) == [0, 1, 2, 3, 4, 8]
     assert line_dedup.dedup_lines(no_docs).count() == 0
