@@ -22,15 +22,16 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from matchlake.functions import quoted
+from matchlake.functions import quoted, ticked
 from matchlake.session import pinned
 
 _HIT, _HOT, _HOT_HIT, _SPREAD, _COPIES = "__hit", "__hot", "__hot_hit", "__spread", "__copies"
+_CHOSEN = "__chosen"
 
 
 # Key types whose range is worth a scan filter.
@@ -294,6 +295,22 @@ def new_rows_where(target: DataFrame, source: DataFrame, condition: str | Column
     return found
 
 
+def of_one_document(
+    df: DataFrame, keys: str | Sequence[str], document: str, latest: bool = False
+) -> DataFrame:
+    """Of each key the rows of one document, the earliest or the latest that has the key.
+
+    What is stored then does not depend on how many documents came in one batch. Copies
+    within the document stay, and so do rows without a key.
+    """
+    keys = _keys(keys)
+    pick = F.max if latest else F.min
+    chosen = df.groupBy(*[quoted(k) for k in keys]).agg(pick(quoted(document)).alias(_CHOSEN))
+    same = [F.col(f"l.{ticked(k)}").eqNullSafe(F.col(f"r.{ticked(k)}")) for k in keys]
+    both = df.alias("l").join(chosen.alias("r"), reduce(and_, same)).select("l.*", _CHOSEN)
+    return both.filter(_any_null(keys) | (quoted(document) == quoted(_CHOSEN))).drop(_CHOSEN)
+
+
 def one_per_key(
     df: DataFrame, keys: str | Sequence[str], latest_by: str | None = None
 ) -> DataFrame:

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from matchlake.operators.calendar import event_date_derive
-from matchlake.operators.merging import one_per_key
+from matchlake.operators.merging import of_one_document, one_per_key
 from matchlake.operators.retype import cast_float_if_exists
 from matchlake.operators.shaping import flatten_nested, rename_key
-from matchlake.schemas import ENTITIES
+from matchlake.schemas import DELIVERED, ENTITIES
 from matchlake.sources import save_new, save_upsert, write_table
 
 
@@ -38,10 +38,17 @@ def load_fixtures(
     lenient: bool = False,
     dedup_source: bool = False,
 ) -> DataFrame:
-    """Merge landed matches into Bronze; returns the batch that was merged."""
-    batch = bronze_fixtures(records, lenient)
+    """Merge landed matches into Bronze; returns the batch that was merged.
+
+    If records tell when they were delivered, the first delivery of a match is inserted and
+    the latest one upserted, as if documents had come one by one. ``dedup_source`` also
+    keeps a single row of a match that one document repeats.
+    """
+    batch, keys = bronze_fixtures(records, lenient), ENTITIES["fixtures"].keys
+    if DELIVERED in batch.columns:
+        batch = of_one_document(batch, keys, DELIVERED, latest=merge_mode == "upsert").drop(DELIVERED)
     if dedup_source:
-        batch = one_per_key(batch, ENTITIES["fixtures"].keys)
+        batch = one_per_key(batch, keys)
     store(batch, path, merge_mode)
     return batch
 

@@ -25,7 +25,7 @@ from matchlake.sources import (
     write_table,
 )
 from matchlake.sources import files
-from matchlake.sources.landing import read_documents
+from matchlake.sources.landing import read_documents, store_rejects
 
 
 @dataclass(frozen=True)
@@ -91,6 +91,9 @@ def ingest(
 ) -> list[dt.date]:
     """Landed documents to Bronze; unreadable ones, if any, to the rejects table.
 
+    A static entity is replaced as a whole, so an unreadable document of it stops the run
+    after it was set aside, and the stored table stays.
+
     For upserts it returns the days the batch has matches on (days, not matches, come
     to the driver).
     """
@@ -102,8 +105,9 @@ def ingest(
         spark, paths, entity.record, entity.data_field, lake.layout, recursive=True
     )
     with _held(raw, hold=first == last) as documents:
-        records, rejects = split_documents(documents, entity.data_field)
+        records, rejects = split_documents(documents, entity.data_field, bool(entity.keys))
         target = lake.table("bronze", entity.name)
+        unreadable = store_rejects(rejects, lake.table("rejects", entity.name))
         if entity.keys:
             batch = bronze.load_fixtures(
                 records, target, lake.merge_mode, dedup_source=lake.dedup_source
@@ -111,10 +115,10 @@ def ingest(
             if lake.merge_mode == "upsert":
                 found = batch.select("event_date").distinct().collect()
                 days = sorted(r["event_date"] for r in found if r["event_date"] is not None)
+        elif unreadable:
+            raise ValueError(f"{unreadable} unreadable documents of {entity.name}: its table is left as it was")
         else:
             bronze.load_static(records, target)
-        if rejects.count():
-            write_table(rejects, lake.table("rejects", entity.name), "append")
     return days
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 LAYERS = ("bronze", "silver", "gold", "exports", "rejects")
 CORRUPT = "_corrupt_record"
 SOURCE_FILE = "_source_file"
+# Text that sorts documents by the time they landed, and those of one time by their file.
+DELIVERED = "_delivered"
 
 
 def _record(**fields: T.DataType) -> T.StructType:

@@ -26,6 +26,13 @@ def delete(spark: SparkSession, path: str) -> None:
     _fs(spark, path).delete(_path(spark, path), True)
 
 
+def beginning_with(spark: SparkSession, path: str) -> list[str]:
+    """Paths in the same folder whose names go on after this one's."""
+    escaped = "".join(f"\\{c}" if c in "*?[]{}\\" else c for c in path)
+    found = _fs(spark, path).globStatus(_path(spark, f"{escaped}*"))
+    return [f"{path}{str(s.getPath().getName())[len(path.rsplit('/', 1)[-1]):]}" for s in found or []]
+
+
 def delete_on_exit(spark: SparkSession, path: str) -> None:
     """Make a folder that goes with the application, unless it is deleted before."""
     _fs(spark, path).mkdirs(_path(spark, path))

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from matchlake.functions import quoted
-from matchlake.schemas import CORRUPT, SOURCE_FILE
+from matchlake.schemas import CORRUPT, DELIVERED, SOURCE_FILE
+from matchlake.sources.sinks import write_table
+from matchlake.sources.tables import read_table, table_exists
 
 
 class Landing(NamedTuple):
@@ -36,25 +38,33 @@ def json_options(layout: str) -> dict[str, str]:
 
 
 def with_source_file(raw: DataFrame) -> DataFrame:
-    """Name each document's file as a plain column, which also survives caching."""
-    return raw.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
+    """Name each document's file and place in the order of delivery as plain columns,
+    which also survive caching."""
+    landed = F.unix_millis("_metadata.file_modification_time").cast("string")
+    delivered = F.concat(F.lpad(landed, 16, "0"), F.lit(" "), F.col("_metadata.file_path"))
+    return raw.select(
+        "*", F.col("_metadata.file_path").alias(SOURCE_FILE), delivered.alias(DELIVERED)
+    )
 
 
-def split_documents(raw: DataFrame, data_field: str | None) -> Landing:
+def split_documents(raw: DataFrame, data_field: str | None, ordered: bool = False) -> Landing:
     """Records of the readable documents; the others with file, reason and text.
 
+    With ``ordered`` each record names its document's place in the order of delivery.
+
     A document Spark flags (invalid JSON, or a value that does not fit the declared
     type, after which some content may still be there) is rejected whole, so no record
     enters half read.
     """
     broken = quoted(CORRUPT).isNotNull()
-    content = [c for c in raw.columns if c not in (CORRUPT, SOURCE_FILE)]
+    content = [c for c in raw.columns if c not in (CORRUPT, SOURCE_FILE, DELIVERED)]
+    order = [quoted(DELIVERED)] if ordered else []
     partly_read = reduce(or_, [quoted(c).isNotNull() for c in content])
     if data_field:
-        records = raw.filter(~broken).select(F.inline(quoted(data_field)))
+        records = raw.filter(~broken).select(*order, F.inline(quoted(data_field)))
         missing = quoted(data_field).isNull()
     else:
-        records = raw.filter(~broken).select(*[quoted(c) for c in content])
+        records = raw.filter(~broken).select(*order, *[quoted(c) for c in content])
         missing = F.lit(False)
     rejects = raw.filter(broken | missing).select(
         quoted(SOURCE_FILE).alias("source_file"),
@@ -97,3 +107,19 @@ def json_envelope(
     """
     raw = read_documents(spark, path, record, data_field, layout, recursive)
     return split_documents(raw, data_field)
+
+
+def store_rejects(rejects: DataFrame, path: str) -> int:
+    """Add the rejects that are not stored yet, so that a rerun adds none; returns how many
+    were delivered. A document that one file repeats is stored once."""
+    found = rejects.count()
+    if not found:
+        return 0
+    rejects = rejects.dropDuplicates()
+    spark = rejects.sparkSession
+    if table_exists(spark, path):
+        stored = read_table(spark, path).select(*[F.col(c).alias(f"stored_{c}") for c in rejects.columns])
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"stored_{c}")) for c in rejects.columns])
+        rejects = rejects.join(stored, same, "left_anti")
+    write_table(rejects, path, "append")
+    return found

@@ -22,7 +22,15 @@ from matchlake.operators.merging import (
     unmatched_target,
 )
 from matchlake.sources import files
-from matchlake.sources.tables import load_info, read_table, save_info, table_exists
+from matchlake.sources.tables import (
+    NEW,
+    OLD,
+    load_info,
+    read_table,
+    recover,
+    save_info,
+    table_exists,
+)
 
 MODES = ("overwrite", "append", "error", "ignore")
 
@@ -68,10 +76,12 @@ def _fitted(
 
 def _replace(df: DataFrame, path: str, partition: Sequence[str]) -> None:
     """Write beside the table, then swap: a failed job leaves the old table whole, and
-    the frame may read the table it replaces."""
+    the frame may read the table it replaces. A swap that breaks off is finished when the
+    table is opened next (``tables.recover``)."""
     spark = df.sparkSession
     mark = uuid.uuid4().hex[:8]
-    staged, old = f"{path}__new_{mark}", f"{path}__old_{mark}"
+    staged, old = f"{path}{NEW}{mark}", f"{path}{OLD}{mark}"
+    recover(spark, path)
     save_info(spark, staged, df.schema, partition)
     _put(df, staged, partition, "append")
     if files.exists(spark, path):

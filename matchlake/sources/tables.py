@@ -36,7 +36,27 @@ def save_info(spark: SparkSession, path: str, schema: T.StructType, partition) -
     files.write_text(spark, f"{path}/{_SCHEMA_FILE}", json.dumps(body))
 
 
+OLD, NEW = "__old_", "__new_"
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish an overwrite that broke off between its two renames.
+
+    The old table is moved away only when the new one is complete, so the new one takes its
+    place; without it, the old one returns.
+    """
+    if files.exists(spark, path):
+        return
+    for old in files.beginning_with(spark, path + OLD):
+        new = path + NEW + old[len(path + OLD) :]
+        files.rename(spark, new if files.exists(spark, new) else old, path)
+        if files.exists(spark, old):
+            files.delete(spark, old)
+        return
+
+
 def load_info(spark: SparkSession, path: str) -> TableInfo | None:
+    recover(spark, path)
     text = files.read_text(spark, f"{path}/{_SCHEMA_FILE}")
     if text is None:
         return None
@@ -46,6 +66,7 @@ def load_info(spark: SparkSession, path: str) -> TableInfo | None:
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """A bare directory is no table; a written one is, even with no rows."""
+    recover(spark, path)
     return files.exists(spark, f"{path}/{_SCHEMA_FILE}") or files.has_data_file(spark, path)
 
 

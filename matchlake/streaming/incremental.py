@@ -8,8 +8,8 @@ from pyspark.sql.streaming.query import StreamingQuery
 from matchlake.plans import bronze
 from matchlake.schemas import ENTITIES
 from matchlake.session import configure
-from matchlake.sources import split_documents, write_table
-from matchlake.sources.landing import document_schema, json_options, with_source_file
+from matchlake.sources import split_documents
+from matchlake.sources.landing import document_schema, json_options, store_rejects, with_source_file
 
 
 def incremental_stream(
@@ -21,12 +21,15 @@ def incremental_stream(
     merge_mode: str = "insert",
     rejects: str | None = None,
     files_per_batch: int = 1000,
+    dedup_source: bool = False,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Start the stream; with ``available_now`` it ends once the folder is read.
 
     The checkpoint remembers the files that were read. A batch that is replayed after a
-    failure adds nothing twice, because the merge goes by match key.
+    failure adds nothing twice, because the merge goes by match key. What is stored does not
+    depend on ``files_per_batch``: of a match in several documents of a batch the first one
+    counts, or the latest for upserts.
     """
     configure(spark)
     entity = ENTITIES["fixtures"]
@@ -43,10 +46,10 @@ def incremental_stream(
     def merge(batch: DataFrame, _batch_id: int) -> None:
         held = batch.persist()
         try:
-            parts = split_documents(held, entity.data_field)
-            bronze.load_fixtures(parts.records, table, merge_mode)
-            if rejects and parts.rejects.count():
-                write_table(parts.rejects, rejects, "append")
+            parts = split_documents(held, entity.data_field, ordered=True)
+            bronze.load_fixtures(parts.records, table, merge_mode, dedup_source=dedup_source)
+            if rejects:
+                store_rejects(parts.rejects, rejects)
         finally:
             held.unpersist()
 

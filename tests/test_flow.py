@@ -136,6 +136,33 @@ def test_one_run_over_all_days_gives_the_same_tables(spark, lake):
     run(spark, replace(lake, export=False), "2025-09-04", since="2025-09-01")
     ids = [r[0] for r in gold(spark, lake)]
     assert sorted(set(ids)) == [1, 2, 3, 4, 5]
+    once = replace(lake, root=f"{lake.root}-once", export=False)
+    run(spark, once, "2025-09-05", since="2025-09-01")
+    assert gold(spark, once) == INSERTED
+
+
+def test_batches_of_any_size_store_the_same(spark, lake, tmp_path):
+    found = []
+    for size, mode in ((1, "insert"), (1000, "insert"), (1, "upsert"), (1000, "upsert")):
+        table = str(tmp_path / f"{mode}-{size}")
+        incremental_stream(
+            spark, f"{lake.landing}/fixtures", table, f"{table}-checkpoint",
+            files_per_batch=size, merge_mode=mode, dedup_source=True,
+        ).awaitTermination()
+        rows = read_table(spark, table).select("fixture_id", "event_date", "`goals.home`").collect()
+        found.append(sorted((tuple(r) for r in rows), key=str))
+    assert found[0] == found[1] and found[2] == found[3]
+
+
+def test_an_unreadable_payload_leaves_a_static_table(spark, lake):
+    run(spark, lake, "2025-09-02", entities=("leagues",))
+    path = next(p for p in Path(lake.landing, "leagues").rglob("*.json"))
+    path.write_text(path.read_text()[:-20])
+    for _ in range(2):
+        with pytest.raises(ValueError, match="unreadable"):
+            run(spark, lake, "2025-09-02", entities=("leagues",))
+    assert read_table(spark, lake.table("bronze", "leagues")).count() == 3
+    assert read_table(spark, lake.table("rejects", "leagues")).count() == 1
 
 
 def test_upsert_mode_takes_late_results_and_moves(spark, lake):

@@ -69,6 +69,26 @@ def test_failed_overwrite_keeps_the_old_table(spark, path):
     assert rows(read_table(spark, path)) == [(1, "a", 1)]
 
 
+@pytest.mark.parametrize("failing", [0, 1])
+def test_a_swap_that_breaks_off_loses_nothing(spark, path, monkeypatch, failing):
+    write_table(frame(spark, (1, "a", 1)), path)
+    real, calls = files.rename, []
+
+    def rename(session, old, new):
+        calls.append(new)
+        if len(calls) == failing + 1:
+            raise OSError("broken off")
+        real(session, old, new)
+
+    monkeypatch.setattr(files, "rename", rename)
+    with pytest.raises(OSError, match="broken off"):
+        write_table(frame(spark, (2, "b", 2)), path)
+    monkeypatch.undo()
+    save_new(frame(spark, (3, "c", 3)), path, "fixture_id")
+    first = (2, "b", 2) if failing else (1, "a", 1)
+    assert rows(read_table(spark, path)) == [first, (3, "c", 3)]
+
+
 def test_partition_text_stays_text(spark, path):
     write_table(frame(spark, (1, "2025-09-01", 1)), path, partition_cols=["event_date"])
     got = read_table(spark, path)
