@@ -24,7 +24,7 @@ any name are ignored.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -153,38 +153,44 @@ def write_tokens(
     ordered.mapInArrow(chunks, schema).write.parquet(path)
 
 
-def read_pieces(spark: SparkSession, path: str) -> DataFrame:
-    """(shard, seq, id, place, n, chunk, take, ids): each document's ids in each chunk, as
-    little-endian unsigned 32-bit numbers."""
+def _pieces(spark: SparkSession, path: str, name: str, kind: str, convert: Callable[[bytes], object]) -> DataFrame:
+    """(shard, seq, id, place, n, chunk, take) of each document in each chunk, and what
+    ``convert`` makes of its ids there."""
     table = spark.read.parquet(path).select("shard", "chunk", "n_ids", "planes", "docs")
     id_type = table.schema["docs"].dataType.elementType["id"].dataType.simpleString()
 
     def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(len(batch)):
+                row = {c: batch.column(c)[at].as_py() for c in batch.schema.names}
                 ids = join_planes(row["planes"], row["n_ids"])
                 docs = row["docs"]
-                pick = lambda name: pa.array([d[name] for d in docs])
-                parts = [ids[d["at"] : d["at"] + d["take"]].tobytes() for d in docs]
+                pick = lambda field: pa.array([d[field] for d in docs])
+                made = [convert(ids[d["at"] : d["at"] + d["take"]].tobytes()) for d in docs]
                 where = [pa.array([row[k]] * len(docs), pa.int32()) for k in ("shard", "chunk")]
-                kind = batch.schema.field("docs").type.value_type.field("id").type
+                id_kind = batch.schema.field("docs").type.value_type.field("id").type
                 yield pa.RecordBatch.from_arrays(
                     [
                         *where,
                         pick("seq"),
-                        pa.array([d["id"] for d in docs], kind),
+                        pa.array([d["id"] for d in docs], id_kind),
                         pick("place"),
                         pick("n"),
                         pa.array([d["take"] for d in docs], pa.int32()),
-                        pa.array(parts, pa.binary()),
+                        pa.array(made),
                     ],
-                    ["shard", "chunk", "seq", "id", "place", "n", "take", "ids"],
+                    ["shard", "chunk", "seq", "id", "place", "n", "take", name],
                 )
 
-    kinds = f"shard int, chunk int, seq long, id {id_type}, place long, n long, take int, ids binary"
+    kinds = f"shard int, chunk int, seq long, id {id_type}, place long, n long, take int, {name} {kind}"
     return table.mapInArrow(unfold, kinds)
 
 
+def read_pieces(spark: SparkSession, path: str) -> DataFrame:
+    """Each document's ids in each chunk, as little-endian unsigned 32-bit numbers."""
+    return _pieces(spark, path, "ids", "binary", bytes)
+
+
 def joined_crc(first: int, second: int, length: int) -> int:
     """Checksum of two parts, of their checksums and the byte length of the second."""
     zeros = bytes(length)
@@ -193,17 +199,8 @@ def joined_crc(first: int, second: int, length: int) -> int:
 
 def digest(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
     """(id, start, n_tokens, ids_crc32) of every document, from the files."""
-    pieces = read_pieces(spark, path)
-    id_type = pieces.schema["id"].dataType.simpleString()
-    names = ["shard", "chunk", "seq", "id", "place", "n", "take"]
-
-    def checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            crc = pa.array([zlib.crc32(ids) for ids in batch.column("ids").to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), crc], [*names, "crc"])
-
-    kinds = f"shard int, chunk int, seq long, id {id_type}, place long, n long, take int, crc long"
-    parts = pieces.mapInArrow(checksums, kinds)
+    parts = _pieces(spark, path, "crc", "long", zlib.crc32)
+    id_type = parts.schema["id"].dataType.simpleString()
     # A document lies in as many pieces as it has chunks; only their checksums are gathered.
     each = parts.groupBy("shard", "seq", "id", "place", "n").agg(
         F.sort_array(F.collect_list(F.struct("chunk", "take", "crc"))).alias("parts")
