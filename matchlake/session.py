@@ -32,7 +32,8 @@ def _shared_folder(spark: SparkSession) -> str:
     folder = spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    # local-cluster has executors of its own, and so is a cluster here.
+    if spark.sparkContext.master.partition("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="matchlake-")
     spark.sparkContext.setCheckpointDir(folder)
