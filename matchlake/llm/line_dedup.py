@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from matchlake.llm.common import SPACES, Scratch, packed
+from matchlake.llm.common import Scratch, packed
 
 MIN_WORDS = 3
 MIN_WORDS_NEAR = 10
@@ -34,8 +34,12 @@ MIN_WORDS_NEAR = 10
 BROADCAST_LINES = 300_000
 
 
+#: A run of white space other than a single space.
+_UNEVEN = r"\x20?[\x09-\x0D][\x20\x09-\x0D]*|\x20{2,}[\x20\x09-\x0D]*"
+
+
 def _normal(line: Column) -> Column:
-    return F.trim(F.regexp_replace(line, SPACES, " "))
+    return F.trim(F.regexp_replace(line, _UNEVEN, " "))
 
 
 def _n_words(normal: Column) -> Column:
@@ -51,29 +55,41 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _halves(normal: Column, n: Column) -> Column:
-    """Keys of the first and last words, as many as half of the shorter line of a pair."""
+    """Keys (last, half, key) of the first and last words of a line, as many as half of the
+    shorter line of a pair."""
     part = lambda count: F.call_function("substring_index", normal, F.lit(" "), count)
-    keys = []
-    for whole in (n, n - 1):
+
+    def pair(whole: Column) -> list[Column]:
         half = F.floor(whole / 2).cast("int")
-        keys.append(F.xxhash64(F.lit("first"), half, part(half)))
-        keys.append(F.xxhash64(F.lit("last"), half, part(-half)))
-    return F.array_distinct(F.array(*keys))
+        return [
+            F.struct(F.lit(last).alias("last"), half.alias("half"), F.xxhash64(F.lit(last), half, part(count)).alias("key"))
+            for last, count in ((False, half), (True, -half))
+        ]
+
+    # Half of n and half of n - 1 are the same number for an odd n.
+    return F.when(n % 2 == 1, F.array(*pair(n))).otherwise(F.array(*pair(n), *pair(n - 1)))
+
+
+_SAME, _SHORTENED, _WHOLE = 0, 1, 2
 
 
 def _neighbourhood(lines: DataFrame) -> DataFrame:
-    """(key, kind, first) of lines (first, words).
+    """(doc, at, kind, key) of lines (doc, at, words, after, before).
 
+    The edit is sought from the place ``after`` on, and before the last ``before`` words,
+    where another line has the same first or last words; null where none has.
     A remainder's key is the exclusive or of hashes of its words with their places. It is
     kept up along the line: what stands before the missing word keeps its place, what
     stands after it moves up by one if the remainder is compared with a whole line.
     """
     n = F.size("words")
-    each = lines.select("first", n.alias("n"), F.posexplode("words").alias("pos", "word"))
+    sought = (F.col("pos") >= F.col("after")) | (F.col("pos") < n - F.col("before"))
+    each = lines.select("doc", "at", "after", "before", "words", F.posexplode("words").alias("pos", "word"))
     each = each.select(
-        "first", "n", "pos", F.xxhash64("word", "pos").alias("here"), F.xxhash64("word", F.col("pos") - 1).alias("up")
-    )
-    line = Window.partitionBy("first")
+        "doc", "at", n.alias("n"), "pos", F.coalesce(sought, F.lit(False)).alias("sought"),
+        F.xxhash64("word", "pos").alias("here"), F.xxhash64("word", F.col("pos") - 1).alias("up"),
+    )
+    line = Window.partitionBy("doc", "at")
     so_far = line.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     each = each.select(
         "*",
@@ -84,16 +100,17 @@ def _neighbourhood(lines: DataFrame) -> DataFrame:
     )
     without = F.col("all_here").bitwiseXOR(F.col("here"))
     closed = F.col("so_here").bitwiseXOR(F.col("here")).bitwiseXOR(F.col("all_up")).bitwiseXOR(F.col("so_up"))
+
+    def variant(kind: int, *key) -> Column:
+        return F.struct(F.lit(kind).cast("byte").alias("kind"), F.xxhash64(*key).alias("key"))
+
     variants = F.array(
-        F.struct(F.lit("same place").alias("kind"), F.xxhash64(F.lit("s"), "n", "pos", without).alias("key")),
-        F.struct(F.lit("shortened").alias("kind"), F.xxhash64(F.lit("d"), F.col("n") - 1, closed).alias("key")),
-        F.when(
-            F.col("pos") == 0,
-            F.struct(F.lit("whole").alias("kind"), F.xxhash64(F.lit("d"), "n", "all_here").alias("key")),
-        ),
+        F.when(F.col("sought"), variant(_SAME, F.lit("s"), "n", "pos", without)),
+        F.when(F.col("sought"), variant(_SHORTENED, F.lit("d"), F.col("n") - 1, closed)),
+        F.when(F.col("pos") == 0, variant(_WHOLE, F.lit("d"), "n", "all_here")),
     )
-    made = each.select("first", F.explode(variants).alias("v")).filter("v is not null")
-    return made.select("first", "v.kind", "v.key").distinct()
+    made = each.select("doc", "at", F.explode(variants).alias("v")).filter("v is not null")
+    return made.select("doc", "at", "v.kind", "v.key")
 
 
 def _one_edit(x: Column, y: Column) -> Column:
@@ -116,45 +133,49 @@ def duplicate_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_words_near:
     scratch = Scratch(docs.sparkSession, "lines")
     lines = _lines(docs).filter(F.col("n") >= min_words)
     long = F.col("n") >= min_words_near
+    line = F.struct(F.xxhash64("normal").alias("x"), F.xxhash64(F.lit("line"), "normal").alias("y"))
     facts = lines.select(
-        "doc", "at", F.unhex(F.md5(F.encode("normal", "utf-8"))).alias("line"),
-        F.when(long, _halves(F.col("normal"), F.col("n"))).alias("halves"),
-    )
+        "doc", "at", line.alias("line"), F.when(long, _halves(F.col("normal"), F.col("n"))).alias("halves")
+    )
     facts = scratch.keep(facts, "facts")
     first = F.min(F.struct("doc", "at")).alias("first")
     distinct = facts.groupBy("line").agg(first, F.count("*").alias("copies"), F.first("halves").alias("halves"))
-    distinct = scratch.keep(distinct, "distinct")
-
-    halves = distinct.select("first", F.explode("halves").alias("half"))
-    shared = halves.groupBy("half").count().filter("count > 1").select("half")
-    near = halves.join(shared, "half").select("first").distinct()
+    distinct = scratch.keep(distinct.select("line", "first.*", "copies", "halves"), "distinct")
+    facts = scratch.keep(facts.select("doc", "at", "line"), "places")
+    scratch.drop("facts")
+
+    halves = distinct.select("doc", "at", F.explode("halves").alias("h")).select("doc", "at", "h.*")
+    shared = halves.groupBy("key").count().filter("count > 1").select("key")
+    near = halves.join(shared, "key").groupBy("doc", "at").agg(
+        F.min(F.when(~F.col("last"), F.col("half"))).alias("after"),
+        F.min(F.when(F.col("last"), F.col("half"))).alias("before"),
+    )
     near = scratch.keep(near, "near")
     few = near.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
-    wanted = near.select(F.col("first.doc").alias("d"), F.col("first.at").alias("a"))
-    texts = _lines(docs).alias("l").join(
-        F.broadcast(wanted) if few else wanted,
-        F.col("l.doc").eqNullSafe(F.col("d")) & (F.col("l.at") == F.col("a")),
-        "left_semi",
+    wanted = near.select(F.col("doc").alias("d"), F.col("at").alias("a"), "after", "before")
+    texts = _lines(docs).join(
+        F.broadcast(wanted) if few else wanted, F.col("doc").eqNullSafe(F.col("d")) & (F.col("at") == F.col("a"))
     )
-    words = texts.select(F.struct("doc", "at").alias("first"), F.split("normal", " ").alias("words"))
-    words = scratch.keep(words.dropDuplicates(["first"]), "words")
+    words = texts.select("doc", "at", "after", "before", F.split("normal", " ").alias("words"))
+    words = scratch.keep(words.dropDuplicates(["doc", "at"]), "words")
 
     made = scratch.keep(_neighbourhood(words), "made")
-    at = lambda kind: F.min(F.when(F.col("kind") == kind, F.col("first")))
+    place = F.struct("doc", "at")
+    least = lambda kind: F.min(F.when(F.col("kind") == kind, place))
     groups = made.groupBy("key").agg(
-        F.count("*").alias("n"), at("same place").alias("same"), at("shortened").alias("shortened"), at("whole").alias("whole")
+        F.count("*").alias("n"), least(_SAME).alias("same"), least(_SHORTENED).alias("shortened"), least(_WHOLE).alias("whole")
     )
     groups = groups.filter("n > 1")
-    partner = F.when(F.col("kind") == "same place", F.col("same")).when(
-        F.col("kind") == "shortened", F.col("whole")
-    ).otherwise(F.col("shortened"))
-    links = made.join(groups, "key").select("first", partner.alias("earlier"))
+    partner = F.when(F.col("kind") == _SAME, F.col("same")).when(F.col("kind") == _SHORTENED, F.col("whole"))
+    links = made.join(groups, "key").select(place.alias("first"), partner.otherwise(F.col("shortened")).alias("earlier"))
     links = links.filter("earlier < first").distinct()
-    other = words.select(F.col("first").alias("earlier"), F.col("words").alias("earlier_words"))
-    verified = links.join(words, "first").join(other, "earlier").filter(_one_edit(F.col("words"), F.col("earlier_words")))
+    known = words.select(place.alias("place"), "words")
+    own = known.select(F.col("place").alias("first"), "words")
+    other = known.select(F.col("place").alias("earlier"), F.col("words").alias("earlier_words"))
+    verified = links.join(own, "first").join(other, "earlier").filter(_one_edit(F.col("words"), F.col("earlier_words")))
     verified = scratch.keep(verified.select("first").distinct(), "verified")
 
-    named = distinct.select("line", "copies", "first").join(
+    named = distinct.select("line", "copies", place.alias("first")).join(
         verified.withColumn("near", F.lit(True)), "first", "left"
     )
     verdict = named.filter("copies > 1 or near").select(
@@ -166,7 +187,7 @@ def duplicate_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_words_near:
         F.sort_array(F.collect_set("d")).alias("drop")
     )
     drop = scratch.keep(drop, "drop")
-    scratch.drop("facts", "distinct", "near", "words", "made", "verified")
+    scratch.drop("places", "distinct", "near", "words", "made", "verified")
     return drop
 
 
