@@ -11,7 +11,7 @@ import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-#: Entries of one generation of a memory; a worker holds two generations of two memories.
+#: Entries of one generation of a memory; a worker holds two generations of each memory.
 MEMORY = 300_000
 
 # Texts with other white space or control characters, or with what could be a special
@@ -68,9 +68,11 @@ class Encoder:
         self.split = regex.compile(own[0] if own else _BYTE_LEVEL_SPLIT).findall
         self.normalizer = self.tokenizer.normalizer
         self.letters = _byte_letters()
+        self.space = chr(self.letters[ord(" ")])
         self.merge = self.tokenizer.model.tokenize
         self.pieces = Memory(self._piece)
         self.chunks = Memory(self._chunk)
+        self.spaced = Memory(lambda word: self._chunk(" " + word))
         self.keeps_spaces = self._whole("a b") != self._whole("a\n\nb")
 
     def _whole(self, text: str) -> bytes:
@@ -78,20 +80,39 @@ class Encoder:
         return np.array(ids, "<u4").tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        letters = piece.encode("utf-8").decode("latin-1").translate(self.letters)
+        if piece.isascii() and piece.isprintable():
+            letters = piece.replace(" ", self.space)
+        else:
+            letters = piece.encode("utf-8").decode("latin-1").translate(self.letters)
         return array("I", [token.id for token in self.merge(letters)]).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
         if self.normalizer is not None:
             chunk = chunk.lower() if chunk.isascii() else self.normalizer.normalize_str(chunk)
+        # Most chunks are a word of letters, or one with a mark after it.
+        word = chunk[1:] if chunk[:1] == " " else chunk
+        if word.isalpha():
+            return self.pieces[chunk]
+        if word[:-1].isalpha() and word[-1] in ",.;:!?":
+            return self.pieces[chunk[:-1]] + self.pieces[word[-1]]
         return b"".join(map(self.pieces.__getitem__, self.split(chunk)))
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         if _ODD.search(text):
             return self._whole(text)
-        parts = _SPACED.findall(text) if self.keeps_spaces else text.split()
-        return b"".join(map(self.chunks.__getitem__, parts))
+        if not self.keeps_spaces:
+            return b"".join(map(self.chunks.__getitem__, text.split()))
+        # White space that does not just stand alone between words.
+        if not text or any(w in text for w in ("  ", " \n", "\n ", "\n\n")) or text != text.strip(" \n"):
+            return b"".join(map(self.chunks.__getitem__, _SPACED.findall(text)))
+        out, chunk, spaced = [], self.chunks.__getitem__, self.spaced.__getitem__
+        for line in text.split("\n"):
+            first, *words = line.split(" ")
+            out.append(chunk(first))
+            out += map(spaced, words)
+            out.append(chunk("\n"))
+        return b"".join(out[:-1])
 
 
 _encoders: dict[str, Encoder] = {}
