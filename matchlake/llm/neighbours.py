@@ -32,11 +32,11 @@ from pyspark.sql.window import Window
 
 from matchlake.llm.common import Scratch
 
-TABLES = 14
+TABLES = 6
 DIRECTIONS = 8
 #: Width of a slot, in units of the greatest norm.
 WIDTH = 2.15
-PROBES = 60
+PROBES = 200
 #: Vectors of a group, and queries multiplied with them at once.
 GROUP = 8000
 BLOCK = 500
@@ -151,17 +151,24 @@ def _hashed(rows: DataFrame, query: bool) -> DataFrame:
 def _best(queries: pd.DataFrame, vectors: pd.DataFrame, k: int) -> pd.DataFrame:
     out = []
     if len(queries) and len(vectors):
+        vectors = vectors.sort_values(["bucket", "id"])
         base = np.stack(vectors["vector"].to_numpy()).astype(np.float64)
         ids = vectors["id"].to_numpy()
-        names, which = np.unique(vectors["bucket"].to_numpy(), return_inverse=True)
+        names, starts = np.unique(vectors["bucket"].to_numpy(), return_index=True)
+        ends = np.append(starts[1:], len(ids))
         for at in range(0, len(queries), BLOCK):
             part = queries.iloc[at : at + BLOCK]
             asked = np.stack(part["vector"].to_numpy()).astype(np.float64)
-            allowed = np.zeros((len(part), len(names)), bool)
+            looked: list[list[int]] = [[] for _ in names]
             for i, buckets in enumerate(part["buckets"]):
                 spots = np.minimum(np.searchsorted(names, buckets), len(names) - 1)
-                allowed[i, spots[names[spots] == buckets]] = True
-            scores = np.where(allowed[:, which], asked @ base.T, -np.inf)
+                for spot in spots[names[spots] == buckets]:
+                    looked[spot].append(i)
+            scores = np.full((len(part), len(ids)), -np.inf)
+            for spot, rows in enumerate(looked):
+                if rows:
+                    inside = slice(starts[spot], ends[spot])
+                    scores[rows, inside] = asked[rows] @ base[inside].T
             top = np.argpartition(-scores, min(k, len(ids)) - 1, axis=1)[:, :k]
             for i, query in enumerate(part["id"]):
                 good = top[i][np.isfinite(scores[i][top[i]])]
@@ -215,6 +222,9 @@ def search(
         lambda q, v: _best(q, v, k + 1), f"query {kind}, id {kind}, score double"
     )
     best = met.groupBy("query", "id").agg(F.max("score").alias("score"))
+    # A vector after the first k+1 has as many ids before its own.
+    first = Window.partitionBy("query").orderBy(F.desc("score"), "id")
+    best = best.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= k + 1)
     best = best.join(alike.select("id", "ids"), "id").select("query", "score", F.explode("ids").alias("vec_id"))
     best = best.filter(F.col("query") != F.col("vec_id"))
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
