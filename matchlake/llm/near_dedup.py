@@ -36,13 +36,12 @@ from pyspark.sql.window import Window
 
 from matchlake.llm.common import WORD, Scratch, components, packed, unpacked
 
-#: Probability with which two documents just at the threshold share no key, at most.
+#: Probability with which two documents just at the threshold share no key, at most, and
+#: with which their sketches rule them out.
 MISS = 1e-6
 SAMPLE = 512
 BITS = 1024
 LANES = BITS // 64
-#: Standard deviations by which an estimate from samples may fall below the threshold.
-MARGIN = 6
 #: Members of one key that one task compares with the others of the key.
 BLOCK = 1000
 #: Ids that are broadcast at most; beyond it they are joined by shuffle.
@@ -163,15 +162,29 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
 def _possible(a: str, b: str, percent: int) -> Column:
     """False only where sizes or sketches tell that the similarity is below the threshold.
 
-    Samples of a and b elements with similarity t differ in (a+b)(1-t)/(1+t) elements, and
-    the bitmaps of samples that differ in d elements differ in at most d bits.
+    Sets of n and m elements with similarity t have at least i = (n+m)t/(1+t) in common.
+    Samples share what the smaller of two counts says: how many of the common elements are
+    in the sample of the one set, and in that of the other. Each is hypergeometric with
+    mean ki/n, from which Bernstein's inequality bounds it, whatever the two sizes; a set
+    that is its own sample has them all. The bitmaps of samples that differ in d elements
+    differ in at most d bits.
     """
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
     bits = sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in _ODD), F.lit(0))
     t = percent / 100
-    low = max(0.0, t - MARGIN * math.sqrt(t * (1 - t) / SAMPLE))
-    lowest = F.when(F.greatest(n, m) <= SAMPLE, F.lit(t)).otherwise(F.lit(low))
-    most = (F.least(n, F.lit(SAMPLE)) + F.least(m, F.lit(SAMPLE))) * (1 - lowest) / (1 + lowest)
+    shared = (n + m) * (t / (1 + t))
+    sure = math.log(2 / MISS)
+
+    def least_sampled(size: Column) -> Column:
+        taken = F.least(size, F.lit(SAMPLE))
+        share = shared / size
+        # What is in the sample and what is left out deviate by the same number.
+        variance = F.least(taken, size - taken) * share * (1 - share)
+        away = sure / 3 + F.sqrt(F.greatest(variance, F.lit(0.0)) * (2 * sure) + sure**2 / 9)
+        return taken * share - F.when(size > SAMPLE, away).otherwise(0.0)
+
+    common = F.least(least_sampled(n), least_sampled(m))
+    most = F.least(n, F.lit(SAMPLE)) + F.least(m, F.lit(SAMPLE)) - 2 * common
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (bits <= most + 1e-6)
 
 

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from matchlake.llm import bitplanes, mixing, near_dedup, packing
@@ -70,6 +71,28 @@ def test_sketch_never_rules_out_what_sets_confirm():
         assert bits <= len(np.setxor1d(x, y))
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_sketch_keeps_pairs_of_unequal_size_at_the_threshold(spark, percent):
+    random = np.random.default_rng(percent)
+    odd = lambda s: near_dedup.odd_sketch(np.sort(s)).tolist()
+    rows = []
+    for size in (400, 513, 600, 700, 1000, 3000, 5000):
+        for _ in range(80):
+            whole = random.integers(0, 2**64, 2 * size, np.uint64)
+            a = whole[:size]
+            part = a[: -(-size * percent // 100)]
+            k = -(-2 * size * percent // (100 + percent))
+            equal = np.concatenate([a[:k], whole[size : 2 * size - k]])
+            other = random.integers(0, 2**64, size, np.uint64)
+            rows += [(kind, len(a), len(b), *odd(a), *odd(b)) for kind, b in (("near", part), ("near", equal), ("far", other))]
+    names = [f"{side}{c}" for side in "ab" for c in near_dedup._ODD]
+    flat = spark.createDataFrame(rows, ["kind", "an", "bn", *names])
+    sides = [F.struct(*[F.col(f"{x}{c}").alias(c) for c in ("n", *near_dedup._ODD)]).alias(x) for x in "ab"]
+    pairs = flat.select("kind", *sides)
+    found = pairs.groupBy("kind").agg(F.sum(near_dedup._possible("a", "b", percent).cast("int"))).collect()
+    assert dict(map(tuple, found)) == {"near": 7 * 80 * 2, "far": 0}
+
+
 def test_near_copies_of_odd_documents(odd_docs, no_docs):
     found = near_dedup.near_duplicates(odd_docs).collect()
     assert len(found) == odd_docs.count()
