@@ -55,6 +55,16 @@ def unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.select(*[F.col("row")[c].alias(c) for c in columns])
 
 
+def row_key(rows: DataFrame) -> tuple[Column, bool]:
+    """What tells rows (id, text) apart, and whether that is more than the id.
+
+    Where rows share an id or several lack one, it is the id with a hash of the text.
+    """
+    if rows.groupBy("id").count().filter("count > 1").isEmpty():
+        return F.col("id"), False
+    return F.struct(F.col("id").alias("id"), F.xxhash64("text").alias("mark")), True
+
+
 def n_words(text: Column) -> Column:
     """Number of words of a text, 0 for null."""
     plain = F.trim(F.regexp_replace(text, SPACES, " "))

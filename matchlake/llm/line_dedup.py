@@ -14,9 +14,10 @@ made. Links are verified on the words. Two lines within one edit share their fir
 last half, so only lines whose half another line has too have their neighbourhood emitted.
 
 Everything is DataFrame functions. Defined cases: null and empty texts are returned as they
-are; lines of fewer words than ``min_words`` always stay; rows that repeat an id count as
-one document, so lines at the same place of each do not remove one another; rows without an
-id come first in order; a document that loses all of its lines that took part, and had no
+are; lines of fewer words than ``min_words`` always stay; rows alike in id and text count as
+one document, so lines at the same place of each do not remove one another; rows that share
+an id but not the text, or lack an id, are documents of their own, in the order of a hash of
+the text; rows without an id come first in order; a document that loses all of its lines that took part, and had no
 others with words, is dropped (``drop_empty``); an empty table gives an empty result;
 further columns of any name are kept.
 """
@@ -26,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from matchlake.llm.common import Scratch, packed
+from matchlake.llm.common import Scratch, packed, row_key
 
 MIN_WORDS = 3
 MIN_WORDS_NEAR = 10
@@ -210,8 +211,9 @@ def dedup_lines(
 def _cleaned(docs: DataFrame, id_col: str, text_col: str, min_words: int, min_words_near: int) -> DataFrame:
     """(row, id, text, drop, left): rows, what goes (null if nothing) and the text left."""
     rows = packed(docs, id=id_col, text=text_col)
-    drop = duplicate_lines(rows.select(F.col("id").alias("doc"), "text"), min_words, min_words_near)
-    both = rows.join(drop, F.col("id").eqNullSafe(F.col("doc")), "left")
+    key, _ = row_key(rows)
+    drop = duplicate_lines(rows.select(key.alias("doc"), "text"), min_words, min_words_near)
+    both = rows.withColumn("key", key).join(drop, F.col("key").eqNullSafe(F.col("doc")), "left")
     lines = F.split("text", "\n")
     places = F.sequence(F.lit(0), F.size(lines) - 1)
     left = F.array_except(places, F.transform("drop", lambda d: d["at"]))

@@ -17,7 +17,8 @@ in one component or with their pair ruled out by sketch or sets.
 Defined cases: a null or empty text, or one without words, has no shingles and is linked
 with nothing, not even its copies; fewer words than a shingle has make one shingle of all
 of them; rows with a null id stay alone, with a null component, and are kept; rows that
-repeat an id are one document as far as components go; an empty table gives an empty
+share an id but not the text are documents of their own, of which the one with the smaller
+hash of the text comes first; an empty table gives an empty
 result; further columns of any name are ignored, or kept by ``drop_near_duplicates``.
 """
 
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from matchlake.llm.common import WORD, Scratch, components, packed, unpacked
+from matchlake.llm.common import WORD, Scratch, components, packed, row_key, unpacked
 
 #: Probability with which two documents just at the threshold share no key, at most, and
 #: with which their sketches rule them out.
@@ -204,10 +205,25 @@ def _small(df: DataFrame) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80
 ) -> DataFrame:
-    """(id, n_shingles, component_id, kept) of every row; kept where id and component agree."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "near")
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    """(id, n_shingles, component_id, kept) of every row; kept where id and component agree,
+    and also the text where rows share an id."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    key, marked = row_key(rows)
+    found = _grouped(_keyed(rows, key), width, percent)
+    plain = lambda c: F.col(c)["id"] if marked else F.col(c)
+    kept = F.coalesce(F.col("id") == F.col("component"), F.lit(True))
+    return found.select(
+        plain("id").alias(id_col), F.col("n").alias("n_shingles"), plain("component").alias("component_id"), kept.alias("kept")
+    )
+
+
+def _keyed(rows: DataFrame, key: Column) -> DataFrame:
+    return rows.withColumn("id", F.when(F.col("id").isNotNull(), key))
+
+
+def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(id, n, component) of every row of (id, text)."""
+    scratch = Scratch(docs.sparkSession, "near")
     plan = banding(percent)
     drawn = scratch.keep(sketches(docs, width, plan), "sketches")
 
@@ -224,7 +240,6 @@ def near_duplicates(
     met = scratch.keep(keyed.join(shared, "key"), "met")
     members = scratch.keep(met.select("id").distinct(), "members")
     few = _small(members)
-    # An id has several rows here if its rows hold several texts.
     facts = scratch.keep(reps.join(few, "id", "left_semi").drop("digest", "keys"), "facts")
     sets = shingle_sets(docs.join(few, "id", "left_semi"), width)
     if not all_docs.filter("id is not null").groupBy("id").count().filter("count > 1").isEmpty():
@@ -267,9 +282,7 @@ def near_duplicates(
     found = found.select("digest", F.coalesce("component", "id").alias("component"))
     named = all_docs.select("id", "digest", "n").join(found, "digest", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
-    result = named.select("id", F.col("n").alias("n_shingles"), component.alias("component_id"))
-    kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(True))
-    return result.select(F.col("id").alias(id_col), "n_shingles", "component_id", kept.alias("kept"))
+    return named.select("id", "n", component.alias("component"))
 
 
 def _round(pairs: DataFrame, facts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -324,12 +337,15 @@ def drop_near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80
 ) -> DataFrame:
     """One row for each group of near copies, the smallest id, with all columns of it."""
-    report = near_duplicates(docs, id_col, text_col, width, percent)
-    gone = report.filter("not kept").select(F.col(id_col).alias("gone")).distinct()
     rows = packed(docs, id=id_col, text=text_col)
+    key, marked = row_key(rows)
+    rows = _keyed(rows, key)
+    found = _grouped(rows.select("id", "text"), width, percent)
+    gone = found.filter("id <> component").select(F.col("id").alias("gone")).distinct()
     left = rows.join(gone, F.col("id") == F.col("gone"), "left_anti")
-    # Rows that repeat an id: the one with the smallest text stays; without an id all stay.
-    if not left.filter("id is not null").groupBy("id").count().filter("count > 1").isEmpty():
-        first = Window.partitionBy("id").orderBy("text", F.xxhash64("row"))
+    # Of rows alike in id and text one stays; without an id all stay.
+    if marked:
+        own = F.when(F.col("id").isNull(), F.xxhash64("row"))
+        first = Window.partitionBy("id", own).orderBy("text", F.xxhash64("row"))
         left = left.withColumn("rank", F.row_number().over(first)).filter("rank = 1 or id is null")
     return unpacked(left, docs.columns)

@@ -106,6 +106,19 @@ def test_near_copies_of_odd_documents(odd_docs, no_docs):
     assert near_dedup.near_duplicates(no_docs).count() == near_dedup.drop_near_duplicates(no_docs).count() == 0
 
 
+def test_rows_of_one_id_that_are_no_near_copies_stay(spark):
+    text = lambda k: " ".join(f"{k}w{i}" for i in range(60))
+    rows = [(1, text("a")), (1, text("b")), (1, text("b")), (1, text("b") + " more"), (2, text("a")), (3, text("c")), (3, None)]
+    rows += [(None, text("a")), (None, text("d"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    left = near_dedup.drop_near_duplicates(df).collect()
+    start = lambda r: (r["doc_id"], (r["text"] or "-")[0])
+    expected = [(1, "a"), (1, "b"), (3, "c"), (3, "-"), (None, "a"), (None, "d")]
+    assert Counter(map(start, left)) == Counter(expected)
+    found = near_dedup.near_duplicates(df).collect()
+    assert Counter((r["doc_id"], r["component_id"]) for r in found) == {(1, 1): 4, (2, 1): 1, (3, 3): 2, (None, None): 2}
+
+
 def test_mix_meets_targets(some_docs):
     found = mixing.mix(some_docs).collect()
     source = {r["doc_id"]: r["source"] for r in some_docs.collect()}

@@ -114,3 +114,16 @@ def test_lines_of_odd_documents(odd_docs, no_docs):
     assert sorted((r["doc_id"] or 0) for r in left.collect()) == [0, 1, 2, 3, 4, 8]
     assert line_dedup.dedup_lines(no_docs).count() == 0
     assert line_dedup.line_report(odd_docs).count() == odd_docs.count()
+
+
+def test_lines_of_rows_that_share_or_lack_an_id(spark):
+    line = lambda k: " ".join(f"{k}w{i}" for i in range(12))
+    texts = [f"{line('common')}\n{line(k)}\n{line('near')} {k}" for k in range(6)]
+    rows = [(None, t) for t in texts[:3]] + [(7, t) for t in texts[3:5]] + [(9, texts[5])]
+    found = line_dedup.line_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == len(rows)
+    left = [x for r in found for x in r["text"].split("\n")]
+    assert sorted(left) == sorted({line("common"), *map(line, range(6)), *(x for x in left if x.startswith("nearw"))})
+    assert len([x for x in left if x.startswith("nearw")]) == 1
+    # What stays of the common lines is in a row without an id, which come first.
+    assert [r["doc_id"] for r in found if line("common") in r["text"] or "nearw0" in r["text"]] == [None]
