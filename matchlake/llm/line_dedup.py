@@ -1,6 +1,7 @@
 """Line deduplication over a corpus by a deletion-neighbourhood join.
 
-Lines are compared as word sequences. A line goes if an earlier line, by document id and
+Lines are compared as word sequences; for edits each character of a script written without
+spaces (Chinese, Japanese, Thai, Lao, Khmer, Burmese, Tibetan) is a word of its own. A line goes if an earlier line, by document id and
 place, has the same words, or if its words can be turned into those of an earlier line by
 one insertion, deletion or substitution of a word and both lines are long enough for that
 to be noise. Of all lines that are near one another the earliest stays.
@@ -14,7 +15,8 @@ made. Links are verified on the words. Two lines within one edit share their fir
 last half, so only lines whose half another line has too have their neighbourhood emitted.
 
 Everything is DataFrame functions. Defined cases: null and empty texts are returned as they
-are; lines of fewer words than ``min_words`` always stay; rows alike in id and text count as
+are; lines of fewer words than ``min_words`` stay, unless they have ``min_chars`` characters
+or, counting characters of unspaced scripts as words, ``min_words_near`` words; rows alike in id and text count as
 one document, so lines at the same place of each do not remove one another; rows that share
 an id but not the text, or lack an id, are documents of their own, in the order of a hash of
 the text; rows without an id come first in order; a document that loses all of its lines that took part, and had no
@@ -31,6 +33,8 @@ from matchlake.llm.common import Scratch, packed, row_key
 
 MIN_WORDS = 3
 MIN_WORDS_NEAR = 10
+#: Characters from which a line takes part however few its words.
+MIN_CHARS = 30
 #: Candidate lines that are broadcast at most, to fetch their words.
 BROADCAST_LINES = 300_000
 
@@ -48,11 +52,26 @@ def _n_words(normal: Column) -> Column:
     return F.when(normal == "", 0).otherwise(spaces + 1).cast("int")
 
 
+_UNSPACED = "".join(
+    rf"\p{{Is{name}}}" for name in ("Han", "Hiragana", "Katakana", "Bopomofo", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan")
+)
+#: Between such a character with its marks and what is next to it on either side.
+_SEAM = rf"(?<=[{_UNSPACED}]\p{{M}}{{0,8}})(?=[^\x20\p{{M}}])|(?<=[^\x20])(?=[{_UNSPACED}&&\P{{M}}])"
+
+
+def _units(normal: Column) -> Column:
+    """The line with a space on either side of each character of an unspaced script."""
+    ascii_only = F.octet_length(normal) == F.length(normal)
+    return F.when(ascii_only, normal).otherwise(F.regexp_replace(normal, _SEAM, " "))
+
+
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc, at, normal, n) of the lines of (doc, text)."""
+    """(doc, at, normal, units, n_words, n) of the lines of (doc, text), n being the number of units."""
     lines = docs.select("doc", F.posexplode(F.split("text", "\n")).alias("at", "line"))
     lines = lines.select("doc", "at", _normal(F.col("line")).alias("normal"))
-    return lines.select("*", _n_words(F.col("normal")).alias("n"))
+    lines = lines.select("*", _units(F.col("normal")).alias("units"), _n_words(F.col("normal")).alias("n_words"))
+    same = F.length("units") == F.length("normal")
+    return lines.select("*", F.when(same, F.col("n_words")).otherwise(_n_words(F.col("units"))).alias("n"))
 
 
 def _halves(normal: Column, n: Column) -> Column:
@@ -129,14 +148,16 @@ def _one_edit(x: Column, y: Column) -> Column:
     )
 
 
-def duplicate_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_words_near: int = MIN_WORDS_NEAR) -> DataFrame:
+def duplicate_lines(
+    docs: DataFrame, min_words: int = MIN_WORDS, min_words_near: int = MIN_WORDS_NEAR, min_chars: int = MIN_CHARS
+) -> DataFrame:
     """(doc, drop) of (doc, text): sorted places of the lines that go, with their kind."""
     scratch = Scratch(docs.sparkSession, "lines")
-    lines = _lines(docs).filter(F.col("n") >= min_words)
     long = F.col("n") >= min_words_near
+    lines = _lines(docs).filter((F.col("n_words") >= min_words) | (F.length("normal") >= min_chars) | long)
     line = F.struct(F.xxhash64("normal").alias("x"), F.xxhash64(F.lit("line"), "normal").alias("y"))
     facts = lines.select(
-        "doc", "at", line.alias("line"), F.when(long, _halves(F.col("normal"), F.col("n"))).alias("halves")
+        "doc", "at", line.alias("line"), F.when(long, _halves(F.col("units"), F.col("n"))).alias("halves")
     )
     facts = scratch.keep(facts, "facts")
     first = F.min(F.struct("doc", "at")).alias("first")
@@ -157,7 +178,7 @@ def duplicate_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_words_near:
     texts = _lines(docs).join(
         F.broadcast(wanted) if few else wanted, F.col("doc").eqNullSafe(F.col("d")) & (F.col("at") == F.col("a"))
     )
-    words = texts.select("doc", "at", "after", "before", F.split("normal", " ").alias("words"))
+    words = texts.select("doc", "at", "after", "before", F.split("units", " ").alias("words"))
     words = scratch.keep(words.dropDuplicates(["doc", "at"]), "words")
 
     made = scratch.keep(_neighbourhood(words), "made")
@@ -199,20 +220,23 @@ def dedup_lines(
     min_words: int = MIN_WORDS,
     min_words_near: int = MIN_WORDS_NEAR,
     drop_empty: bool = True,
+    min_chars: int = MIN_CHARS,
 ) -> DataFrame:
     """The documents without the lines that go, with all their columns."""
-    found = _cleaned(docs, id_col, text_col, min_words, min_words_near)
+    found = _cleaned(docs, id_col, text_col, min_words, min_words_near, min_chars)
     if drop_empty:
         emptied = F.col("drop").isNotNull() & F.coalesce(_normal(F.col("left")) == "", F.lit(True))
         found = found.filter(~emptied)
     return found.select(*[F.col("left" if c == text_col else f"row.`{c}`").alias(c) for c in docs.columns])
 
 
-def _cleaned(docs: DataFrame, id_col: str, text_col: str, min_words: int, min_words_near: int) -> DataFrame:
+def _cleaned(
+    docs: DataFrame, id_col: str, text_col: str, min_words: int, min_words_near: int, min_chars: int
+) -> DataFrame:
     """(row, id, text, drop, left): rows, what goes (null if nothing) and the text left."""
     rows = packed(docs, id=id_col, text=text_col)
     key, _ = row_key(rows)
-    drop = duplicate_lines(rows.select(key.alias("doc"), "text"), min_words, min_words_near)
+    drop = duplicate_lines(rows.select(key.alias("doc"), "text"), min_words, min_words_near, min_chars)
     both = rows.withColumn("key", key).join(drop, F.col("key").eqNullSafe(F.col("doc")), "left")
     lines = F.split("text", "\n")
     places = F.sequence(F.lit(0), F.size(lines) - 1)
@@ -227,9 +251,10 @@ def line_report(
     text_col: str = "text",
     min_words: int = MIN_WORDS,
     min_words_near: int = MIN_WORDS_NEAR,
+    min_chars: int = MIN_CHARS,
 ) -> DataFrame:
     """(id, n_lines, n_copies, n_near, text): what goes from each document, and what stays."""
-    found = _cleaned(docs, id_col, text_col, min_words, min_words_near)
+    found = _cleaned(docs, id_col, text_col, min_words, min_words_near, min_chars)
     of_kind = lambda near: F.coalesce(
         F.size(F.filter("drop", lambda d: d["near"] == F.lit(near))).cast("long"), F.lit(0)
     )

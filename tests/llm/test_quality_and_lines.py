@@ -127,3 +127,18 @@ def test_lines_of_rows_that_share_or_lack_an_id(spark):
     assert len([x for x in left if x.startswith("nearw")]) == 1
     # What stays of the common lines is in a row without an id, which come first.
     assert [r["doc_id"] for r in found if line("common") in r["text"] or "nearw0" in r["text"]] == [None]
+
+
+def test_lines_without_spaces(spark):
+    chinese = "今天北京的天气非常好我们一起去公园散步吧"
+    thai = "วันนี้อากาศดีมากเราไปเดินเล่นกันเถอะ"
+    mixed = "東京のオフィスで使う version 2 の設定を確認してください"
+    url = "https://example.org/a/very/long/path/that/repeats?x=1"
+    lines = [chinese, thai, mixed, url]
+    changed = [chinese.replace("好", "坏"), thai.replace("ดี", "ด"), mixed.replace("設", "指"), url + "2"]
+    rows = [(1, "\n".join(lines)), (2, "\n".join([*lines, "own"])), (3, "\n".join(changed))]
+    rows += [(k, "short 行\n第一章") for k in (4, 5)] + [(6, "𠮷" + chinese[2:] + "\n" + chinese[:-2])]
+    found = by_id(line_dedup.line_report(spark.createDataFrame(rows, "doc_id long, text string")), "text")
+    assert {k: v[0] for k, v in found.items()} == {
+        1: rows[0][1], 2: "own", 3: changed[3], 4: rows[3][1], 5: rows[4][1], 6: rows[5][1],
+    }
