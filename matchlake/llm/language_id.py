@@ -7,7 +7,8 @@ language. Phrases times the logarithm of the sample's length, over the text's le
 estimates its cross entropy in bits per character; the language with the least wins. The
 score is how much less that is than the second best, from 0 to 1.
 
-Texts are lower-cased and runs of other than letters count as one space. Texts are parsed
+Texts are lower-cased and runs of other than letters count as one space. Letters above the
+first plane are told apart by their code's remainder, so those of one script differ. Texts are parsed
 in segments of ``SEGMENT`` characters, all of them: the automaton is a transition table, so
 many segments take a step at once.
 
@@ -37,6 +38,8 @@ MAX_LANGUAGES = 1000
 FOLDS = 5
 
 _PLANE = 1 << 16
+#: Surrogates and private use, where no letter is: letters above the first plane go there.
+_SPARE, _SPARES = 0xD800, 0xF900 - 0xD800
 
 
 def _letters() -> np.ndarray:
@@ -49,10 +52,13 @@ _LETTER = _letters()
 def normal_codes(text: str) -> np.ndarray:
     """Code points of a text, lower-cased, with one space for each run of non-letters."""
     codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
-    letter = np.ones(len(codes), bool)
     low = codes < _PLANE
-    letter[low] = _LETTER[codes[low]]
-    codes = np.where(letter, np.minimum(codes, _PLANE - 1), 32).astype(np.uint16)
+    letter = _LETTER[np.where(low, codes, 0)]
+    if not low.all():
+        high, place = np.unique(codes[~low], return_inverse=True)
+        letter[~low] = np.array([chr(c).isalpha() for c in high.tolist()])[place]
+        codes = np.where(low, codes, _SPARE + codes % _SPARES)
+    codes = np.where(letter, codes, 32).astype(np.uint16)
     keep = letter.copy()
     keep[1:] |= letter[:-1]
     return codes[keep]

@@ -122,6 +122,16 @@ def test_language_of_odd_documents(odd_docs, no_docs):
     assert language_id.identify(no_docs).count() == 0
 
 
+def test_emoji_are_no_letters():
+    normal = lambda t: language_id.normal_codes(t).tolist()
+    known = language_id.Parser({"en": "the cat sat on the mat", "fr": "le chat est sur la table"})
+    for text in ("🙂", "🙂🎉👍🏽", "12 🙂 34", "\U0010ffff"):
+        assert normal(text) == [] and known.predict([text]) == [("und", 0.0)]
+    assert normal("the🙂🎉 cat🙂") == normal("the cat ")
+    # Letters above the first plane stay letters and differ from one another.
+    assert len(set(normal("𠮷𠀋𐌰𐌱𞤢𞤣"))) == 6 and 32 not in normal("𠮷𠀋𐌰𐌱𞤢𞤣")
+
+
 def test_licences_and_directories(spark, odd_docs):
     rows = [
         (1, "a/LICENSE", "The MIT files.\nReleased under the MIT License.\nMore prose that follows it."),
