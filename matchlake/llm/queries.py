@@ -17,9 +17,10 @@ from matchlake.llm import (
     near_dedup,
     neighbours,
     packing,
+    periodic_runs,
     quality_rules,
 )
-from matchlake.llm.common import Scratch, table
+from matchlake.llm.common import SPACES, Scratch, table
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +86,42 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary, end=1)
 
 
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in a tenth of the documents, by a checksum of the id, the words from
+    some place on repeat the first few of them."""
+    words = F.filter(F.split("text", SPACES), lambda w: w != "")
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = docs.select("doc_id", "text", words.alias("w"), F.size(words).alias("n"), checksum.alias("h"))
+    docs = docs.withColumn("g", F.expr("h div 10")).withColumn("a", F.expr("int(if(n > 0, g % n, 0))"))
+    docs = docs.withColumn("p", F.expr("int(1 + (n - a) div (3 + g % 8))"))
+    planted = F.expr(
+        "array_join(concat(slice(w, 1, a), slice(flatten(array_repeat(slice(w, a + 1, p), int(ceil((n - a) / p)))), 1, n - a)), ' ')"
+    )
+    return docs.select("doc_id", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _with_planted_runs(table(spark, sf_dir, "documents"))
+    found = periodic_runs.periodic_runs(docs)
+    # Runs come by start and period, so the first of those with the greatest exponent stays.
+    top = F.expr(
+        "aggregate(runs, cast(null as struct<start:long,length:long,period:long>), "
+        "(t, r) -> if(t is null or r.length * t.period > t.length * r.period, r, t))"
+    )
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("top", top).select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -98,6 +135,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_entropy_mixing,
         op9_near_dedup,
         op10_best_fit_packing,
+        op13_periodic_runs,
     )
 }
 
