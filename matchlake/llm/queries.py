@@ -19,6 +19,8 @@ from matchlake.llm import (
     packing,
     periodic_runs,
     quality_rules,
+    secret_scan,
+    term_pipeline,
 )
 from matchlake.llm.common import SPACES, Scratch, table
 
@@ -86,6 +88,23 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary, end=1)
 
 
+def op11_term_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = term_pipeline.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < len(secret_scan.BASE))
+    number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[number(i).alias(f"n_{rule.kind}") for i, rule in enumerate(secret_scan.BASE)],
+        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"),
+    )
+
+
 def _with_planted_runs(docs: DataFrame) -> DataFrame:
     """(doc_id, text): in a tenth of the documents, by a checksum of the id, the words from
     some place on repeat the first few of them."""
@@ -135,10 +154,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_entropy_mixing,
         op9_near_dedup,
         op10_best_fit_packing,
+        op11_term_pipeline,
+        op12_secret_scan,
         op13_periodic_runs,
     )
 }
 
+_TERMS = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+def _secret_spans_sql() -> str:
+    """Each rule on every text by itself: what stands between matches gives their places."""
+    each = []
+    for i, rule in enumerate(secret_scan.RULES):
+        pattern = "'" + rule.pattern.replace("'", "''") + "'"
+        each.append(
+            f"""select doc_id, {i} as number, '{rule.kind}' as kind, length(m) as size, length(g) as held,
+                cast(sum(length(p) + length(m)) over (partition by doc_id order by k) as bigint) as past
+            from (select doc_id, unnest(regexp_extract_all(text, {pattern})) as m,
+                unnest(regexp_extract_all(text, {pattern}, {rule.group})) as g,
+                unnest(list_slice(regexp_split_to_array(text, {pattern}), 1, -2)) as p,
+                generate_subscripts(regexp_extract_all(text, {pattern}), 1) as k
+                from documents where regexp_matches(text, {pattern}))
+            qualify length(g) >= {rule.least}"""
+        )
+    return " union all ".join(each)
+
+
 SQL: dict[str, str] = {
     "op4_chat_format": r"""
         with turns as (
@@ -157,4 +201,43 @@ SQL: dict[str, str] = {
                 + 4 * (length(text) - length(replace(text, '[', '')))) as bigint) as formatted_chars
         from loss group by conv_id
     """,
+    "op11_term_pipeline": rf"""
+        with words as (
+            select doc_id, unnest({_TERMS}) as term from documents
+        ),
+        sizes as (select doc_id, count(*) as n from words group by doc_id),
+        totals as (select count(*) as docs, cast(sum(n) as bigint) as length from sizes),
+        frequencies as (select doc_id, term, count(*) as tf from words group by doc_id, term),
+        weights as (
+            select term, cast(floor(1000 * ln((2.0::double * any_value(docs) + 2) / (2 * count(*) + 1))) as bigint) as w
+            from frequencies, totals group by term
+        ),
+        asked as (select distinct item_id, term from (select item_id, unnest({_TERMS}) as term from benchmark)),
+        scores as (
+            select item_id, doc_id,
+                cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // length)))) as bigint) as score
+            from asked join frequencies using (term) join weights using (term) join sizes using (doc_id), totals
+            group by item_id, doc_id
+        )
+        select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank,
+            doc_id, score
+        from scores where score > 0
+        qualify rank <= 10
+    """,
+    "op12_secret_scan": f"""
+        with spans as (
+            select doc_id, number, past - size as start, kind || ':' || (past - size) || ':' || past as span
+            from ({_secret_spans_sql()})
+        ),
+        listed as (
+            select doc_id, count(*) filter (number = 0) as n_assign, count(*) filter (number = 1) as n_access,
+                count(*) filter (number = 2) as n_hex,
+                string_agg(span, ',' order by start, number) filter (number < 3) as base,
+                string_agg(span, ',' order by start, number) as spans
+            from spans group by doc_id
+        )
+        select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access,
+            coalesce(n_hex, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+        from documents left join listed using (doc_id)
+    """,
 }
