@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from matchlake.llm.common import Scratch, packed, row_key
+from matchlake.llm.common import Scratch, row_key
 
 MIN_WORDS = 3
 MIN_WORDS_NEAR = 10
@@ -59,37 +59,67 @@ _UNSPACED = "".join(
 _SEAM = rf"(?<=[{_UNSPACED}]\p{{M}}{{0,8}})(?=[^\x20\p{{M}}])|(?<=[^\x20])(?=[{_UNSPACED}&&\P{{M}}])"
 
 
-def _units(normal: Column) -> Column:
-    """The line with a space on either side of each character of an unspaced script."""
-    ascii_only = F.octet_length(normal) == F.length(normal)
-    return F.when(ascii_only, normal).otherwise(F.regexp_replace(normal, _SEAM, " "))
+#: All characters of these scripts come after this one, as few others do.
+_FAR = r"[\x{E00}-\x{10FFFF}]"
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(doc, at, normal, units, n_words, n) of the lines of (doc, text), n being the number of units."""
-    lines = docs.select("doc", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    lines = lines.select("doc", "at", _normal(F.col("line")).alias("normal"))
-    lines = lines.select("*", _units(F.col("normal")).alias("units"), _n_words(F.col("normal")).alias("n_words"))
-    same = F.length("units") == F.length("normal")
-    return lines.select("*", F.when(same, F.col("n_words")).otherwise(_n_words(F.col("units"))).alias("n"))
+def _units(normal: Column) -> Column:
+    """The line with a space on either side of each character of an unspaced script."""
+    spaced = F.octet_length(normal) == F.length(normal)
+    for some in (_FAR, f"[{_UNSPACED}]"):
+        spaced = spaced | ~normal.rlike(some)
+    return F.when(spaced, normal).otherwise(F.regexp_replace(normal, _SEAM, " "))
 
 
 def _halves(normal: Column, n: Column) -> Column:
-    """Keys (last, half, key) of the first and last words of a line, as many as half of the
-    shorter line of a pair."""
+    """Keys of the first and of the last words of a line, as many as half of the shorter line
+    of a pair; see ``_half`` for their places in the array."""
     part = lambda count: F.call_function("substring_index", normal, F.lit(" "), count)
 
     def pair(whole: Column) -> list[Column]:
         half = F.floor(whole / 2).cast("int")
-        return [
-            F.struct(F.lit(last).alias("last"), half.alias("half"), F.xxhash64(F.lit(last), half, part(count)).alias("key"))
-            for last, count in ((False, half), (True, -half))
-        ]
+        return [F.xxhash64(F.lit(last), half, part(count)) for last, count in ((False, half), (True, -half))]
 
     # Half of n and half of n - 1 are the same number for an odd n.
     return F.when(n % 2 == 1, F.array(*pair(n))).otherwise(F.array(*pair(n), *pair(n - 1)))
 
 
+def _half(n: Column, place: Column) -> tuple[Column, Column]:
+    """(last, half) of the key at a place in the array of a line of n words."""
+    return place % 2 == 1, F.floor((n - F.floor(place / 2)) / 2).cast("int")
+
+
+def _facts(docs: DataFrame, min_words: int, min_words_near: int, min_chars: int) -> DataFrame:
+    """(doc, at, x, y, n, halves, takes_part) of the lines of (doc, text): two hashes of the
+    words, and of lines long enough for edits the number of units and the keys of halves.
+
+    No filter stands here: it would be pushed below the projections and evaluate them anew.
+    """
+    lines = docs.select("doc", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+    lines = lines.select("doc", "at", _normal(F.col("line")).alias("normal"))
+    lines = lines.select("*", _units(F.col("normal")).alias("units"), _n_words(F.col("normal")).alias("n_words"))
+    same = F.length("units") == F.length("normal")
+    lines = lines.select("*", F.when(same, F.col("n_words")).otherwise(_n_words(F.col("units"))).alias("n"))
+    long = F.col("n") >= min_words_near
+    return lines.select(
+        "doc", "at", F.xxhash64("normal").alias("x"), F.xxhash64(F.lit("line"), "normal").alias("y"),
+        F.when(long, F.col("n")).alias("n"), F.when(long, _halves(F.col("units"), F.col("n"))).alias("halves"),
+        ((F.col("n_words") >= min_words) | (F.length("normal") >= min_chars) | long).alias("takes_part"),
+    )
+
+
+def _words(docs: DataFrame, near: DataFrame) -> DataFrame:
+    """(doc, at, after, before, words) of the lines (doc, at, after, before) that are wanted."""
+    wanted = near.groupBy(F.col("doc").alias("d")).agg(F.collect_list(F.struct("at", "after", "before")).alias("wanted"))
+    few = near.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
+    texts = docs.join(F.broadcast(wanted) if few else wanted, F.col("doc").eqNullSafe(F.col("d")))
+    lines = texts.select("doc", F.split("text", "\n").alias("lines"), F.explode("wanted").alias("w"))
+    line = _units(F.col("line"))
+    lines = lines.select("doc", "w.*", _normal(F.get("lines", F.col("w.at"))).alias("line"))
+    # Rows alike in id and text are one document.
+    return lines.select("doc", "at", "after", "before", F.split(line, " ").alias("words")).dropDuplicates(["doc", "at"])
+
+
 _SAME, _SHORTENED, _WHOLE = 0, 1, 2
 
 
@@ -153,33 +183,21 @@ def duplicate_lines(
 ) -> DataFrame:
     """(doc, drop) of (doc, text): sorted places of the lines that go, with their kind."""
     scratch = Scratch(docs.sparkSession, "lines")
-    long = F.col("n") >= min_words_near
-    lines = _lines(docs).filter((F.col("n_words") >= min_words) | (F.length("normal") >= min_chars) | long)
-    line = F.struct(F.xxhash64("normal").alias("x"), F.xxhash64(F.lit("line"), "normal").alias("y"))
-    facts = lines.select(
-        "doc", "at", line.alias("line"), F.when(long, _halves(F.col("units"), F.col("n"))).alias("halves")
-    )
-    facts = scratch.keep(facts, "facts")
+    facts = scratch.keep(_facts(docs, min_words, min_words_near, min_chars), "facts").filter("takes_part")
     first = F.min(F.struct("doc", "at")).alias("first")
-    distinct = facts.groupBy("line").agg(first, F.count("*").alias("copies"), F.first("halves").alias("halves"))
-    distinct = scratch.keep(distinct.select("line", "first.*", "copies", "halves"), "distinct")
-    facts = scratch.keep(facts.select("doc", "at", "line"), "places")
-    scratch.drop("facts")
+    distinct = facts.groupBy("x", "y").agg(
+        first, F.count("*").alias("copies"), F.first("n").alias("n"), F.first("halves").alias("halves")
+    )
+    distinct = scratch.keep(distinct.select("x", "y", "first.*", "copies", "n", "halves"), "distinct")
 
-    halves = distinct.select("doc", "at", F.explode("halves").alias("h")).select("doc", "at", "h.*")
+    halves = distinct.select("doc", "at", "n", F.posexplode("halves").alias("place", "key"))
     shared = halves.groupBy("key").count().filter("count > 1").select("key")
+    last, half = _half(F.col("n"), F.col("place"))
     near = halves.join(shared, "key").groupBy("doc", "at").agg(
-        F.min(F.when(~F.col("last"), F.col("half"))).alias("after"),
-        F.min(F.when(F.col("last"), F.col("half"))).alias("before"),
+        F.min(F.when(~last, half)).alias("after"), F.min(F.when(last, half)).alias("before")
     )
     near = scratch.keep(near, "near")
-    few = near.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
-    wanted = near.select(F.col("doc").alias("d"), F.col("at").alias("a"), "after", "before")
-    texts = _lines(docs).join(
-        F.broadcast(wanted) if few else wanted, F.col("doc").eqNullSafe(F.col("d")) & (F.col("at") == F.col("a"))
-    )
-    words = texts.select("doc", "at", "after", "before", F.split("units", " ").alias("words"))
-    words = scratch.keep(words.dropDuplicates(["doc", "at"]), "words")
+    words = scratch.keep(_words(docs, near), "words")
 
     made = scratch.keep(_neighbourhood(words), "made")
     place = F.struct("doc", "at")
@@ -197,19 +215,19 @@ def duplicate_lines(
     verified = links.join(own, "first").join(other, "earlier").filter(_one_edit(F.col("words"), F.col("earlier_words")))
     verified = scratch.keep(verified.select("first").distinct(), "verified")
 
-    named = distinct.select("line", "copies", place.alias("first")).join(
+    named = distinct.select("x", "y", "copies", place.alias("first")).join(
         verified.withColumn("near", F.lit(True)), "first", "left"
     )
     verdict = named.filter("copies > 1 or near").select(
-        "line", F.col("first").alias("kept"), F.coalesce("near", F.lit(False)).alias("near")
+        "x", "y", F.col("first").alias("kept"), F.coalesce("near", F.lit(False)).alias("near")
     )
-    gone = facts.select("doc", "at", "line").join(verdict, "line")
+    gone = facts.select("doc", "at", "x", "y").join(verdict, ["x", "y"])
     gone = gone.filter(F.col("near") | ~F.struct("doc", "at").eqNullSafe(F.col("kept")))
     drop = gone.select("doc", F.struct("at", "near").alias("d")).groupBy("doc").agg(
         F.sort_array(F.collect_set("d")).alias("drop")
     )
     drop = scratch.keep(drop, "drop")
-    scratch.drop("places", "distinct", "near", "words", "made", "verified")
+    scratch.drop("facts", "distinct", "near", "words", "made", "verified")
     return drop
 
 
@@ -227,21 +245,23 @@ def dedup_lines(
     if drop_empty:
         emptied = F.col("drop").isNotNull() & F.coalesce(_normal(F.col("left")) == "", F.lit(True))
         found = found.filter(~emptied)
-    return found.select(*[F.col("left" if c == text_col else f"row.`{c}`").alias(c) for c in docs.columns])
+    return found.select(*[F.col("left" if c == text_col else f"`row`.`{c}`").alias(c) for c in docs.columns])
 
 
 def _cleaned(
     docs: DataFrame, id_col: str, text_col: str, min_words: int, min_words_near: int, min_chars: int
 ) -> DataFrame:
-    """(row, id, text, drop, left): rows, what goes (null if nothing) and the text left."""
-    rows = packed(docs, id=id_col, text=text_col)
+    """(row, id, text, drop, left): other columns, what goes (null if nothing) and the text left."""
+    # The text stands beside the other columns, so that it is shuffled once.
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row")
+    rows = docs.select(others, F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     key, _ = row_key(rows)
     drop = duplicate_lines(rows.select(key.alias("doc"), "text"), min_words, min_words_near, min_chars)
     both = rows.withColumn("key", key).join(drop, F.col("key").eqNullSafe(F.col("doc")), "left")
-    lines = F.split("text", "\n")
-    places = F.sequence(F.lit(0), F.size(lines) - 1)
-    left = F.array_except(places, F.transform("drop", lambda d: d["at"]))
-    text = F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+    both = both.withColumn("lines", F.when(F.col("drop").isNotNull(), F.split("text", "\n")))
+    places = F.sequence(F.lit(0), F.size("lines") - 1)
+    left = F.array_except(places, F.col("drop")["at"])
+    text = F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n")
     return both.withColumn("left", F.when(F.col("drop").isNull(), F.col("text")).otherwise(text))
 
 
@@ -258,7 +278,8 @@ def line_report(
     of_kind = lambda near: F.coalesce(
         F.size(F.filter("drop", lambda d: d["near"] == F.lit(near))).cast("long"), F.lit(0)
     )
-    n_lines = F.coalesce(F.size(F.split("text", "\n")).cast("long"), F.lit(0))
+    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
+    n_lines = F.coalesce((breaks + 1).cast("long"), F.lit(0))
     return found.select(
         F.col("id").alias(id_col),
         n_lines.alias("n_lines"),
