@@ -21,7 +21,8 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--source", default="feed", help="folder name below each layer")
     parser.add_argument("--layout", default="document", choices=["document", "lines"])
     parser.add_argument("--merge-mode", default="insert", choices=["insert", "upsert"])
-    parser.add_argument("--gold-new-days", action="store_true", help="offer Gold this run's days only")
+    parser.add_argument("--gold-new-days", action="store_true", help="offer Gold the days handed over (the default)")
+    parser.add_argument("--repair", action="store_true", help="offer Gold all of Silver")
     parser.add_argument("--no-export", action="store_true")
     return parser.parse_args(arguments)
 
@@ -34,7 +35,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         source=args.source,
         layout=args.layout,
         merge_mode=args.merge_mode,
-        gold_rereads_all=not args.gold_new_days,
+        gold_rereads_all=args.repair and not args.gold_new_days,
         export=not args.no_export,
     )
     spark = SparkSession.builder.appName("matchlake").getOrCreate()

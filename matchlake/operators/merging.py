@@ -19,7 +19,7 @@ NULL keys never match, so such rows always count as new.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
@@ -32,6 +32,8 @@ from matchlake.session import pinned
 
 _HIT, _HOT, _HOT_HIT, _SPREAD, _COPIES = "__hit", "__hot", "__hot_hit", "__spread", "__copies"
 _CHOSEN = "__chosen"
+#: Parts a hot key's rows are spread over at most.
+_MOST_PARTS = 256
 
 
 # Key types whose range is worth a scan filter.
@@ -267,31 +269,120 @@ def equality_keys(condition: str | Column) -> list[str]:
     return [m[2] for m in found]
 
 
-def new_rows_where(target: DataFrame, source: DataFrame, condition: str | Column) -> DataFrame:
-    """Source rows no target row matches, for a condition over ``source`` and ``target``.
+_WORD = re.compile(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|\(|\)|\w+|.""", re.S)
 
-    The condition must hold at least one equality between the two sides; a plan
-    that would compare every pair is refused. Use keys where they are enough:
-    they have the measured and skew-proof plans.
-    """
-    condition = F.expr(condition) if isinstance(condition, str) else condition
 
-    def unmatched(stored: DataFrame) -> DataFrame:
-        return source.alias("source").join(stored.alias("target"), condition, "left_anti")
+def _conjuncts(condition: str) -> list[str]:
+    """The parts of a condition that AND joins at its outermost level."""
+    parts, depth, between = [""], 0, False
+    for word in _WORD.findall(condition):
+        depth += (word == "(") - (word == ")")
+        lower = word.lower()
+        if lower in ("or", "not") and depth == 0 or lower == "case":
+            return [condition]  # another structure: taken as a whole
+        if lower == "and" and depth == 0 and not between:
+            parts.append("")
+            continue
+        between = depth == 0 and (lower == "between" or between and lower != "and")
+        parts[-1] += word
+    return parts
 
-    # Only the columns the condition needs, each combination once: copies collapse
-    # before the exchange. A column is needed if the join is not valid without it.
-    unmatched(target)
+
+def equated(condition: str | Column) -> list[tuple[str, str]]:
+    """(source column, target column) that a condition equates among other things."""
+    if not isinstance(condition, str):
+        return []
+    found = [_SAME_KEY.fullmatch(part) for part in _conjuncts(condition)]
+    pairs = [(m[2], m[4]) if m[1] == "source" else (m[4], m[2]) for m in found if m and m[1] != m[3]]
+    return list(dict.fromkeys(pairs))
+
+
+def _needed(target: DataFrame, joined: Callable[[DataFrame], DataFrame]) -> list[str]:
+    """The target's columns without which the join is not valid."""
+    joined(target)
     needed = []
     for column in target.columns:
         try:
-            unmatched(target.drop(column))
+            joined(target.drop(column))
         except AnalysisException:
             needed.append(column)
-    found = unmatched(target.select(*[quoted(c) for c in needed]).distinct())
-    plan = found._jdf.queryExecution().sparkPlan().toString()
+    return needed
+
+
+def _refuse_all_pairs(df: DataFrame) -> None:
+    plan = df._jdf.queryExecution().sparkPlan().toString()
     if "NestedLoop" in plan or "CartesianProduct" in plan:
         raise ValueError("the merge condition needs an equality between source and target")
+
+
+def new_rows_where(
+    target: DataFrame,
+    source: DataFrame,
+    condition: str | Column,
+    limits: MergeLimits = MergeLimits(),
+) -> DataFrame:
+    """Source rows no target row matches, for a condition over ``source`` and ``target``.
+
+    The condition must hold at least one equality between the two sides; a plan
+    that would compare every pair is refused. Use keys where they are enough:
+    they have the measured plans.
+
+    Where a condition in text equates columns, source rows that lack one of them are new
+    without a join. Keys with many source rows are spread over tasks: their rows by input
+    partition, the stored rows they are compared with to every part.
+    """
+    test = F.expr(condition) if isinstance(condition, str) else condition
+
+    def unmatched(rows: DataFrame, stored: DataFrame, more: Column | None = None) -> DataFrame:
+        on = test if more is None else test & more
+        return rows.alias("source").join(stored.alias("target"), on, "left_anti")
+
+    # Only the columns the condition needs, each combination once: copies collapse
+    # before the exchange.
+    needed = _needed(target, lambda stored: unmatched(source, stored))
+    stored = target.select(*[quoted(c) for c in needed]).distinct()
+    _refuse_all_pairs(unmatched(source, stored))
+    pairs = equated(condition)
+    if not pairs:
+        return unmatched(source, stored)
+    own = list(dict.fromkeys(p[0] for p in pairs))
+    keyed = source.filter(~_any_null(own))
+    copies = key_copies(source, own)
+    total, most = copies.agg(F.coalesce(F.sum(_COPIES), F.lit(0)), F.coalesce(F.max(_COPIES), F.lit(0))).first()
+    hot_above = max(int(total * limits.hot_share), 1)
+    if most <= hot_above:
+        return unmatched(keyed, stored).unionByName(source.filter(_any_null(own)))
+    parts = F.least(F.ceil(quoted(_COPIES) / hot_above), F.lit(_MOST_PARTS)).cast("int").alias(_HOT)
+    hot = copies.filter(quoted(_COPIES) > hot_above).select(*[quoted(k) for k in own], parts)
+    hot = F.broadcast(pinned(hot))
+    many = F.coalesce(quoted(_HOT), F.lit(1))
+    # Parts are told apart in the join by a column no key can fold into a constant.
+    rows = keyed.join(hot, own, "left").withColumn(_SPREAD, F.pmod(F.spark_partition_id(), many)).drop(_HOT)
+    by_target = {t: s for s, t in reversed(pairs)}
+    hot_there = F.broadcast(hot.select(*[quoted(s).alias(t) for t, s in by_target.items()], quoted(_HOT)))
+    spread = stored.join(hot_there, list(by_target), "left")
+    spread = spread.withColumn(_SPREAD, F.explode(F.sequence(F.lit(0), many - 1))).drop(_HOT)
+    found = unmatched(rows, spread, F.col(f"source.{_SPREAD}") == F.col(f"target.{_SPREAD}"))
+    return found.drop(_SPREAD).unionByName(source.filter(_any_null(own)))
+
+
+def matching_pairs(
+    target: DataFrame,
+    source: DataFrame,
+    condition: str | Column,
+    target_id: Sequence[str],
+    source_id: str,
+) -> DataFrame:
+    """Ids of the target and source rows that match each other; an equality is needed."""
+    test = F.expr(condition) if isinstance(condition, str) else condition
+
+    def matched(stored: DataFrame) -> DataFrame:
+        return stored.alias("target").join(source.alias("source"), test)
+
+    needed = _needed(target.drop(*target_id), matched)
+    slim = target.select(*[quoted(c) for c in dict.fromkeys([*needed, *target_id])])
+    found = matched(slim).select(*[quoted(c) for c in target_id], quoted(source_id))
+    _refuse_all_pairs(found)
     return found
 
 
@@ -305,10 +396,12 @@ def of_one_document(
     """
     keys = _keys(keys)
     pick = F.max if latest else F.min
+    # Rows without a key would all meet in one task.
+    keyless, df = df.filter(_any_null(keys)), df.filter(~_any_null(keys))
     chosen = df.groupBy(*[quoted(k) for k in keys]).agg(pick(quoted(document)).alias(_CHOSEN))
-    same = [F.col(f"l.{ticked(k)}").eqNullSafe(F.col(f"r.{ticked(k)}")) for k in keys]
+    same = [F.col(f"l.{ticked(k)}") == F.col(f"r.{ticked(k)}") for k in keys]
     both = df.alias("l").join(chosen.alias("r"), reduce(and_, same)).select("l.*", _CHOSEN)
-    return both.filter(_any_null(keys) | (quoted(document) == quoted(_CHOSEN))).drop(_CHOSEN)
+    return both.filter(quoted(document) == quoted(_CHOSEN)).drop(_CHOSEN).unionByName(keyless)
 
 
 def one_per_key(

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Iterable
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,15 +17,14 @@ from matchlake.session import configure
 from matchlake.sources import (
     export_csv,
     export_parquet,
-    read_partition_day,
-    read_partition_days,
+    read_days,
     read_table,
     split_documents,
     table_path,
     write_table,
 )
 from matchlake.sources import files
-from matchlake.sources.landing import read_documents, store_rejects
+from matchlake.sources.landing import parse_documents, parsed_once, read_documents, store_rejects
 
 
 @dataclass(frozen=True)
@@ -43,9 +42,9 @@ class Lake:
     day_folder: str = "{day}"
     merge_mode: str = "insert"
     dedup_source: bool = False
-    # False: offer Gold the run's own days only. Every Silver day was offered by the run
-    # that wrote it, so an insert-only Gold ends up the same without rereading Silver.
-    gold_rereads_all: bool = True
+    # Offer Gold all of Silver instead of the days handed over: a repair, after which an
+    # insert-only Gold holds the same as without it, unless a table was changed by hand.
+    gold_rereads_all: bool = False
     export: bool = True
     export_single_file: bool = False
 
@@ -56,19 +55,6 @@ class Lake:
         return f"{self.landing}/{entity}/{self.day_folder.format(day=day)}"
 
 
-@contextmanager
-def _held(df: DataFrame, hold: bool):
-    """Keep one day's parsed documents for the steps that read them again."""
-    if not hold:
-        yield df
-        return
-    df = df.persist()
-    try:
-        yield df
-    finally:
-        df.unpersist()
-
-
 def _as_date(value: str | dt.date) -> dt.date:
     if isinstance(value, dt.datetime):
         return value.date()
@@ -86,76 +72,95 @@ def _landed_paths(
     return [p for p in paths if files.exists(spark, p)]
 
 
-def ingest(
-    spark: SparkSession, lake: Lake, entity: Entity, first: dt.date, last: dt.date
-) -> list[dt.date]:
-    """Landed documents to Bronze; unreadable ones, if any, to the rejects table.
+class _Handover:
+    """Days a layer has taken in and the next one has not: a small file beside its table.
+
+    It is written before the layer changes and cleared when the next one has followed, so
+    days of a run that broke off are offered again by the run after it.
+    """
+
+    def __init__(self, spark: SparkSession, lake: Lake, to: str, entity: str):
+        self.spark, self.path = spark, f"{lake.table(to, entity)}__pending"
+
+    def days(self) -> set[str]:
+        return set(json.loads(files.read_whole(self.spark, self.path) or "[]"))
+
+    def add(self, days: Iterable[str]) -> None:
+        self._put(self.days() | set(days))
+
+    def clear(self, days: Iterable[str]) -> None:
+        self._put(self.days() - set(days))
+
+    def _put(self, days: set[str]) -> None:
+        if days != self.days():
+            files.make_parents(self.spark, self.path)
+            files.write_whole(self.spark, self.path, json.dumps(sorted(days)))
+
+
+def _days(first: dt.date, last: dt.date) -> list[str]:
+    return [str(first + dt.timedelta(days=n)) for n in range((last - first).days + 1)]
+
+
+def ingest(spark: SparkSession, lake: Lake, entity: Entity, first: dt.date, last: dt.date) -> None:
+    """Landed documents to Bronze; what is unreadable in them, if anything, to the rejects table.
 
     A static entity is replaced as a whole, so an unreadable document of it stops the run
-    after it was set aside, and the stored table stays.
+    after it was set aside, and the stored table stays; a record of it that does not fit is
+    only set aside.
 
-    For upserts it returns the days the batch has matches on (days, not matches, come
-    to the driver).
+    For matches the days that Silver has to take over are noted: the run's own, or for
+    upserts those the batch has matches on (days, not matches, come to the driver).
     """
+    handover = _Handover(spark, lake, "silver", entity.name) if entity.keys else None
+    if entity.keys and lake.merge_mode == "insert":
+        handover.add(_days(first, last))
     paths = _landed_paths(spark, lake, entity, first, last)
     if not paths:
-        return []
-    days = []
-    raw = read_documents(
-        spark, paths, entity.record, entity.data_field, lake.layout, recursive=True
-    )
-    with _held(raw, hold=first == last) as documents:
-        records, rejects = split_documents(documents, entity.data_field, bool(entity.keys))
+        return
+    raw = read_documents(spark, paths, lake.layout, recursive=True)
+    parsed = parse_documents(raw, entity.record, entity.data_field, entity.required)
+    with parsed_once(parsed) as documents:
+        records, rejects = split_documents(documents, ordered=bool(entity.keys), undeclared=True)
         target = lake.table("bronze", entity.name)
-        unreadable = store_rejects(rejects, lake.table("rejects", entity.name))
+        store_rejects(rejects, lake.table("rejects", entity.name))
         if entity.keys:
-            batch = bronze.load_fixtures(
-                records, target, lake.merge_mode, dedup_source=lake.dedup_source
-            )
+            batch = bronze.delivered_fixtures(records, lake.merge_mode, dedup_source=lake.dedup_source)
             if lake.merge_mode == "upsert":
                 found = batch.select("event_date").distinct().collect()
-                days = sorted(r["event_date"] for r in found if r["event_date"] is not None)
-        elif unreadable:
+                handover.add(str(r["event_date"]) for r in found if r["event_date"] is not None)
+            bronze.store(batch, target, lake.merge_mode)
+            return
+        unreadable = rejects.filter(F.col("reason").isin("invalid document", "no data field")).count()
+        if unreadable:
             raise ValueError(f"{unreadable} unreadable documents of {entity.name}: its table is left as it was")
-        else:
-            bronze.load_static(records, target)
-    return days
+        bronze.load_static(records, target)
 
 
-def refine_fixtures(
-    spark: SparkSession,
-    lake: Lake,
-    as_of: dt.date,
-    since: dt.date | None,
-    changed: list[dt.date],
-) -> Gold:
+def refine_fixtures(spark: SparkSession, lake: Lake) -> Gold:
     """Bronze days to Silver, Silver to Gold and exports.
 
-    Inserts read the run's days. Upserts read the days on which the batch changed
-    something, as a late result belongs to an earlier day.
+    Each layer reads the partitions of the days handed over to it, those of an earlier run
+    that broke off included. ``Lake.gold_rereads_all`` offers Gold all of Silver instead.
     """
-    yesterday = as_of - dt.timedelta(days=1)
-    upsert = lake.merge_mode == "upsert"
-
-    def of_this_run(path: str) -> DataFrame:
-        if upsert:
-            return read_table(spark, path).filter(F.col("event_date").isin([str(d) for d in changed]))
-        if since is None:
-            return read_partition_day(spark, path, as_of)
-        return read_partition_days(spark, path, since, yesterday)
-
-    target = lake.table("silver", "fixtures")
-    days = of_this_run(lake.table("bronze", "fixtures"))
-    bronze.store(silver_fixtures(days), target, lake.merge_mode)
-
+    to_silver, to_gold = (_Handover(spark, lake, layer, "fixtures") for layer in ("silver", "gold"))
+    source, target = lake.table("bronze", "fixtures"), lake.table("silver", "fixtures")
+    days = to_silver.days()
+    to_gold.add(days)
+    bronze.store(silver_fixtures(read_days(spark, source, days)), target, lake.merge_mode)
+    to_silver.clear(days)
+
+    stored = lake.table("gold", "fixtures")
     gold = gold_fixtures(read_table(spark, target))
-    everything = lake.gold_rereads_all and not upsert
-    offered = gold if everything else gold_fixtures(of_this_run(target))
-    bronze.store(offered.curated, lake.table("gold", "fixtures"), lake.merge_mode)
+    days = to_gold.days()
+    everything = lake.gold_rereads_all and lake.merge_mode == "insert"
+    offered = gold if everything else gold_fixtures(read_days(spark, target, days))
+    bronze.store(offered.curated, stored, lake.merge_mode)
+    to_gold.clear(days)
     if lake.export:
         stem = lake.table("exports", "fixtures_gold")
-        export_csv(gold.curated, f"{stem}.csv", lake.export_single_file)
-        export_parquet(gold.curated, f"{stem}.parquet", lake.export_single_file)
+        curated = read_table(spark, stored)
+        export_csv(curated, f"{stem}.csv", lake.export_single_file)
+        export_parquet(curated, f"{stem}.parquet", lake.export_single_file)
     return gold
 
 
@@ -177,12 +182,12 @@ def run(
     gold = None
     for name in entities:
         entity = ENTITIES[name]
-        changed = ingest(spark, lake, entity, since or yesterday, yesterday)
+        ingest(spark, lake, entity, since or yesterday, yesterday)
         if name == "leagues":
             silver = silver_leagues(read_table(spark, lake.table("bronze", name)))
             write_table(silver, lake.table("silver", name), "overwrite")
         elif name == "fixtures":
-            gold = refine_fixtures(spark, lake, as_of, since, changed)
+            gold = refine_fixtures(spark, lake)
     return gold
 
 

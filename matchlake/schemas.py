@@ -11,6 +11,8 @@ CORRUPT = "_corrupt_record"
 SOURCE_FILE = "_source_file"
 # Text that sorts documents by the time they landed, and those of one time by their file.
 DELIVERED = "_delivered"
+# Keys of a record that its schema does not declare, as the text of a JSON object.
+UNDECLARED = "undeclared"
 
 
 def _record(**fields: T.DataType) -> T.StructType:
@@ -144,6 +146,8 @@ class Entity:
     keys: tuple[str, ...] = ()
     partition: tuple[str, ...] = ()
     data_field: str = "response"
+    # Fields without which a record has no place in the tables.
+    required: tuple[str, ...] = ()
 
 
 ENTITIES = {
@@ -151,6 +155,12 @@ ENTITIES = {
     for e in (
         Entity("countries", COUNTRY_RECORD),
         Entity("leagues", LEAGUE_RECORD),
-        Entity("fixtures", FIXTURE_RECORD, keys=("fixture_id",), partition=("event_date",)),
+        Entity(
+            "fixtures",
+            FIXTURE_RECORD,
+            keys=("fixture_id",),
+            partition=("event_date",),
+            required=("fixture.date",),
+        ),
     )
 }

@@ -7,9 +7,11 @@ from matchlake.sources.sinks import (
     merge_where,
     save_new,
     save_upsert,
+    save_upsert_where,
     write_table,
 )
 from matchlake.sources.tables import (
+    read_days,
     read_partition_day,
     read_partition_days,
     read_table,
@@ -23,11 +25,13 @@ __all__ = [
     "export_parquet",
     "json_envelope",
     "merge_where",
+    "read_days",
     "read_partition_day",
     "read_partition_days",
     "read_table",
     "save_new",
     "save_upsert",
+    "save_upsert_where",
     "split_documents",
     "table_exists",
     "table_path",

@@ -45,6 +45,29 @@ def path_of_uri(spark: SparkSession, uri: str) -> str:
     return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString()
 
 
+def inside(spark: SparkSession, folder: str, uri: str) -> str:
+    """The name below a folder of a file Spark reports by its URL-encoded form."""
+    jvm, fs = spark._jvm, _fs(spark, folder)
+    found = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toUri().getPath()
+    root = fs.makeQualified(_path(spark, folder)).toUri().getPath().rstrip("/")
+    if not found.startswith(f"{root}/"):
+        raise ValueError(f"{uri} is not below {folder}")
+    return found[len(root) + 1 :]
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Names below a folder of the files that readers see."""
+    if not exists(spark, path):
+        return []
+    root = _fs(spark, path).makeQualified(_path(spark, path)).toUri().getPath().rstrip("/")
+    found, out = _fs(spark, path).listFiles(_path(spark, path), True), []
+    while found.hasNext():
+        name = found.next().getPath().toUri().getPath()[len(root) + 1 :]
+        if not any(part.startswith(("_", ".")) for part in name.split("/")):
+            out.append(name)
+    return out
+
+
 def make_parents(spark: SparkSession, path: str) -> None:
     _fs(spark, path).mkdirs(_path(spark, path).getParent())
 
@@ -57,6 +80,19 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def write_whole(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file such that ``read_whole`` finds the old or the new text."""
+    write_text(spark, f"{path}.new", text)
+    if exists(spark, path):
+        delete(spark, path)
+    rename(spark, f"{path}.new", path)
+
+
+def read_whole(spark: SparkSession, path: str) -> str | None:
+    # Without the file, what was to take its place is complete.
+    return read_text(spark, path if exists(spark, path) else f"{path}.new")
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     if not exists(spark, path):
         return None

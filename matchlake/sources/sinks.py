@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from matchlake.functions import quoted
 from matchlake.operators.merging import (
@@ -15,13 +16,16 @@ from matchlake.operators.merging import (
     checked_unique,
     distinct_keys,
     equality_keys,
+    matching_pairs,
     near_keys,
     new_rows,
     new_rows_where,
     rows_by_keyset,
     unmatched_target,
 )
+from matchlake.session import scratch_dir
 from matchlake.sources import files
+from matchlake.sources.exchange import Batch, batch_done, exchange, finish
 from matchlake.sources.tables import (
     NEW,
     OLD,
@@ -74,6 +78,23 @@ def _fitted(
     return fitted, info.partition if info else _listed(partition_cols)
 
 
+def _settle(spark: SparkSession, path: str) -> None:
+    """Finish what an earlier writer left half done."""
+    recover(spark, path)
+    finish(spark, path)
+
+
+@contextmanager
+def _held(df: DataFrame) -> Iterator[DataFrame]:
+    """A batch in the shared scratch folder, for steps that read it several times."""
+    path = scratch_dir(df.sparkSession, "batch")
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        files.delete(df.sparkSession, path)
+
+
 def _replace(df: DataFrame, path: str, partition: Sequence[str]) -> None:
     """Write beside the table, then swap: a failed job leaves the old table whole, and
     the frame may read the table it replaces. A swap that breaks off is finished when the
@@ -109,6 +130,7 @@ def write_table(
         raise ValueError(f"unknown mode {mode!r}, use one of {MODES}")
     spark = df.sparkSession
     partition = _listed(partition_cols)
+    _settle(spark, path)
     if mode == "overwrite":
         _replace(df, path, partition)
         return
@@ -130,19 +152,30 @@ def save_new(
     keys: str | Sequence[str],
     partition_cols: str | Sequence[str] | None = None,
     limits: MergeLimits = MergeLimits(),
+    batch: Batch | None = None,
 ) -> None:
     """Add the rows whose key is not stored yet; stored rows never change.
 
     Without a table the batch is written as it is. Appending while reading is safe, as
     the files to read are listed before. A rerun adds nothing (rows without a key
-    excepted). Two writers at once are not kept apart: Parquet has no transactions.
+    excepted); with ``batch``, a stream's name and number, one that comes again adds nothing
+    at all. Two writers at once are not kept apart: Parquet has no transactions.
     """
     spark = source.sparkSession
+    _settle(spark, path)
     if not table_exists(spark, path):
-        write_table(source, path, "append", partition_cols)
+        if batch is None:
+            write_table(source, path, "append", partition_cols)
+            return
+        save_info(spark, path, source.schema, _listed(partition_cols))
+    if batch_done(spark, path, batch):
         return
     fitted, partition = _fitted(source, path, partition_cols)
-    _put(new_rows(read_table(spark, path), fitted, keys, limits), path, partition, "append")
+    fresh = new_rows(read_table(spark, path), fitted, keys, limits)
+    if batch is None:
+        _put(fresh, path, partition, "append")
+    else:
+        exchange(spark, path, lambda folder: _put(fresh, folder, partition, "append"), batch=batch)
 
 
 def merge_where(
@@ -153,14 +186,15 @@ def merge_where(
 ) -> None:
     """``save_new`` for a condition over the aliases ``source`` and ``target``.
 
-    A condition that just equates keys takes the measured plan of ``save_new``; for
-    others Spark plans the join.
+    A condition that just equates keys takes the measured plan of ``save_new``; for others
+    hot keys and rows without a key are settled apart (``new_rows_where``).
     """
     keys = equality_keys(condition)
     if keys:
         save_new(source, path, keys, partition_cols)
         return
     spark = source.sparkSession
+    _settle(spark, path)
     if not table_exists(spark, path):
         write_table(source, path, "append", partition_cols)
         return
@@ -168,95 +202,111 @@ def merge_where(
     _put(new_rows_where(read_table(spark, path), fitted, condition), path, partition, "append")
 
 
-def _in_partitions(parts: Sequence[str], values: list) -> Column:
-    """True in every partition some listed value tuple may belong to (a superset for
-    several partition columns), by literals so that only their directories are read."""
-    tests = []
-    for i, name in enumerate(parts):
-        seen = {row[i] for row in values}
-        test = quoted(name).isin([v for v in seen if v is not None])
-        tests.append(test | quoted(name).isNull() if None in seen else test)
-    return reduce(and_, tests)
+_FILE, _AT, _FROM = "__file", "__at", "__from"
+#: Files that are named one by one to the reader; more are found by a join.
+LISTED_FILES = 5000
 
 
-def _upsert_partitions(
-    target: DataFrame,
+def _with_places(df: DataFrame) -> DataFrame:
+    """A table's rows with their file and their number in it."""
+    return df.select(
+        "*", F.col("_metadata.file_path").alias(_FILE), F.col("_metadata.row_index").alias(_AT)
+    )
+
+
+def _of_files(spark: SparkSession, path: str, uris: list[str]) -> DataFrame:
+    """The rows of some files of a table, with their places."""
+    info = load_info(spark, path)
+    schema = info.schema if info else read_table(spark, path).schema
+    if not uris:
+        empty = spark.createDataFrame([], schema)
+        return empty.withColumn(_FILE, F.lit("")).withColumn(_AT, F.lit(0).cast("long"))
+    if len(uris) > LISTED_FILES:
+        listed = F.broadcast(spark.createDataFrame([(u,) for u in uris], f"{_FILE} string"))
+        return _with_places(read_table(spark, path)).join(listed, _FILE, "left_semi")
+    names = [f"{path}/{files.inside(spark, path, u)}" for u in uris]
+    df = spark.read.schema(schema).option("basePath", path).parquet(*names)
+    return _with_places(df.select(*[quoted(c) for c in schema.names]))
+
+
+def save_upsert(
     source: DataFrame,
     path: str,
-    keys: list[str],
-    parts: tuple[str, ...],
-    limits: MergeLimits,
+    keys: str | Sequence[str],
+    partition_cols: str | Sequence[str] | None = None,
+    limits: MergeLimits = MergeLimits(),
+    batch: Batch | None = None,
 ) -> None:
-    """Rewrite only the partitions that lose, change or gain rows.
+    """Replace the rows whose key is stored and add the others; repeated keys raise.
 
-    Partition values come to the driver, which lists those directories anyway.
+    Only files that hold a matched key are rewritten, whatever partition their rows move
+    to; all others keep their names. A break-off at any step loses no row (``exchange``).
+    Without a table the batch is written, unpartitioned unless ``partition_cols`` says
+    otherwise. ``batch`` is as in ``save_new``.
     """
     spark = source.sparkSession
-    profile = checked_unique(source, keys)
-    columns = [quoted(p) for p in parts]
-    slim = near_keys(target, profile).select(*[quoted(k) for k in keys if k not in parts], *columns)
-    incoming = distinct_keys(source, keys)
-    complete = reduce(and_, [quoted(k).isNotNull() for k in keys])
-    matched = rows_by_keyset(
-        slim.filter(complete), incoming, keys, True, limits, profile.fits(limits)
-    )
-    touched = matched.select(*columns).union(source.select(*columns)).distinct().collect()
-    if not touched:
+    keys = list(_listed(keys))
+    _settle(spark, path)
+    if not table_exists(spark, path):
+        if batch is None:
+            checked_unique(source, keys)
+            write_table(source, path, "append", partition_cols)
+            return
+        save_info(spark, path, source.schema, _listed(partition_cols))
+    if batch_done(spark, path, batch):
         return
-    inside = target.filter(_in_partitions(parts, touched))
-    kept = unmatched_target(inside, source, keys, profile, limits)
-    left = kept.select(*columns).union(source.select(*columns)).distinct()
-    same = reduce(and_, [F.col(f"was.{p}").eqNullSafe(F.col(f"left.{p}")) for p in parts])
-    emptied = (
-        inside.select(
-            *columns, F.regexp_replace("_metadata.file_path", "/[^/]+$", "").alias("directory")
+    fitted, partition = _fitted(source, path, partition_cols)
+    with _held(fitted) as rows:
+        profile = checked_unique(rows, keys)
+        slim = near_keys(read_table(spark, path), profile).select(
+            *[quoted(k) for k in keys], F.col("_metadata.file_path").alias(_FILE)
         )
-        .distinct()
-        .alias("was")
-        .join(left.alias("left"), same, "left_anti")
-        .select("directory")
-        .collect()
-    )
-    result = kept.unionByName(source)
-    (
-        _writer(result, parts)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(path)
-    )
-    # A day all of whose matches moved is not part of the result, so it is still there.
-    for row in emptied:
-        files.delete(spark, files.path_of_uri(spark, row["directory"]))
+        complete = reduce(and_, [quoted(k).isNotNull() for k in keys])
+        incoming = distinct_keys(rows, keys)
+        matched = rows_by_keyset(
+            slim.filter(complete), incoming, keys, True, limits, profile.fits(limits)
+        )
+        # Files, not rows, come to the driver, which lists the table's files anyway.
+        uris = [r[0] for r in matched.select(_FILE).distinct().collect()]
+        stored = _of_files(spark, path, uris).drop(_FILE, _AT)
+        kept = unmatched_target(stored, rows, keys, profile, limits)
+        result = kept.unionByName(rows)
+        exchange(spark, path, lambda folder: _put(result, folder, partition, "append"), uris, batch)
 
 
-def save_upsert(
+def save_upsert_where(
     source: DataFrame,
     path: str,
-    keys: str | Sequence[str],
+    condition: str | Column,
     partition_cols: str | Sequence[str] | None = None,
     limits: MergeLimits = MergeLimits(),
 ) -> None:
-    """Replace the rows whose key is stored and add the others; repeated keys raise.
+    """``save_upsert`` for a condition over the aliases ``source`` and ``target``.
 
-    An unpartitioned table is rewritten beside the old one and swapped. In a partitioned
-    one the affected partitions are rewritten; a rerun after a failure puts right what
-    was left half done. Without a table the batch is written, unpartitioned unless
-    ``partition_cols`` says otherwise.
+    A stored row that a source row matches is replaced by it, so a source row may replace
+    several; unmatched source rows are added. A stored row that several source rows match
+    is ambiguous, and raises before anything is changed. The condition must hold at least
+    one equality between the sides.
     """
     spark = source.sparkSession
-    keys = list(_listed(keys))
+    _settle(spark, path)
     if not table_exists(spark, path):
-        checked_unique(source, keys)
         write_table(source, path, "append", partition_cols)
         return
     fitted, partition = _fitted(source, path, partition_cols)
-    target = read_table(spark, path)
-    if partition:
-        _upsert_partitions(target, fitted, path, keys, partition, limits)
-        return
-    profile = checked_unique(fitted, keys)
-    kept = unmatched_target(target, fitted, keys, profile, limits)
-    _replace(kept.unionByName(fitted), path, ())
+    columns = [quoted(c) for c in fitted.columns]
+    with _held(fitted) as rows:
+        numbered = _with_places(rows).withColumn(_FROM, F.struct(_FILE, _AT)).drop(_FILE, _AT)
+        stored = _with_places(read_table(spark, path))
+        with _held(matching_pairs(stored, numbered, condition, (_FILE, _AT), _FROM)) as pairs:
+            if not pairs.groupBy(_FILE, _AT).count().filter("count > 1").isEmpty():
+                raise ValueError("several rows of the upsert's source match one stored row")
+            uris = [r[0] for r in pairs.select(_FILE).distinct().collect()]
+            kept = _of_files(spark, path, uris).join(pairs, [_FILE, _AT], "left_anti").select(*columns)
+            replaced = numbered.join(pairs, _FROM).select(*columns)
+            added = numbered.join(pairs, _FROM, "left_anti").select(*columns)
+            result = kept.unionByName(replaced).unionByName(added)
+            exchange(spark, path, lambda folder: _put(result, folder, partition, "append"), uris)
 
 
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -43,7 +44,8 @@ def recover(spark: SparkSession, path: str) -> None:
     """Finish an overwrite that broke off between its two renames.
 
     The old table is moved away only when the new one is complete, so the new one takes its
-    place; without it, the old one returns.
+    place; without it, the old one returns. Only writers do so: to a reader the overwrite
+    may be one that is going on (``standing``).
     """
     if files.exists(spark, path):
         return
@@ -55,9 +57,18 @@ def recover(spark: SparkSession, path: str) -> None:
         return
 
 
+def standing(spark: SparkSession, path: str) -> str:
+    """Where a table is to be read: between the two renames of an overwrite the new table
+    still is beside its place."""
+    if not files.exists(spark, path):
+        for old in files.beginning_with(spark, path + OLD):
+            new = path + NEW + old[len(path + OLD) :]
+            return new if files.exists(spark, new) else old
+    return path
+
+
 def load_info(spark: SparkSession, path: str) -> TableInfo | None:
-    recover(spark, path)
-    text = files.read_text(spark, f"{path}/{_SCHEMA_FILE}")
+    text = files.read_text(spark, f"{standing(spark, path)}/{_SCHEMA_FILE}")
     if text is None:
         return None
     body = json.loads(text)
@@ -66,10 +77,20 @@ def load_info(spark: SparkSession, path: str) -> TableInfo | None:
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """A bare directory is no table; a written one is, even with no rows."""
-    recover(spark, path)
+    path = standing(spark, path)
     return files.exists(spark, f"{path}/{_SCHEMA_FILE}") or files.has_data_file(spark, path)
 
 
+def add_columns(spark: SparkSession, path: str, fields: list[T.StructField]) -> None:
+    """Declare further columns, which are null in what is stored already."""
+    info = load_info(spark, path)
+    if info is None:
+        raise ValueError(f"the table at {path} has no schema file")
+    new = [f for f in fields if f.name not in info.schema.names]
+    if new:
+        save_info(spark, path, T.StructType([*info.schema.fields, *new]), info.partition)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """All partitions. A missing table raises.
 
@@ -79,11 +100,11 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     if schema is None:
         info = load_info(spark, path)
         if info is None:
-            return spark.read.parquet(path)
+            return spark.read.parquet(standing(spark, path))
         schema = info.schema
     if not table_exists(spark, path):
         raise FileNotFoundError(f"no table at {path}")
-    df = spark.read.schema(schema).parquet(path)
+    df = spark.read.schema(schema).parquet(standing(spark, path))
     return df.select(*[quoted(c) for c in schema.names])
 
 
@@ -93,15 +114,17 @@ def _day(as_of: str | dt.date) -> dt.date:
     return as_of if isinstance(as_of, dt.date) else dt.date.fromisoformat(as_of)
 
 
-def _read_one_directory(
-    spark: SparkSession, path: str, info: TableInfo, column: str, value: str
+def _read_directories(
+    spark: SparkSession, path: str, info: TableInfo, column: str, values: list[str]
 ) -> DataFrame:
-    """One partition without listing the others, of which a long history has many."""
-    directory = f"{path}/{column}={value}"
-    if not files.exists(spark, directory):
+    """Some partitions without listing the others, of which a long history has many."""
+    path = standing(spark, path)
+    found = [f"{path}/{column}={v}" for v in values]
+    found = [f for f in found if files.exists(spark, f)]
+    if not found:
         return spark.createDataFrame([], info.schema)
-    df = spark.read.schema(info.schema).option("basePath", path).parquet(directory)
-    return partition_eq_filter(df.select(*[quoted(c) for c in info.schema.names]), value, column)
+    df = spark.read.schema(info.schema).option("basePath", path).parquet(*found)
+    return df.select(*[quoted(c) for c in info.schema.names])
 
 
 def read_partition_day(
@@ -112,7 +135,9 @@ def read_partition_day(
     try:
         info = load_info(spark, path)
         if info is not None and info.partition == (column,):
-            return _read_one_directory(spark, path, info, column, str(day))
+            return partition_eq_filter(
+                _read_directories(spark, path, info, column, [str(day)]), day, column
+            )
         return partition_eq_filter(read_table(spark, path), day, column)
     except (AnalysisException, OSError, ValueError) as error:
         raise RuntimeError(f"could not read the day before {as_of} from {path}: {error}") from error
@@ -127,3 +152,18 @@ def read_partition_days(
 ) -> DataFrame:
     """Several days, both ends included: a late or first run over many days."""
     return date_range_filter(read_table(spark, path), first, last, column)
+
+
+#: Days that are looked up one by one; for more the table is listed.
+LOOKED_UP_DAYS = 400
+
+
+def read_days(
+    spark: SparkSession, path: str, days: Iterable[str | dt.date], column: str = "event_date"
+) -> DataFrame:
+    """The partitions of the days named; those without data give no rows."""
+    days = sorted({str(day) for day in days})
+    info = load_info(spark, path)
+    if len(days) <= LOOKED_UP_DAYS and info is not None and info.partition == (column,):
+        return _read_directories(spark, path, info, column, days)
+    return read_table(spark, path).filter(quoted(column).cast("string").isin(days))
