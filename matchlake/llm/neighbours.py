@@ -7,10 +7,12 @@ directions name a bucket. A query looks into its own bucket and into those that
 slots whose border it is close to, in the order of their estimated success. What the
 buckets of all tables hold is ranked by the exact inner product in double precision.
 
-Equal vectors are gathered first and searched as one, with their smallest ids. Buckets are
-dealt to groups of bounded size; one larger than a group is cut, and its queries meet every
-part. A group's queries and vectors are multiplied in blocks, and only the best of each
-query leave it, so candidates are never listed as pairs.
+Equal vectors are gathered first and searched as one, with their smallest ids. Queries are
+taken in blocks of bounded size, those of one bucket together, and a block meets the vectors
+of the buckets its queries name: in a sorted partition its queries come first, then the
+vectors pass by in batches, of which the best of each query so far are kept. Neither
+candidates nor partial results leave a block, only the best of its queries, and its memory
+is that of the queries and one batch.
 
 Defined cases: vectors that are null, zero or hold null or non-finite components, and rows
 without an id, take no part; only vectors of equal dimension are compared; rows that repeat
@@ -37,9 +39,10 @@ DIRECTIONS = 8
 #: Width of a slot, in units of the greatest norm.
 WIDTH = 2.15
 PROBES = 200
-#: Vectors of a group, and queries multiplied with them at once.
-GROUP = 8000
-BLOCK = 500
+#: Queries of a block, on average.
+BLOCK = 4000
+#: Part of the product of two norms by which sums over blocks may differ from exact ones.
+ROUNDING = 1e-9
 
 
 def perturbations(directions: int, number: int) -> list[tuple[int, ...]]:
@@ -148,36 +151,91 @@ def _hashed(rows: DataFrame, query: bool) -> DataFrame:
     )
 
 
-def _best(queries: pd.DataFrame, vectors: pd.DataFrame, k: int) -> pd.DataFrame:
-    out = []
-    if len(queries) and len(vectors):
-        vectors = vectors.sort_values(["bucket", "id"])
-        base = np.stack(vectors["vector"].to_numpy()).astype(np.float64)
-        ids = vectors["id"].to_numpy()
-        names, starts = np.unique(vectors["bucket"].to_numpy(), return_index=True)
+class _Block:
+    """The queries of a block, and the best vectors of each so far."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, buckets: list[np.ndarray], k: int):
+        self.ids, self.vectors, self.k = ids, vectors, k
+        self.norms = np.linalg.norm(vectors, axis=1)
+        named = np.concatenate(buckets)
+        asking = np.repeat(np.arange(len(ids)), [len(b) for b in buckets])
+        order = np.argsort(named, kind="stable")
+        self.named, self.asking = named[order], asking[order]
+        self.least = np.full(len(ids), -np.inf)
+        self.of = np.zeros(0, np.int64)
+        self.found = np.zeros(0, ids.dtype)
+        self.scores = np.zeros(0)
+
+    def meet(self, ids: np.ndarray, vectors: np.ndarray, buckets: np.ndarray) -> None:
+        order = np.argsort(buckets, kind="stable")
+        ids, vectors, buckets = ids[order], vectors[order], buckets[order]
+        names, starts = np.unique(buckets, return_index=True)
         ends = np.append(starts[1:], len(ids))
-        for at in range(0, len(queries), BLOCK):
-            part = queries.iloc[at : at + BLOCK]
-            asked = np.stack(part["vector"].to_numpy()).astype(np.float64)
-            looked: list[list[int]] = [[] for _ in names]
-            for i, buckets in enumerate(part["buckets"]):
-                spots = np.minimum(np.searchsorted(names, buckets), len(names) - 1)
-                for spot in spots[names[spots] == buckets]:
-                    looked[spot].append(i)
-            scores = np.full((len(part), len(ids)), -np.inf)
-            for spot, rows in enumerate(looked):
-                if rows:
-                    inside = slice(starts[spot], ends[spot])
-                    scores[rows, inside] = asked[rows] @ base[inside].T
-            top = np.argpartition(-scores, min(k, len(ids)) - 1, axis=1)[:, :k]
-            for i, query in enumerate(part["id"]):
-                good = top[i][np.isfinite(scores[i][top[i]])]
-                # The sum over one pair's products is the same in whatever block it is met.
-                exact = (base[good] * asked[i]).sum(axis=1)
-                out.append(pd.DataFrame({"query": query, "id": ids[good], "score": exact}))
-    if not out:
-        return pd.DataFrame({"query": [], "id": [], "score": []})
-    return pd.concat(out)
+        low, high = np.searchsorted(self.named, names, "left"), np.searchsorted(self.named, names, "right")
+        scores = np.full((len(self.ids), len(ids)), -np.inf)
+        for i in np.flatnonzero(high > low):
+            rows = np.unique(self.asking[low[i] : high[i]])
+            scores[rows, starts[i] : ends[i]] = self.vectors[rows] @ vectors[starts[i] : ends[i]].T
+        # What is not below the last of the best, but for rounding, is summed exactly.
+        margin = ROUNDING * self.norms * np.linalg.norm(vectors, axis=1).max(initial=0)
+        query, at = np.nonzero((scores > -np.inf) & (scores >= (self.least - margin)[:, None]))
+        if not len(query):
+            return
+        # The sum over one pair's products is the same in whatever batch it is met.
+        step = max(1, (1 << 22) // self.vectors.shape[1])
+        exact = [
+            (self.vectors[query[i : i + step]] * vectors[at[i : i + step]]).sum(axis=1)
+            for i in range(0, len(query), step)
+        ]
+        of = np.concatenate([self.of, query])
+        found = np.concatenate([self.found, ids[at]])
+        scores = np.concatenate([self.scores, *exact])
+        # Equal scores go by id; ids of any kind are ordered by their places among all.
+        order = np.lexsort([np.unique(found, return_inverse=True)[1], -scores, of])
+        of, found, scores = of[order], found[order], scores[order]
+        rank = np.arange(len(of)) - np.searchsorted(of, of)
+        best = rank < self.k
+        self.of, self.found, self.scores = of[best], found[best], scores[best]
+        last = rank[best] == self.k - 1
+        self.least[self.of[last]] = self.scores[last]
+
+    def best(self, kinds: tuple[pa.DataType, pa.DataType]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(self.ids[self.of], kinds[0]), pa.array(self.found, kinds[1]), pa.array(self.scores, pa.float64())],
+            ["query", "id", "score"],
+        )
+
+
+def _searched(k: int):
+    """Best vectors of each query, from rows (table, block, bucket, id, vector, buckets) sorted
+    such that a block's queries, without a bucket, come before the vectors it meets."""
+
+    def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, block, asking = None, None, []
+        for batch in batches:
+            kind = batch.schema.field("id").type
+            frame = batch.to_pandas()
+            for own, rows in frame.groupby(["dim", "table", "block"], sort=False):
+                if own != key:
+                    if block is not None:
+                        yield block.best((kind, kind))
+                    key, block, asking = own, None, []
+                queries = rows[rows["bucket"].isna()]
+                if len(queries):
+                    asking.append(queries)
+                met = rows[rows["bucket"].notna()]
+                if len(met):
+                    if block is None and asking:
+                        all_ = pd.concat(asking)
+                        vectors = np.stack(all_["vector"].to_numpy()).astype(np.float64)
+                        block = _Block(all_["id"].to_numpy(), vectors, list(all_["buckets"]), k)
+                    if block is not None:
+                        vectors = np.stack(met["vector"].to_numpy()).astype(np.float64)
+                        block.meet(met["id"].to_numpy(), vectors, met["name"].to_numpy())
+        if block is not None:
+            yield block.best((kind, kind))
+
+    return searched
 
 
 def search(
@@ -196,32 +254,33 @@ def search(
     alike = alike.select("*", F.size("vector").alias("dim"), length.alias("length"))
     alike = scratch.keep(alike, "vectors")
     norms = alike.groupBy("dim").agg(F.max("length").alias("norm"))
-    groups = max(1, math.ceil(alike.count() / GROUP))
-
     index = _hashed(alike.join(F.broadcast(norms), "dim"), False).withColumn("bucket", F.get("buckets", F.lit(0)))
+    index = scratch.keep(index.select("dim", "table", "bucket", "id", "vector"), "index")
     asking = slim.filter("wanted").select("id", "vector", F.size("vector").alias("dim"))
-    probes = _hashed(asking.join(F.broadcast(norms), "dim"), True)
-    index = scratch.keep(index.drop("buckets"), "index")
-
-    # A bucket larger than a group is cut into parts.
-    key = ["dim", "table", "bucket"]
-    large = index.groupBy(*key).count().filter(F.col("count") > GROUP)
-    large = large.select(*key, F.ceil(F.col("count") / GROUP).cast("int").alias("parts"))
-    large = scratch.keep(large, "large")
-    parts = F.coalesce("parts", F.lit(1))
-    dealt = index.join(large, key, "left").withColumn("part", F.pmod(F.hash("id"), parts))
-    group = F.pmod(F.xxhash64("bucket", "part"), F.lit(groups)).alias("group")
-    dealt = dealt.select("dim", "table", group, "bucket", "id", "vector")
-    each = probes.select("dim", "table", "id", F.explode("buckets").alias("bucket")).join(large, key, "left")
-    each = each.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
-    asked = each.groupBy("dim", "table", group, "id").agg(F.collect_set("bucket").alias("buckets"))
-    asked = asked.join(asking.select("id", "vector"), "id")
-
-    by = ["dim", "table", "group"]
-    met = asked.groupBy(*by).cogroup(dealt.groupBy(*by)).applyInPandas(
-        lambda q, v: _best(q, v, k + 1), f"query {kind}, id {kind}, score double"
+    # The first bucket named is the query's own.
+    probes = _hashed(asking.join(F.broadcast(norms), "dim"), True).withColumn("own", F.get("buckets", F.lit(0)))
+    probes = scratch.keep(probes, "probes")
+    blocks = max(1, math.ceil(probes.count() / TABLES / BLOCK))
+    # Queries of one bucket share a block; a bucket with too many of them for one is cut.
+    at = ["dim", "table", "own"]
+    large = probes.groupBy(*at).count().filter(F.col("count") > BLOCK)
+    large = large.select(*at, F.ceil(F.col("count") / BLOCK).alias("parts"))
+    part = F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1)))
+    block = F.pmod(F.xxhash64("own", part), F.lit(blocks)).alias("block")
+    probes = probes.join(large, at, "left").select("dim", "table", block, "id", "vector", "buckets")
+
+    by = ["dim", "table", "block"]
+    named = probes.select(*by, F.explode("buckets").alias("bucket")).distinct()
+    met = index.join(named, ["dim", "table", "bucket"])
+    rows = probes.select(*by, F.lit(None).cast("long").alias("bucket"), "id", "vector", "buckets").unionByName(
+        met.select(*by, "bucket", "id", "vector", F.lit(None).cast("array<long>").alias("buckets"))
     )
-    best = met.groupBy("query", "id").agg(F.max("score").alias("score"))
+    # Nulls sort first. A copy of the name survives pandas, which turns numbers with nulls into floats.
+    rows = rows.withColumn("name", F.coalesce("bucket", F.lit(0)))
+    rows = rows.repartition(*by).sortWithinPartitions(*by, F.col("bucket").asc_nulls_first())
+    rows = rows.select(*by, "bucket", "name", "id", "vector", "buckets")
+    found = rows.mapInArrow(_searched(k + 1), f"query {kind}, id {kind}, score double")
+    best = found.groupBy("query", "id").agg(F.max("score").alias("score"))
     # A vector after the first k+1 has as many ids before its own.
     first = Window.partitionBy("query").orderBy(F.desc("score"), "id")
     best = best.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= k + 1)

@@ -91,6 +91,40 @@ def test_odd_vectors(spark):
     assert neighbours.search(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_ties_of_different_vectors_go_to_the_smaller_id(spark):
+    """Equal scores of 399 different vectors, some in blocks and batches of their own."""
+    random = np.random.Generator(np.random.PCG64(4))
+    rows = [(0, [1.0] + [0.0] * 7)]
+    rows += [(i, [1.0, *random.normal(0, 1e-3, 7).tolist()]) for i in range(1, 400)]
+    df = spark.createDataFrame(rows[::-1], "vec_id long, embedding array<double>")
+    for name in ("id", "bucket", "score", "query", "rank", "block"):
+        df = df.withColumn(name, F.lit("own"))
+    found = neighbours.search(df, F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [(r["vec_id"], r["score"]) for r in found] == [(i, 1.0) for i in range(1, 21)]
+
+
+def test_blocks_of_any_size_find_the_same(spark, monkeypatch):
+    random = np.random.Generator(np.random.PCG64(6))
+    rows = [(f"v{i:04}", v.tolist()) for i, v in enumerate(random.integers(-2, 3, (600, 6)).astype(float))]
+    df = spark.createDataFrame(rows, "vec_id string, embedding array<double>")
+    wanted = F.substring("vec_id", 5, 1) == "0"
+    whole = sorted(tuple(r) for r in neighbours.search(df, wanted, k=7).collect())
+    monkeypatch.setattr(neighbours, "BLOCK", 5)
+    assert sorted(tuple(r) for r in neighbours.search(df, wanted, k=7).collect()) == whole
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_recall_on_embeddings(spark, sf):
+    table = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
+    vectors = {r["vec_id"]: np.float64(r["embedding"]) for r in table.collect()}
+    found = {}
+    for r in queries.op5_multiprobe_neighbours(spark, f"/root/testdata/{sf}").collect():
+        found.setdefault(r["query_id"], []).append(r["vec_id"])
+    asked = [q for q in vectors if q % 20 == 0]
+    hits = [len(set(found[q]) & set(exact(vectors, q, 20))) / 20 for q in asked]
+    assert np.mean(hits) >= 0.9
+
+
 def test_phrases_equal_a_plain_parse():
     sample = "the cat sat on the mat and the dog sat on the log"
     parser = language_id.Parser({"en": sample})
