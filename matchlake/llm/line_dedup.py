@@ -37,6 +37,8 @@ MIN_WORDS_NEAR = 10
 MIN_CHARS = 30
 #: Candidate lines that are broadcast at most, to fetch their words.
 BROADCAST_LINES = 300_000
+#: Places of lines that go are broadcast up to this size in memory.
+BROADCAST_BYTES = 64 << 20
 
 
 #: A run of white space other than a single space.
@@ -257,6 +259,9 @@ def _cleaned(
     rows = docs.select(others, F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     key, _ = row_key(rows)
     drop = duplicate_lines(rows.select(key.alias("doc"), "text"), min_words, min_words_near, min_chars)
+    # Texts are shuffled only where what goes is too much to broadcast.
+    size = drop.agg(F.coalesce(F.sum(64 + 32 * F.size("drop")), F.lit(0))).first()[0]
+    drop = F.broadcast(drop) if size <= BROADCAST_BYTES else drop
     both = rows.withColumn("key", key).join(drop, F.col("key").eqNullSafe(F.col("doc")), "left")
     both = both.withColumn("lines", F.when(F.col("drop").isNotNull(), F.split("text", "\n")))
     places = F.sequence(F.lit(0), F.size("lines") - 1)
