@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from matchlake.llm.common import Scratch, row_key
+from matchlake.llm.common import Scratch, n_words, row_key
 
 MIN_WORDS = 3
 MIN_WORDS_NEAR = 10
@@ -241,12 +241,23 @@ def dedup_lines(
     min_words_near: int = MIN_WORDS_NEAR,
     drop_empty: bool = True,
     min_chars: int = MIN_CHARS,
+    least_words: int = 0,
+    least_share: float = 0.0,
 ) -> DataFrame:
-    """The documents without the lines that go, with all their columns."""
+    """The documents without the lines that go, with all their columns.
+
+    A document that lost lines goes itself if fewer than ``least_words`` words are left of it,
+    or less than ``least_share`` of its words: what is left of a copy is no document.
+    """
     found = _cleaned(docs, id_col, text_col, min_words, min_words_near, min_chars)
+    lost = F.col("drop").isNotNull()
     if drop_empty:
-        emptied = F.col("drop").isNotNull() & F.coalesce(_normal(F.col("left")) == "", F.lit(True))
-        found = found.filter(~emptied)
+        found = found.filter(~(lost & F.coalesce(_normal(F.col("left")) == "", F.lit(True))))
+    if least_words or least_share:
+        before, after = n_words(F.col("text")), n_words(F.col("left"))
+        stump = (after < least_words) | (after < F.lit(least_share) * before)
+        # Counted in their own step, and only where lines were lost.
+        found = found.withColumn("stump", F.when(lost, stump).otherwise(False)).filter("not stump")
     return found.select(*[F.col("left" if c == text_col else f"`row`.`{c}`").alias(c) for c in docs.columns])
 
 

@@ -1,9 +1,13 @@
 """Quality rules as a short-circuit cascade.
 
 The rules of a document stand in a chain that ends at the first rejection. A sample tells
-what each rule costs and how often it rejects; the chain is then ordered by rejections per
-second, so most bad documents leave after the cheapest test that catches them. The order
-changes the time a run takes and never a verdict: a document is kept if no rule rejects it.
+what each rule costs and which rules reject the same documents; the chain is then put
+together from its front, each time by the rule with most rejections per second among what
+the rules before it leave, so most bad documents leave after the cheapest test that catches
+them. The order changes the time a run takes and never a verdict: a document is kept if no
+rule rejects it. The report counts what the base rule needs for every document, so there it
+stands outside the chain; where only verdicts are wanted its two conditions are rules like
+the others.
 
 Defined cases: a null or empty text has no words and fails the base rule; a null id is
 carried through; repeated rows are judged alike, each for itself; an empty table gives an
@@ -110,53 +114,77 @@ RULES: dict[str, Callable[[str, list[str]], bool]] = {
 }
 
 
+def too_few_words(text: str, words: list[str]) -> bool:
+    return len(words) < 10
+
+
+def repeating(text: str, words: list[str]) -> bool:
+    """More than 20 of 100 words lie in windows that occur more than once."""
+    return 100 * repeated_words(words) > 20 * len(words)
+
+
+#: The rules of a whole verdict: the base rule's conditions and the others.
+ALL_RULES = {"too_few_words": too_few_words, "repeating": repeating} | RULES
+
+
 def passes(text: str, words: list[str], order: list[str]) -> bool:
-    return not any(RULES[name](text, words) for name in order)
+    return not any(ALL_RULES[name](text, words) for name in order)
 
 
-def rule_profile(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(rule, rows, rejected, seconds) over the documents that pass the base rule."""
+def rule_profile(docs: DataFrame, names: list[str], text_col: str = "text") -> DataFrame:
+    """(rejecting, rule, rows, seconds): documents by the set of rules that reject them, a bit
+    for each name, and beside them the time every rule took."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(0).to_pylist()]
-            known = [(t, w) for t in texts if not base_failed(w := WORD.findall(t), repeated_words(w))]
-            found = []
-            for name, rule in RULES.items():
-                start = time.perf_counter()
-                rejected = sum(rule(t, w) for t, w in known)
-                found.append((name, len(known), rejected, time.perf_counter() - start))
-            columns = zip(*found)
+            texts = [(t or "", WORD.findall(t or "")) for t in batch.column(0).to_pylist()]
+            masks, took = [0] * len(texts), []
+            for bit, name in enumerate(names):
+                rule, start = ALL_RULES[name], time.perf_counter()
+                verdicts = [rule(t, w) for t, w in texts]
+                took.append((None, name, len(texts), time.perf_counter() - start))
+                masks = [m | v << bit for m, v in zip(masks, verdicts)]
+            found = [(mask, None, n, 0.0) for mask, n in Counter(masks).items()] + took
+            kinds = (pa.int64(), pa.string(), pa.int64(), pa.float64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c) for c in columns], ["rule", "rows", "rejected", "seconds"]
+                [pa.array(c, k) for c, k in zip(zip(*found), kinds)], ["rejecting", "rule", "rows", "seconds"]
             )
 
     each = docs.select(F.col(text_col).alias("text")).mapInArrow(
-        measure, "rule string, rows long, rejected long, seconds double"
-    )
-    return each.groupBy("rule").agg(
-        F.sum("rows").alias("rows"), F.sum("rejected").alias("rejected"), F.sum("seconds").alias("seconds")
+        measure, "rejecting long, rule string, rows long, seconds double"
     )
+    return each.groupBy("rejecting", "rule").agg(F.sum("rows").alias("rows"), F.sum("seconds").alias("seconds"))
 
 
-def cascade(docs: DataFrame, text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[str]:
-    """Rules in the order in which the chain asks them: most rejections per second first."""
+def chained(names: list[str], masks: dict[int, int], seconds: dict[str, float]) -> list[str]:
+    """Rules by rejections per second among the documents that those before them leave."""
+    order, left = [], dict(masks)
+    while len(order) < len(names):
+
+        def worth(name: str) -> float:
+            caught = sum(n for mask, n in left.items() if mask >> names.index(name) & 1)
+            return (caught + 0.01) / (seconds.get(name, 0.0) + 1e-9)
+
+        order.append(max((n for n in names if n not in order), key=worth))
+        left = {mask: n for mask, n in left.items() if not mask >> names.index(order[-1]) & 1}
+    return order
+
+
+def cascade(
+    docs: DataFrame, names: list[str], text_col: str = "text", sample_rows: int = SAMPLE_ROWS
+) -> list[str]:
+    """Rules in the order in which the chain asks them."""
     total = docs.count()
     share = min(1.0, sample_rows / max(total, 1))
     picked = F.pmod(F.xxhash64(text_col), F.lit(1_000_000)) < int(share * 1_000_000 + 1)
-    profile = {r["rule"]: r for r in rule_profile(docs.filter(picked), text_col).collect()}
-
-    def worth(name: str) -> float:
-        if name not in profile:
-            return 0.0
-        return (profile[name]["rejected"] + 0.01) / (profile[name]["seconds"] + 1e-9)
-
-    return sorted(RULES, key=worth, reverse=True)
+    profile = rule_profile(docs.filter(picked), names, text_col).collect()
+    masks = {r["rejecting"]: r["rows"] for r in profile if r["rule"] is None}
+    return chained(names, masks, {r["rule"]: r["seconds"] for r in profile if r["rule"]})
 
 
 def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Counts and verdicts of every document, over whole texts."""
-    order = cascade(docs, text_col)
+    order = cascade(docs, list(RULES), text_col)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,14 +214,14 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of all documents that no rule rejects, with all their columns."""
-    order, at = cascade(docs, text_col), docs.columns.index(text_col)
+    order, at = cascade(docs, list(ALL_RULES), text_col), docs.columns.index(text_col)
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
             for text in batch.column(at).to_pylist():
                 words = WORD.findall(text or "")
-                good.append(not base_failed(words, repeated_words(words)) and passes(text, words, order))
+                good.append(passes(text or "", words, order))
             yield batch.filter(pa.array(good, pa.bool_()))
 
     return docs.mapInArrow(choose, docs.schema)

@@ -1,4 +1,5 @@
 import re
+from collections import Counter
 
 from matchlake.llm import line_dedup, quality_rules
 
@@ -9,6 +10,45 @@ def by_id(df, *columns):
     return {r["doc_id"]: tuple(r[c] for c in columns) for r in df.collect()}
 
 
+def plain_kept(text):
+    """Every rule on its own, as its description says."""
+    text = text or ""
+    words = WORD.findall(text)
+    n = len(words)
+    windows = Counter(tuple(words[i : i + 5]) for i in range(n - 4))
+    covered = {i + k for i in range(n - 4) if windows[tuple(words[i : i + 5])] > 1 for k in range(5)}
+    lines = Counter(x for x in text.split("\n") if WORD.search(x))
+    again = sum(lines.values()) - len(lines)
+    upper, lower = sum(c.isupper() for c in text), sum(c.islower() for c in text)
+    return not (
+        n < 10
+        or len(covered) / n > 0.2
+        or sum(c in "#*$%&|<>" for c in text) / n > 0.2
+        or (again >= 3 and again / sum(lines.values()) > 0.3)
+        or (upper + lower and upper / (upper + lower) > 0.6)
+        or sum(len(w) - len(w.rstrip("!?")) > 1 for w in words) / n > 0.2
+        or sum(a == b for a, b in zip(words, words[1:])) / n > 0.3
+        or sum(not any(c.isalpha() for c in w) for w in words) / n > 0.4
+        or sum(map(len, words)) / n > 100
+    )
+
+
+def test_verdicts_equal_a_plain_judgement(some_docs):
+    truth = {r["doc_id"]: plain_kept(r["text"]) for r in some_docs.collect()}
+    found = by_id(quality_rules.quality_report(some_docs), "kept")
+    assert {k: v[0] for k, v in found.items()} == truth
+    assert sorted(r["doc_id"] for r in quality_rules.keep_good(some_docs).collect()) == sorted(d for d, k in truth.items() if k)
+    assert 10 < sum(truth.values()) < len(truth) - 10
+
+
+def test_the_chain_goes_by_what_is_left():
+    # a catches most, but what it leaves only c catches; b is the same as a and slower.
+    masks = {0b011: 60, 0b010: 1, 0b100: 20, 0: 500}
+    assert quality_rules.chained(["a", "b", "c"], masks, {"a": 1.0, "b": 2.0, "c": 1.0}) == ["a", "c", "b"]
+    assert quality_rules.chained(["a", "b", "c"], masks, {"a": 9.0, "b": 9.0, "c": 0.1}) == ["c", "b", "a"]
+    assert quality_rules.chained(["a"], {}, {}) == ["a"]
+
+
 def test_counts_equal_a_plain_count(some_docs):
     found = by_id(
         quality_rules.quality_report(some_docs), "n_words", "word_chars", "n_symbols", "n_dup_lines",
