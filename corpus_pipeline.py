@@ -12,14 +12,20 @@ from matchlake.llm import line_dedup, mixing, near_dedup, packing, quality_rules
 from matchlake.llm.common import Scratch, table
 
 
+#: What has to be left of a document that loses lines: as many words as the quality rules ask
+#: for, and the share of words by which near copies are told.
+LEAST_WORDS, LEAST_SHARE = 10, 0.2
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
     return quality_rules.keep_good(docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that an earlier line repeats; those left empty go."""
-    return line_dedup.dedup_lines(docs)
+    """Documents without lines that an earlier line repeats. One of which a fifth of its words
+    or less than ten are left is a copy but for those, and goes."""
+    return line_dedup.dedup_lines(docs, least_words=LEAST_WORDS, least_share=LEAST_SHARE)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
