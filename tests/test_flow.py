@@ -6,8 +6,10 @@ from pathlib import Path
 import pytest
 
 from matchlake.__main__ import main
+from matchlake.plans import bronze
 from matchlake.plans.flow import Lake, run
-from matchlake.sources import read_table, table_exists
+from matchlake.sources import read_table, table_exists, write_table
+from matchlake.sources.landing import undeclared_value
 from matchlake.streaming import incremental_stream
 
 
@@ -128,6 +130,71 @@ def test_daily_runs(spark, lake, reread):
     assert sorted((tuple(r) for r in parquet.select(*GOLD).collect()), key=str) == INSERTED
 
 
+def test_days_of_a_run_that_broke_off_are_offered_again(spark, lake, monkeypatch):
+    """Whichever layer's merge fails, the next day's run makes up for it."""
+    real = bronze.store
+    for failing in (2, 3):
+        own = replace(lake, root=f"{lake.root}-{failing}", export=False)
+        calls = []
+
+        def store(*args):
+            calls.append(args[1])
+            if len(calls) == failing:
+                raise OSError("broken off")
+            return real(*args)
+
+        monkeypatch.setattr(bronze, "store", store)
+        with pytest.raises(OSError, match="broken off"):
+            run(spark, own, "2025-09-02")
+        monkeypatch.undo()
+        run(spark, own, "2025-09-03")
+        run(spark, own, "2025-09-04")
+        assert gold(spark, own) == INSERTED
+
+
+def test_the_last_day_reads_one_partition_of_each_layer(spark, lake, monkeypatch):
+    run(spark, replace(lake, export=False), "2025-09-03", since="2025-09-01")
+    read, real = [], bronze.store
+
+    def store(df, path, *args):
+        read.append({f.split("event_date=")[1][:10] for f in df.inputFiles()})
+        return real(df, path, *args)
+
+    monkeypatch.setattr(bronze, "store", store)
+    run(spark, lake, "2025-09-04")
+    assert read[1:] == [{"2025-09-03"}, {"2025-09-03"}]
+    monkeypatch.undo()
+    full = replace(lake, root=f"{lake.root}-full", gold_rereads_all=True)
+    run(spark, full, "2025-09-04", since="2025-09-01")
+    assert gold(spark, lake) == gold(spark, full) == INSERTED
+
+
+def test_a_bad_record_and_one_without_a_day_are_set_aside_alone(spark, lake):
+    day = Path(lake.landing, "fixtures", "2025-09-03")
+    records = [match(6, "2025-09-03T12:00:00+00:00", 1, 1), match(7, None), match(8, "2025-09-03T13:00:00+00:00", "x")]
+    records[0]["fixture"]["attendance"] = 31_000
+    (day / "b.json").write_text(json.dumps({"response": records}))
+    run(spark, lake, "2025-09-04")
+    assert [r[0] for r in gold(spark, lake)] == [5, 6]
+    rejects = read_table(spark, lake.table("rejects", "fixtures")).collect()
+    assert sorted((r["reason"], json.loads(r["document"])["fixture"]["id"]) for r in rejects) == [
+        ("invalid value", 8), ("no fixture.date", 7),
+    ]
+    for layer in ("bronze", "silver"):
+        rest = read_table(spark, lake.table(layer, "fixtures")).select("fixture_id", undeclared_value("fixture.attendance"))
+        assert sorted(tuple(r) for r in rest.collect()) == [(5, None), (6, "31000")]
+
+
+def test_a_table_of_before_gets_the_column_of_undeclared_keys(spark, lake):
+    run(spark, replace(lake, export=False), "2025-09-02")
+    for layer in ("bronze", "silver"):
+        path = lake.table(layer, "fixtures")
+        write_table(read_table(spark, path).drop("undeclared"), path, partition_cols="event_date")
+    run(spark, replace(lake, export=False), "2025-09-04", since="2025-09-02")
+    assert gold(spark, lake) == INSERTED
+    assert read_table(spark, lake.table("silver", "fixtures")).filter("undeclared is not null").count() == 0
+
+
 def test_one_run_over_all_days_gives_the_same_tables(spark, lake):
     # Within one run nothing is stored yet, so every delivered row is new.
     run(spark, lake, "2025-09-04", since="2025-09-03")

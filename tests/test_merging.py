@@ -130,6 +130,44 @@ def test_hot_keys_and_null_keys_spread_over_tasks(spark, stored_hot):
     assert max(sizes) < 2.5 * sum(sizes) / 8
 
 
+def test_equated_columns():
+    same = "target.id = source.id"
+    assert merging.equated(f"{same} and source.day = target.date") == [("id", "id"), ("day", "date")]
+    assert merging.equated(f"({same}) and target.x between 1 and 2 and source.k = target.k") == [("k", "k")]
+    assert merging.equated(f"{same} and target.name = ' and source.b = target.b '") == [("id", "id")]
+    assert merging.equated(f"{same} or source.b = target.b") == []
+    assert merging.equated(f"{same} and (source.b = target.b or target.c > 1)") == [("id", "id")]
+    assert merging.equated("target.id = target.other") == [] == merging.equated(F.col("source.id") == F.col("target.id"))
+
+
+@pytest.mark.parametrize("hot_share", [1e-4, 0.9])
+def test_free_conditions_equal_brute_force_and_spread_hot_keys(spark, hot_share):
+    """A third of the rows has one key, a third none; the rest of the condition decides."""
+    source = spark.range(0, 6000, 1, 8).selectExpr(
+        "case when id % 3 = 0 then 7 when id % 3 = 1 then null else id % 500 end as k", "id % 90 as v", "id"
+    )
+    stored = spark.range(0, 400, 1, 4).selectExpr("id % 300 as key", "id % 60 as low", "id as other")
+    condition = "target.key = source.k and source.v between target.low and target.low + 5"
+    settings_ = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in settings_}
+    try:
+        for k, v in settings_.items():
+            spark.conf.set(k, v)
+        got = merging.new_rows_where(stored, source, condition, merging.MergeLimits(hot_share=hot_share))
+        assert ("__spread" in got._jdf.queryExecution().executedPlan().toString()) == (hot_share < 0.1)
+        found = sorted((tuple(r) for r in got.collect()), key=str)
+        sizes = [r[1] for r in got.filter("k = 7").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    kept = [(r["key"], r["low"]) for r in stored.collect()]
+    expected = [
+        tuple(r) for r in source.collect() if not any(r["k"] == key and low <= r["v"] <= low + 5 for key, low in kept)
+    ]
+    assert found == sorted(expected, key=str)
+    assert (len(sizes) > 3) == (hot_share < 0.1)
+
+
 def test_small_batch_does_not_shuffle_the_table(spark):
     target = spark.range(0, 100_000, 1, 8).selectExpr("id as k", "'t' as v")
     source = spark.range(99_990, 100_010).selectExpr("id as k", "'s' as v")

@@ -11,10 +11,12 @@ from matchlake.sources import (
     read_table,
     save_new,
     save_upsert,
+    save_upsert_where,
     table_exists,
     table_path,
     write_table,
 )
+from matchlake.sources.tables import add_columns
 
 SCHEMA = "fixture_id long, event_date string, goals long"
 
@@ -214,6 +216,144 @@ def test_upsert_leaves_untouched_partitions_alone(spark, path):
     assert files_of("2025-09-01") != before[1]
 
 
+@pytest.fixture
+def quick(spark):
+    """Many small jobs: one partition is enough for each."""
+    keys = {"spark.sql.shuffle.partitions": "1", "spark.sql.leafNodeDefaultParallelism": "1"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _break_off(monkeypatch, step):
+    """Make the given step of all that change files fail; returns whether it came to it."""
+    count = {"steps": 0}
+
+    def counted(real):
+        def run(*args):
+            count["steps"] += 1
+            if count["steps"] == step:
+                raise OSError("broken off")
+            return real(*args)
+
+        return run
+
+    for name in ("rename", "delete", "write_text", "make_parents"):
+        monkeypatch.setattr(files, name, counted(getattr(files, name)))
+    return count
+
+
+def test_an_upsert_that_breaks_off_loses_nothing(quick, tmp_path, monkeypatch):
+    spark = quick
+    stored = [(i, f"2025-09-0{1 + i % 3}", i) for i in range(6)] + [(None, "2025-09-02", 7)]
+    moved = [(0, "2025-09-05", 50), (3, "2025-09-05", 53), (4, "2025-09-02", 54), (9, "2025-09-06", 9)]
+    new = sorted([r for r in stored if r[0] not in (0, 3, 4)] + moved, key=str)
+    step, done = 0, False
+    while not done:
+        step += 1
+        path = str(tmp_path / f"t{step}")
+        write_table(frame(spark, *stored), path, partition_cols="event_date")
+        count = _break_off(monkeypatch, step)
+        try:
+            save_upsert(frame(spark, *moved), path, "fixture_id")
+        except OSError:
+            pass
+        done = count["steps"] < step
+        monkeypatch.undo()
+        # Whatever was left, the next writer finds the old rows or the new ones, and so a rerun works.
+        write_table(frame(spark), path, "append")
+        found = rows(read_table(spark, path))
+        assert found in (new, sorted(stored, key=str)), step
+        save_upsert(frame(spark, *moved), path, "fixture_id")
+        assert rows(read_table(spark, path)) == new
+        assert files.beginning_with(spark, path + "__parts_") == []
+    assert step > 6 and found == new
+
+
+def test_a_batch_that_comes_again_changes_nothing(quick, tmp_path, monkeypatch):
+    """Rows without a key included, wherever its first coming broke off."""
+    spark = quick
+    batches = [[(1, "2025-09-01", 1), (None, "2025-09-01", 2)], [(1, "2025-09-02", 3), (None, "2025-09-02", 4), (2, "2025-09-02", 5)]]
+    for save, steps in ((save_new, range(1, 99)), (save_upsert, (4, 99))):
+        for step in steps:
+            path = str(tmp_path / f"{save.__name__}{step}")
+            save(frame(spark, *batches[0]), path, "fixture_id", "event_date", batch=("s", 0))
+            count = _break_off(monkeypatch, step)
+            try:
+                save(frame(spark, *batches[1]), path, "fixture_id", batch=("s", 1))
+            except OSError:
+                pass
+            monkeypatch.undo()
+            for number in (1, 0):
+                save(frame(spark, *batches[number]), path, "fixture_id", batch=("s", number))
+            assert read_table(spark, path).count() == 4, step
+            if count["steps"] < step:
+                break
+        # Another stream has numbers of its own.
+        save(frame(spark, (None, "2025-09-03", 6)), path, "fixture_id", batch=("t", 0))
+        assert read_table(spark, path).count() == 5
+
+
+def test_upsert_rewrites_only_files_with_a_match(spark, path):
+    for day in range(1, 5):
+        write_table(frame(spark, (day, f"2025-09-0{day}", day), (day + 10, "x", 0)), path, "append")
+    name = lambda f: f.rsplit("/", 1)[1]
+    before = set(map(name, read_table(spark, path).inputFiles()))
+    save_upsert(frame(spark, (2, "2025-09-09", 0), (99, "y", 0)), path, "fixture_id")
+    held = {r[0]: name(r[1]) for r in read_table(spark, path).select("fixture_id", "_metadata.file_path").collect()}
+    assert len(held) == 9
+    assert {k for k, f in held.items() if f not in before} <= {2, 99, 12}
+    assert held[2] not in before and held[99] not in before
+
+
+def test_upsert_where(spark, path):
+    stored = [(1, "a", 1), (1, "b", 5), (2, "a", 2), (3, "a", None), (None, "a", 4)]
+    write_table(frame(spark, *stored), path, partition_cols="event_date")
+    later = "target.fixture_id = source.fixture_id and target.goals < source.goals"
+    # 1 replaces one of its two rows, 2 is not later and is added, 3 compares with null.
+    batch = [(1, "c", 3), (2, "c", 2), (3, "c", 9), (None, "c", 9)]
+    save_upsert_where(frame(spark, *batch), path, later)
+    expected = [(1, "b", 5), (2, "a", 2), (3, "a", None), (None, "a", 4), *batch]
+    assert rows(read_table(spark, path)) == sorted(expected, key=str)
+    before = rows(read_table(spark, path)), sorted(read_table(spark, path).inputFiles())
+    with pytest.raises(ValueError, match="match one stored row"):
+        save_upsert_where(frame(spark, (2, "d", 8), (2, "e", 9)), path, later)
+    with pytest.raises(ValueError, match="needs an equality"):
+        save_upsert_where(frame(spark, (2, "d", 8)), path, "target.goals < source.goals")
+    assert (rows(read_table(spark, path)), sorted(read_table(spark, path).inputFiles())) == before
+    # One row may replace several, and repeated keys that meet no stored row are all added.
+    save_upsert_where(frame(spark, (1, "z", 0), (7, "z", 0), (7, "z", 0)), path, "target.fixture_id = source.fixture_id")
+    found = rows(read_table(spark, path))
+    assert [r for r in found if r[0] in (1, 7)] == [(1, "z", 0), (1, "z", 0), (7, "z", 0), (7, "z", 0)]
+    fresh = path + "-fresh"
+    save_upsert_where(frame(spark, *stored), fresh, later, "event_date")
+    assert rows(read_table(spark, fresh)) == sorted(stored, key=str)
+
+
+def test_a_reader_leaves_a_running_overwrite_alone(spark, path, monkeypatch):
+    write_table(frame(spark, (1, "a", 1)), path)
+    real, seen = files.rename, []
+
+    def rename(session, old, new):
+        real(session, old, new)
+        if not files.exists(session, path):
+            seen.append(rows(read_table(session, path)))
+
+    monkeypatch.setattr(files, "rename", rename)
+    write_table(frame(spark, (2, "b", 2)), path)
+    assert seen == [[(2, "b", 2)]] and rows(read_table(spark, path)) == [(2, "b", 2)]
+
+
+def test_further_columns(spark, path):
+    write_table(frame(spark, (1, "a", 1)), path, partition_cols="event_date")
+    add_columns(spark, path, frame(spark).withColumn("more", F.lit("x")).schema.fields)
+    save_new(frame(spark, (2, "b", 2)).withColumn("more", F.lit("x")), path, "fixture_id")
+    assert rows(read_table(spark, path)) == [(1, "a", 1, None), (2, "b", 2, "x")]
+
+
 def test_first_upsert_writes_unpartitioned(spark, path):
     save_upsert(frame(spark, (1, "2025-09-01", 1)), path, "fixture_id")
     assert not files.exists(spark, f"{path}/event_date=2025-09-01")
