@@ -1232,6 +1232,62 @@ def _gold_metrics(spark, sf_dir):
     return metrics.metrics_report(metrics.gold_metrics(_outcomes(spark, sf_dir)))
 
 
+@query("gold_metrics_stored", _report_sql())
+def _gold_metrics_stored(spark, sf_dir):
+    """Counts kept by season: all of them first, then those of a season that was changed and
+    of one that comes last are counted anew."""
+    path = scratch_dir(spark, "gold_counts")
+    df = _outcomes(spark, sf_dir)
+    first, last = df.agg(F.min("league_season"), F.max("league_season")).first()
+    late = F.col("league_season").isin(first, last)
+    seasons = [r[0] for r in df.filter(~late).select("league_season").distinct().collect()]
+    gold.refresh_counts(df.filter(~late), path, seasons, "league_season")
+    gold.refresh_counts(df.filter(late).limit(0), path, [first], "league_season")
+    gold.refresh_counts(df.filter(late), path, [first, last], "league_season")
+    gold.refresh_counts(df.filter(late), path, [first, last], "league_season")
+    return metrics.metrics_report(gold.stored_metrics(spark, path))
+
+
+_WIDE = """select o_orderstatus as fixture_status_short, o_totalprice as price, count(*) as n
+           from orders group by all"""
+
+
+@query(
+    "stats_of_wide_measure",
+    f"""select fixture_status_short, round_even(avg_price, 2) as mean, round_even(median_price, 2) as median,
+          mode, round_even(std_price, 2) as std
+        from (select o_orderstatus as fixture_status_short, avg(o_totalprice) as avg_price,
+                median(o_totalprice) as median_price, stddev_samp(o_totalprice) as std_price
+              from orders group by all)
+        join (select fixture_status_short, price as mode from ({_WIDE})
+              qualify row_number() over (partition by fixture_status_short order by n desc, price) = 1)
+          using (fixture_status_short)""",
+)
+def _stats_of_wide_measure(spark, sf_dir):
+    """Statistics of prices by status, with the selection of medians forced to narrow."""
+    orders = standins.table(spark, sf_dir, "orders").select(
+        F.col("o_orderstatus").alias("fixture_status_short"), F.col("o_totalprice").cast("double").alias("price")
+    )
+    return metrics.wide_stats(orders, "price", ["fixture_status_short"], few=500)
+
+
+_SKETCHED = ["league_id", "fixture_status_short", "teams_home_name", "match_winner"]
+
+
+@query(
+    "n_unique_sketched",
+    " union all ".join(
+        f"select '{c}' as column_name, count(distinct {c}) as n_unique from ({MW})" for c in _SKETCHED
+    ),
+)
+def _n_unique_sketched(spark, sf_dir):
+    """Sketches stored for each season and united; with so few values they are exact."""
+    path = scratch_dir(spark, "sketches")
+    sketches = metrics.unique_sketches(_outcomes(spark, sf_dir), _SKETCHED, ["league_season"])
+    write_table(sketches, path)
+    return metrics.n_unique_of_sketches(read_table(spark, path), _SKETCHED)
+
+
 @query("medallion_flow", GOLD)
 def _medallion_flow(spark, sf_dir):
     """All landed days in one run: landing, Bronze, Silver, Gold."""

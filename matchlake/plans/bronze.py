@@ -73,10 +73,14 @@ def _undeclared_fitted(df: DataFrame, path: str) -> DataFrame:
     return df
 
 
-def store(df: DataFrame, path: str, merge_mode: str = "insert", batch: Batch | None = None) -> None:
-    """Merge a batch of matches into a day-partitioned table by match key."""
+def store(
+    df: DataFrame, path: str, merge_mode: str = "insert", batch: Batch | None = None
+) -> set[str]:
+    """Merge a batch of matches into a day-partitioned table by match key; returns the days
+    on which stored matches were replaced."""
     if merge_mode not in ("insert", "upsert"):
         raise ValueError(f"unknown merge mode {merge_mode!r}")
     entity = ENTITIES["fixtures"]
     save = save_new if merge_mode == "insert" else save_upsert
-    save(_undeclared_fitted(df, path), path, entity.keys, entity.partition, batch=batch)
+    replaced = save(_undeclared_fitted(df, path), path, entity.keys, entity.partition, batch=batch)
+    return {str(days[0]) for days in replaced or () if days and days[0] is not None}

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from matchlake.plans import bronze
-from matchlake.plans.gold import Gold, gold_fixtures
+from matchlake.plans.gold import Gold, gold_fixtures, refresh_counts
 from matchlake.plans.silver import silver_fixtures, silver_leagues
 from matchlake.schemas import ENTITIES, Entity
 from matchlake.session import configure
@@ -27,6 +27,10 @@ from matchlake.sources import files
 from matchlake.sources.landing import parse_documents, parsed_once, read_documents, store_rejects
 
 
+#: The Gold table of counted combinations.
+COUNTS = "fixtures_counts"
+
+
 @dataclass(frozen=True)
 class Lake:
     """Where a run reads and writes, and how it merges.
@@ -45,6 +49,8 @@ class Lake:
     # Offer Gold all of Silver instead of the days handed over: a repair, after which an
     # insert-only Gold holds the same as without it, unless a table was changed by hand.
     gold_rereads_all: bool = False
+    # Keep the counts of every day that ``plans.gold.stored_metrics`` makes all metrics from.
+    count: bool = False
     export: bool = True
     export_single_file: bool = False
 
@@ -143,10 +149,13 @@ def refine_fixtures(spark: SparkSession, lake: Lake) -> Gold:
     that broke off included. ``Lake.gold_rereads_all`` offers Gold all of Silver instead.
     """
     to_silver, to_gold = (_Handover(spark, lake, layer, "fixtures") for layer in ("silver", "gold"))
+    to_counts = _Handover(spark, lake, "gold", COUNTS)
     source, target = lake.table("bronze", "fixtures"), lake.table("silver", "fixtures")
     days = to_silver.days()
     to_gold.add(days)
-    bronze.store(silver_fixtures(read_days(spark, source, days)), target, lake.merge_mode)
+    to_counts.add(days)
+    moved = bronze.store(silver_fixtures(read_days(spark, source, days)), target, lake.merge_mode)
+    to_counts.add(moved)
     to_silver.clear(days)
 
     stored = lake.table("gold", "fixtures")
@@ -156,6 +165,11 @@ def refine_fixtures(spark: SparkSession, lake: Lake) -> Gold:
     offered = gold if everything else gold_fixtures(read_days(spark, target, days))
     bronze.store(offered.curated, stored, lake.merge_mode)
     to_gold.clear(days)
+    if lake.count:
+        days = to_counts.days()
+        full = gold_fixtures(read_days(spark, target, days)).full.withColumn("event_date", F.to_date("event_date"))
+        refresh_counts(full, lake.table("gold", COUNTS), [dt.date.fromisoformat(d) for d in days])
+        to_counts.clear(days)
     if lake.export:
         stem = lake.table("exports", "fixtures_gold")
         curated = read_table(spark, stored)

@@ -46,8 +46,12 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 def pinned(df: DataFrame) -> DataFrame:
-    """Compute a small or key-only frame once, in storage that outlives executors."""
-    _shared_folder(df.sparkSession)
-    if not df.sparkSession.sparkContext.getCheckpointDir():
-        df.sparkSession.sparkContext.setCheckpointDir(_shared_folder(df.sparkSession))
-    return df.checkpoint()
+    """Compute a small or key-only frame once, in storage that outlives executors and goes
+    with the application."""
+    from matchlake.sources import files
+
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, "pinned")
+    files.make_parents(spark, path)
+    files.delete_on_exit(spark, path)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

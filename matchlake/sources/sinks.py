@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
 from operator import and_
@@ -236,13 +236,14 @@ def save_upsert(
     partition_cols: str | Sequence[str] | None = None,
     limits: MergeLimits = MergeLimits(),
     batch: Batch | None = None,
-) -> None:
+) -> list[tuple]:
     """Replace the rows whose key is stored and add the others; repeated keys raise.
 
     Only files that hold a matched key are rewritten, whatever partition their rows move
     to; all others keep their names. A break-off at any step loses no row (``exchange``).
     Without a table the batch is written, unpartitioned unless ``partition_cols`` says
-    otherwise. ``batch`` is as in ``save_new``.
+    otherwise. ``batch`` is as in ``save_new``. Returns the partitions that replaced rows
+    were in, as tuples of their values.
     """
     spark = source.sparkSession
     keys = list(_listed(keys))
@@ -251,15 +252,15 @@ def save_upsert(
         if batch is None:
             checked_unique(source, keys)
             write_table(source, path, "append", partition_cols)
-            return
+            return []
         save_info(spark, path, source.schema, _listed(partition_cols))
     if batch_done(spark, path, batch):
-        return
+        return []
     fitted, partition = _fitted(source, path, partition_cols)
     with _held(fitted) as rows:
         profile = checked_unique(rows, keys)
         slim = near_keys(read_table(spark, path), profile).select(
-            *[quoted(k) for k in keys], F.col("_metadata.file_path").alias(_FILE)
+            *[quoted(c) for c in dict.fromkeys([*keys, *partition])], F.col("_metadata.file_path").alias(_FILE)
         )
         complete = reduce(and_, [quoted(k).isNotNull() for k in keys])
         incoming = distinct_keys(rows, keys)
@@ -267,11 +268,26 @@ def save_upsert(
             slim.filter(complete), incoming, keys, True, limits, profile.fits(limits)
         )
         # Files, not rows, come to the driver, which lists the table's files anyway.
-        uris = [r[0] for r in matched.select(_FILE).distinct().collect()]
+        places = matched.select(_FILE, *[quoted(p) for p in partition]).distinct().collect()
+        uris = sorted({r[0] for r in places})
         stored = _of_files(spark, path, uris).drop(_FILE, _AT)
         kept = unmatched_target(stored, rows, keys, profile, limits)
         result = kept.unionByName(rows)
         exchange(spark, path, lambda folder: _put(result, folder, partition, "append"), uris, batch)
+        return list({tuple(r)[1:] for r in places}) if partition else []
+
+
+def replace_partitions(df: DataFrame, path: str, column: str, values: Iterable[object]) -> None:
+    """Put rows in the place of all that is stored of some partitions; others stay as they are."""
+    spark, values = df.sparkSession, list(values)
+    _settle(spark, path)
+    if not table_exists(spark, path):
+        write_table(df, path, "append", column)
+        return
+    fitted, partition = _fitted(df, path, column)
+    held = read_table(spark, path).filter(quoted(column).isin(values))
+    uris = [r[0] for r in held.select(F.col("_metadata.file_path")).distinct().collect()]
+    exchange(spark, path, lambda folder: _put(fitted, folder, partition, "append"), uris)
 
 
 def save_upsert_where(

@@ -5,6 +5,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from matchlake.operators import enrich, metrics
+from matchlake.plans.gold import refresh_counts, stored_metrics
 
 SCHEMA = (
     "goals_home long, goals_away long, league_season int, fixture_status_elapsed long"
@@ -150,3 +151,49 @@ def test_nan_is_missing(spark):
     assert rows(metrics.goals_sum(df)) == [(1.0,)]
     assert rows(metrics.value_counts(df, "total_goals")) == [(1.0, 1)]
     assert rows(metrics.goals_stats(df)) == [(1.0, 1.0, 1.0, None)]
+
+
+@pytest.mark.parametrize("few", [20, 100_000])
+def test_medians_of_groups_with_many_values(spark, few):
+    """A small group, one without values, and large ones with hot values; null is a group."""
+    data = [("a", float(i * 7919 % 3001)) for i in range(3001)]
+    data += [("b", float(i % 1500)) for i in range(3000)] + [("b", 7.0)] * 2000
+    data += [("c", 1.0), ("c", 4.0), ("c", None), ("d", None), ("d", float("nan")), (None, 5.0)]
+    data += [("e", float(i)) for i in range(100)] + [("e", 1e6)] * 100
+    df = spark.createDataFrame(data, "`k.x` string, v double")
+    values = {}
+    for k, v in data:
+        if v is not None and v == v:
+            values.setdefault(k, []).append(v)
+    found = {r["k.x"]: r for r in metrics.wide_stats(df, "v", ["k.x"], few).collect()}
+    assert {k: r["median"] for k, r in found.items()} == {
+        **{k: statistics.median(v) for k, v in values.items()}, "d": None,
+    }
+    assert found["b"]["mode"] == 7.0 and found["a"]["mode"] == 0.0 and found["c"]["mean"] == 2.5
+    assert found["a"]["std"] == pytest.approx(statistics.stdev(values["a"]), abs=0.0051)
+
+
+def test_sketches_of_days_unite(spark):
+    df = spark.range(60_000).selectExpr(
+        "id % 30 as day", "id % 20000 as key", "if(id % 7 = 0, null, id % 5) as few", "cast(null as string) as none"
+    )
+    columns = ["key", "few", "none"]
+    sketches = metrics.unique_sketches(df, columns, ["day"])
+    assert sketches.count() == 30
+    found = dict(rows(metrics.n_unique_of_sketches(sketches, columns)))
+    assert abs(found["key"] - 20_000) < 0.05 * 20_000 and found["few"] == 5 and found["none"] == 0
+    exact = dict(rows(metrics.n_unique(df, columns)))
+    assert exact == {"key": 20_000, "few": 5, "none": 0}
+
+
+def test_stored_counts_equal_counts_over_all_rows(spark, tmp_path):
+    data = [(h, a, 2020 + (h + a) % 3, 90 + h) for h in range(4) for a in range(5)] * 3 + [(None, 1, 2021, None)]
+    df, path = played(spark, data), str(tmp_path / "counts")
+    kept = lambda frames: {name: rows(f) for name, f in frames.items()}
+    refresh_counts(df.filter("league_season < 2022"), path, [2020, 2021], "league_season")
+    # A season that is counted again does not count twice, and one may lose all of its rows.
+    for _ in range(2):
+        refresh_counts(df.filter("league_season > 2020"), path, [2021, 2022], "league_season")
+    assert kept(stored_metrics(spark, path)) == kept(metrics.gold_metrics(df))
+    refresh_counts(df.limit(0), path, [2022], "league_season")
+    assert kept(stored_metrics(spark, path)) == kept(metrics.gold_metrics(df.filter("league_season < 2022")))
