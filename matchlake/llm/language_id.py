@@ -9,8 +9,10 @@ score is how much less that is than the second best, from 0 to 1.
 
 Texts are lower-cased and runs of other than letters count as one space. Letters above the
 first plane are told apart by their code's remainder, so those of one script differ. Texts are parsed
-in segments of ``SEGMENT`` characters, all of them: the automaton is a transition table, so
-many segments take a step at once.
+in segments of ``SEGMENT`` characters, all of them: transitions are in a table, so many
+segments take a step at once. The table holds the more frequent characters of every
+language, as many as its size allows for; transitions by all others, of which scripts with
+thousands of characters have many, are found in a sorted list. Both count alike.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0, as is every
 text if no language was learned; a null id is not held out and not learned from; of equal
@@ -31,10 +33,13 @@ from pyspark.sql import DataFrame, functions as F
 #: Characters of text a language is learned from, at most, and those of one document.
 SAMPLE = 32_768
 SAMPLE_OF_DOCUMENT = SAMPLE // 16
-#: Distinct characters of a language that have a place in its automaton.
-ALPHABET = 255
+#: Characters of all samples together, at most, with no fewer than LEAST_SAMPLE for each.
+SAMPLES = 1 << 26
+LEAST_SAMPLE = 1024
+#: Entries of the transition table of all languages, four bytes each. Transitions by
+#: characters too rare for it are looked up in a sorted list, some 24 bytes a character.
+CELLS = 1 << 24
 SEGMENT = 1024
-MAX_LANGUAGES = 1000
 FOLDS = 5
 
 _PLANE = 1 << 16
@@ -102,30 +107,54 @@ class Parser:
     begins with the same character, which is a phrase of its own if it is unknown.
     """
 
-    def __init__(self, samples: dict[str, str]):
+    def __init__(self, samples: dict[str, str], cells: int | None = None):
         self.names = sorted(samples)
-        self.classes, tables, self.bits, base = [], [], [], 0
-        self.roots = []
+        self.classes, self.bits, self.roots, automata = [], [], [], []
         for name in self.names:
             codes = normal_codes(samples[name])
-            known = [c for c, _ in Counter(codes.tolist()).most_common(ALPHABET)]
-            classes = np.zeros(_PLANE, np.uint8)
+            known = [c for c, _ in Counter(codes.tolist()).most_common()]
+            classes = np.zeros(_PLANE, np.uint16)
             classes[known] = np.arange(1, len(known) + 1)
-            width = len(known) + 1
-            follow = suffix_automaton(classes[codes])
+            automata.append((suffix_automaton(classes[codes]), len(known)))
+            self.classes.append(classes)
+            self.bits.append(math.log2(max(2, len(codes))))
+        states = sum(len(follow) for follow, _ in automata)
+        most = max((n for _, n in automata), default=0)
+        #: Classes of a language with a column in the table; the others are rare.
+        self.columns = max(0, min(most, (CELLS if cells is None else cells) // max(1, states) - 1))
+        width, tables, keys, nexts, base = self.columns + 1, [], [], [], 0
+        if states * width >= 1 << 29:
+            raise ValueError(f"{states} states of {len(self.names)} languages are too many for a table")
+        for follow, _ in automata:
             table = np.full((len(follow), width), -1, np.int64)
             for state, go in enumerate(follow):
-                table[state, list(go)] = list(go.values())
+                for symbol, to in go.items():
+                    if symbol < width:
+                        table[state, symbol] = to
+                    else:
+                        keys.append((base + state * width) * _PLANE + symbol)
+                        nexts.append(base + to * width)
             table[:, 0] = -1
             root = np.where(table[0] < 0, (base << 2) | 1, (base + table[0] * width) << 2)
             entry = np.where(table < 0, root[None, :] + 1, (base + table * width) << 2)
             entry[0] = root
             tables.append(entry.astype(np.int32).ravel())
-            self.classes.append(classes)
             self.roots.append(base)
-            self.bits.append(math.log2(max(2, len(codes))))
             base += table.size
         self.table = np.concatenate(tables) if tables else np.empty(0, np.int32)
+        order = np.argsort(np.array(keys, np.int64), kind="stable")
+        self.keys, self.nexts = np.array(keys, np.int64)[order], np.array(nexts, np.int64)[order]
+
+    def _rare_steps(self, row: np.ndarray, symbol: np.ndarray, root: np.ndarray) -> np.ndarray:
+        """Entries of steps by rare characters; from its root every one of them goes on."""
+
+        def find(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            wanted = rows * _PLANE + symbol
+            at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+            return self.keys[at] == wanted, self.nexts[at]
+
+        there, to = find(row)
+        return (np.where(there, to, find(root)[1]) << 2) | ~there
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Numbers of phrases, a row for each language and a column for each text."""
@@ -149,7 +178,14 @@ class Parser:
         row = np.repeat(roots, len(parts), axis=1)
         count = np.zeros(row.shape, np.int64)
         for t, n in enumerate(active):
-            entry = self.table[row[:, :n] + steps[t][:, :n]]
+            step = steps[t][:, :n]
+            rare = step > self.columns
+            if not len(self.keys) or not rare.any():
+                entry = self.table[row[:, :n] + step]
+            else:
+                entry = self.table[row[:, :n] + np.where(rare, 0, step)].astype(np.int64)
+                starts = np.broadcast_to(roots, rare.shape)
+                entry[rare] = self._rare_steps(row[:, :n][rare], step[rare].astype(np.int64), starts[rare])
             row[:, :n] = entry >> 2
             count[:, :n] += entry & 3
         count += row != roots
@@ -194,27 +230,29 @@ def held_out(doc_id) -> F.Column:
 
 
 def samples(docs: DataFrame) -> dict[str, str]:
-    """Text of each language from (id, lang, text), at most SAMPLE characters.
+    """Text of each language from (id, lang, text), at most SAMPLE characters, or an equal part
+    of SAMPLES where that is less.
 
     Documents are chosen by a hash of their id, as many as give the sample a few times over.
     """
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("id").isNotNull() & ~held_out("id"))
     given = F.least(F.length("text"), F.lit(SAMPLE_OF_DOCUMENT))
-    sizes = labelled.groupBy("lang").agg(F.sum(given).alias("size")).limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    sizes = labelled.groupBy("lang").agg(F.coalesce(F.sum(given), F.lit(0)).alias("size")).collect()
+    if not sizes:
+        return {}
+    size = max(LEAST_SAMPLE, min(SAMPLE, SAMPLES // len(sizes)))
     mark = F.pmod(F.xxhash64("id"), F.lit(1_000_000_000))
-    wanted = F.lit(False)
-    for row in sizes:
-        share = min(1.0, 3 * SAMPLE / max(row["size"] or 1, 1))
-        wanted = wanted | ((F.col("lang") == row["lang"]) & (mark < int(share * 1_000_000_000)))
+    below = [(r["lang"], int(min(1.0, 3 * size / max(r["size"], 1)) * 1_000_000_000)) for r in sizes]
+    kind = docs.schema["lang"].dataType.simpleString()
+    below = F.broadcast(docs.sparkSession.createDataFrame(below, f"lang {kind}, below long"))
     part = F.substring("text", 1, SAMPLE_OF_DOCUMENT)
-    rows = labelled.filter(wanted).select("lang", mark.alias("mark"), part.alias("part")).collect()
+    chosen = labelled.join(below, "lang").filter(mark < F.col("below"))
+    rows = chosen.select("lang", mark.alias("mark"), part.alias("part")).collect()
     texts: dict[str, str] = {}
     for row in sorted(rows, key=lambda r: (r["lang"], r["mark"], r["part"] or "")):
         had = texts.get(row["lang"], "")
-        if len(had) < SAMPLE and row["part"]:
-            texts[row["lang"]] = (had + " " + row["part"])[:SAMPLE]
+        if len(had) < size and row["part"]:
+            texts[row["lang"]] = (had + " " + row["part"])[:size]
     return {name: text for name, text in texts.items() if len(normal_codes(text))}
 
 

@@ -142,6 +142,47 @@ def test_phrases_equal_a_plain_parse():
         assert parser.phrases([language_id.normal_codes(text)])[0, 0] == plain(text)
 
 
+def _plain_phrases(text, sample):
+    at = n = 0
+    while at < len(text):
+        size = 1
+        while at + size < len(text) and text[at : at + size + 1] in sample and text[at] in sample:
+            size += 1
+        at, n = at + size, n + 1
+    return n
+
+
+@pytest.mark.parametrize("cells", [0, 5_000, 60_000, None])
+def test_rare_characters_count_like_those_of_the_table(cells):
+    """Texts of several segments, alphabets of up to 700 characters, tables of any size."""
+    random = np.random.Generator(np.random.PCG64(3))
+    word = lambda low, n: "".join(chr(low + int(c) ** 2 // 700) for c in random.integers(0, 700, n))
+    samples = {"han": word(0x4E00, 3000), "hangul": word(0xAC00, 2000), "en": "the cat sat on the mat and the dog " * 9}
+    known = language_id.Parser(samples, cells)
+    texts = [word(0x4E00, 2500), samples["han"][500:1900] + "the cat", word(0xAC00, 1500), "zq the dog", samples["hangul"]]
+    found = known.phrases([language_id.normal_codes(t) for t in texts])
+    plain = {name: "".join(map(chr, language_id.normal_codes(s).tolist())) for name, s in samples.items()}
+    for k, name in enumerate(known.names):
+        for i, text in enumerate(texts):
+            codes = "".join(map(chr, language_id.normal_codes(text).tolist()))
+            parts = [codes[at : at + language_id.SEGMENT] for at in range(0, len(codes), language_id.SEGMENT)]
+            assert found[k, i] == sum(_plain_phrases(p, plain[name]) for p in parts), (name, i)
+    named = [p for p, _ in known.predict(texts)]
+    assert (named[1], named[3], named[4]) == ("han", "en", "hangul")
+
+
+def test_many_languages_of_large_alphabets_stay_within_the_table(monkeypatch):
+    monkeypatch.setattr(language_id, "CELLS", 400_000)
+    random = np.random.Generator(np.random.PCG64(8))
+    samples = {}
+    for k in range(50):
+        own = 0x4E00 + random.permutation(20_000)[:1500]
+        samples[f"l{k:02}"] = "".join(map(chr, own[random.integers(0, 1500, 1200)]))
+    known = language_id.Parser(samples)
+    assert known.table.nbytes <= 4 * 400_000 and known.keys.nbytes + known.nexts.nbytes < 24 * 3 * 50 * 1200
+    assert [p for p, _ in known.predict([s[100:700] for s in samples.values()])] == sorted(samples)
+
+
 def test_held_out_languages_are_told_apart(some_docs):
     truth = {r["doc_id"]: r["lang"] for r in some_docs.collect()}
     found = [r for r in language_id.identify(some_docs).collect() if r["held_out"]]
