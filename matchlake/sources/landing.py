@@ -82,23 +82,47 @@ def _documents(raw: DataFrame) -> DataFrame:
     )
 
 
-def _envelopes_opened(documents: DataFrame, data_field: str | None) -> DataFrame:
-    """(file, delivered, text, reason): texts of records, and documents that hold none."""
+def _envelopes_opened(
+    documents: DataFrame, record: T.StructType, data_field: str | None, whole: bool
+) -> DataFrame:
+    """(file, delivered, direct, text, reason): texts of records, and documents that hold none.
+
+    With ``whole`` a document all of whose records fit is parsed at once: its records are
+    ``direct``, without a text.
+    """
+    nothing = F.lit(None).cast(record)
     if not data_field:
-        return documents
-    schema = T.StructType(
-        [T.StructField(data_field, T.ArrayType(T.StringType())), T.StructField(CORRUPT, T.StringType())]
-    )
-    opened = documents.withColumn("envelope", F.from_json("text", schema, _PARSING))
-    records = F.col(f"envelope.{ticked(data_field)}")
-    reason = (
-        F.when(F.col("reason").isNotNull(), F.col("reason"))
-        .when(F.col(f"envelope.{CORRUPT}").isNotNull(), "invalid document")
-        .when(records.isNull(), "no data field")
+        return documents.withColumn("direct", nothing)
+
+    def envelope(element: T.DataType) -> Column:
+        fields = [T.StructField(data_field, T.ArrayType(element)), T.StructField(CORRUPT, T.StringType())]
+        return F.from_json("text", T.StructType(fields), _PARSING)
+
+    def held(name: str) -> Column:
+        return F.col(f"{name}.{ticked(data_field)}")
+
+    row = lambda direct, text: F.struct(direct.alias("direct"), text.alias("text"))
+    opened, fits = documents, F.lit(False)
+    if whole:
+        opened = opened.withColumn("typed", F.when(F.col("reason").isNull(), envelope(record)))
+        fits = F.col(f"typed.{CORRUPT}").isNull() & held("typed").isNotNull()
+        fits = fits & ~F.exists(held("typed"), lambda r: r.isNull())
+    opened = opened.withColumn("fits", F.coalesce(fits, F.lit(False)))
+    opened = opened.withColumn("envelope", F.when(~F.col("fits"), envelope(T.StringType())))
+    reason = F.when(
+        ~F.col("fits"),
+        F.when(F.col("text").isNull() | F.col(f"envelope.{CORRUPT}").isNotNull(), "invalid document").when(
+            held("envelope").isNull(), "no data field"
+        ),
     )
-    kept = F.when(F.col("text").isNull(), "invalid document").otherwise(reason)
-    found = F.when(kept.isNull(), records).otherwise(F.array("text"))
-    return opened.select(SOURCE_FILE, DELIVERED, F.explode(found).alias("text"), kept.alias("reason"))
+    opened = opened.withColumn("reason", F.coalesce("reason", reason))
+    texts = F.when(F.col("reason").isNull(), held("envelope")).otherwise(F.array("text"))
+    rows = F.transform(texts, lambda t: row(nothing, t))
+    if whole:
+        direct = F.transform(held("typed"), lambda r: row(r, F.lit(None).cast("string")))
+        rows = F.when(F.col("fits"), direct).otherwise(rows)
+    opened = opened.select(SOURCE_FILE, DELIVERED, F.explode(rows).alias("r"), "reason")
+    return opened.select(SOURCE_FILE, DELIVERED, "r.*", "reason")
 
 
 def _nodes(record: T.StructType, path: tuple[str, ...] = ()) -> Iterator[tuple[tuple[str, ...], T.StructType]]:
@@ -142,20 +166,26 @@ def _undeclared(parsed: DataFrame, record: T.StructType) -> DataFrame:
 
 
 def parse_documents(
-    raw: DataFrame, record: T.StructType, data_field: str | None = "response", required: Sequence[str] = ()
+    raw: DataFrame,
+    record: T.StructType,
+    data_field: str | None = "response",
+    required: Sequence[str] = (),
+    undeclared: bool = True,
 ) -> DataFrame:
     """One row for each record, and for each document or record that is set aside.
 
     (file, delivered, record, undeclared, reason, document): ``reason`` is null for records.
     A record without a value of a ``required`` field (a path with dots) is set aside too.
+    Where ``undeclared`` keys are not wanted, documents without a fault are parsed only once.
     """
-    found = _envelopes_opened(_documents(raw), data_field)
+    found = _envelopes_opened(_documents(raw), record, data_field, whole=not undeclared)
     schema = T.StructType([*record.fields, T.StructField(CORRUPT, T.StringType())])
     is_record = F.col("reason").isNull()
-    found = found.withColumn("parsed", F.when(is_record, F.from_json("text", schema, _PARSING)))
-    found = _undeclared(found, record)
+    by_text = is_record & F.col("direct").isNull()
+    found = found.withColumn("parsed", F.when(by_text, F.from_json("text", schema, _PARSING)))
+    found = _undeclared(found, record) if undeclared else found.withColumn(UNDECLARED, F.lit(None).cast("string"))
     is_object = F.coalesce(F.ltrim("text").startswith("{"), F.lit(False))
-    unfit = F.col("parsed").isNull() | F.col(f"parsed.{CORRUPT}").isNotNull()
+    unfit = by_text & (F.col("parsed").isNull() | F.col(f"parsed.{CORRUPT}").isNotNull())
     # Without a data field the document is the record, so it may be broken as a whole.
     readable = F.from_json("text", _KEYS_AND_TEXTS).isNotNull()
     reason = F.when(~is_record, F.col("reason")).when(
@@ -164,17 +194,22 @@ def parse_documents(
             "invalid document" if not data_field else F.when(is_object, "invalid value").otherwise("invalid record")
         ),
     )
+    one = F.struct(*[F.col(f"parsed.{ticked(n)}") for n in record.names]).cast(record)
+    found = found.withColumn("why", reason).withColumn("one", F.coalesce("direct", one))
+    reason = F.col("why")
     for path in required:
-        reason = F.coalesce(reason, F.when(F.col(f"parsed.{path}").isNull(), f"no {path}"))
+        reason = F.coalesce(reason, F.when(F.col(f"one.{path}").isNull(), f"no {path}"))
     found = found.withColumn("why", reason)
     set_aside = F.col("why").isNotNull()
     return found.select(
         SOURCE_FILE,
         DELIVERED,
-        F.when(~set_aside, F.struct(*[F.col(f"parsed.{ticked(n)}") for n in record.names])).alias("record"),
+        F.when(~set_aside, F.col("one")).alias("record"),
         F.when(~set_aside, F.col(UNDECLARED)).alias(UNDECLARED),
         F.col("why").alias("reason"),
-        F.when(set_aside & (F.col("why") != "no data field"), F.col("text")).alias("document"),
+        F.when(
+            set_aside & (F.col("why") != "no data field"), F.coalesce("text", F.to_json("direct"))
+        ).alias("document"),
     )
 
 
@@ -184,12 +219,17 @@ def split_documents(parsed: DataFrame, ordered: bool = False, undeclared: bool =
     With ``ordered`` each record names its document's place in the order of delivery, with
     ``undeclared`` it brings the keys its schema does not declare.
     """
-    more = [quoted(DELIVERED)] * ordered + [quoted(UNDECLARED)] * undeclared
+    fields = [F.col(f"record.{ticked(n)}") for n in parsed.schema["record"].dataType.names]
+    fields += [quoted(DELIVERED)] * ordered + [quoted(UNDECLARED)] * undeclared
+    set_aside = F.col("reason").isNotNull()
+
+    def where(condition: Column, *columns: Column) -> DataFrame:
+        # No filter: it would be pushed below the parsing and parse every record again.
+        return parsed.select(F.inline(F.when(condition, F.array(F.struct(*columns)))))
+
     return Landing(
-        parsed.filter("reason is null").select("record.*", *more),
-        parsed.filter("reason is not null").select(
-            quoted(SOURCE_FILE).alias("source_file"), "reason", "document"
-        ),
+        where(~set_aside, *fields),
+        where(set_aside, quoted(SOURCE_FILE).alias("source_file"), F.col("reason"), F.col("document")),
     )
 
 
@@ -221,7 +261,8 @@ def json_envelope(
     is the record.
     """
     raw = read_documents(spark, path, layout, recursive)
-    return split_documents(parse_documents(raw, record, data_field), undeclared=undeclared)
+    parsed = parse_documents(raw, record, data_field, undeclared=undeclared)
+    return split_documents(parsed, undeclared=undeclared)
 
 
 def undeclared_value(name: str, column: str = UNDECLARED) -> Column:
