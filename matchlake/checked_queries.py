@@ -555,21 +555,8 @@ def _standardize_names(spark, sf_dir):
     return _flat(spark, sf_dir).transform(shaping.standardize_names).select(*_FX_COLUMNS)
 
 
-_DOTTED_DROPS = ", ".join(
-    f'"{c}"'
-    for c in (
-        "fixture__referee",
-        "fixture__timezone",
-        "fixture__timestamp",
-        "fixture__periods__second",
-        "fixture__status__long",
-        "fixture__status__extra",
-        "league__logo",
-        "league__flag",
-        "teams__home__logo",
-        "teams__away__logo",
-    )
-)
+# In the dropped columns' names every underscore stands for a dot.
+_DOTTED_DROPS = ", ".join('"' + c.replace("_", "__") + '"' for c in SILVER_DROPPED_COLUMNS)
 
 
 @query("drop_if_exists", f"select * exclude ({_DOTTED_DROPS}) from ({FLAT})")

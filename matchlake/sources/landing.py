@@ -90,9 +90,8 @@ def _envelopes_opened(
     With ``whole`` a document all of whose records fit is parsed at once: its records are
     ``direct``, without a text.
     """
-    nothing = F.lit(None).cast(record)
     if not data_field:
-        return documents.withColumn("direct", nothing)
+        return documents.withColumn("direct", F.lit(None).cast(record))
 
     def envelope(element: T.DataType) -> Column:
         fields = [T.StructField(data_field, T.ArrayType(element)), T.StructField(CORRUPT, T.StringType())]
@@ -101,12 +100,10 @@ def _envelopes_opened(
     def held(name: str) -> Column:
         return F.col(f"{name}.{ticked(data_field)}")
 
-    row = lambda direct, text: F.struct(direct.alias("direct"), text.alias("text"))
     opened, fits = documents, F.lit(False)
     if whole:
         opened = opened.withColumn("typed", F.when(F.col("reason").isNull(), envelope(record)))
         fits = F.col(f"typed.{CORRUPT}").isNull() & held("typed").isNotNull()
-        fits = fits & ~F.exists(held("typed"), lambda r: r.isNull())
     opened = opened.withColumn("fits", F.coalesce(fits, F.lit(False)))
     opened = opened.withColumn("envelope", F.when(~F.col("fits"), envelope(T.StringType())))
     reason = F.when(
@@ -117,12 +114,12 @@ def _envelopes_opened(
     )
     opened = opened.withColumn("reason", F.coalesce("reason", reason))
     texts = F.when(F.col("reason").isNull(), held("envelope")).otherwise(F.array("text"))
-    rows = F.transform(texts, lambda t: row(nothing, t))
-    if whole:
-        direct = F.transform(held("typed"), lambda r: row(r, F.lit(None).cast("string")))
-        rows = F.when(F.col("fits"), direct).otherwise(rows)
-    opened = opened.select(SOURCE_FILE, DELIVERED, F.explode(rows).alias("r"), "reason")
-    return opened.select(SOURCE_FILE, DELIVERED, "r.*", "reason")
+    # One of the two lists is empty, and its column then null.
+    no_texts, no_records = F.array().cast("array<string>"), F.array().cast(T.ArrayType(record))
+    direct = F.when(F.col("fits"), held("typed")).otherwise(no_records) if whole else no_records
+    texts = F.when(F.col("fits"), no_texts).otherwise(texts)
+    rows = F.arrays_zip(direct.alias("direct"), texts.alias("text"))
+    return opened.select(SOURCE_FILE, DELIVERED, "reason", F.inline(rows).alias("direct", "text"))
 
 
 def _nodes(record: T.StructType, path: tuple[str, ...] = ()) -> Iterator[tuple[tuple[str, ...], T.StructType]]:
@@ -181,11 +178,11 @@ def parse_documents(
     found = _envelopes_opened(_documents(raw), record, data_field, whole=not undeclared)
     schema = T.StructType([*record.fields, T.StructField(CORRUPT, T.StringType())])
     is_record = F.col("reason").isNull()
-    by_text = is_record & F.col("direct").isNull()
+    by_text = is_record & F.col("text").isNotNull()
     found = found.withColumn("parsed", F.when(by_text, F.from_json("text", schema, _PARSING)))
     found = _undeclared(found, record) if undeclared else found.withColumn(UNDECLARED, F.lit(None).cast("string"))
     is_object = F.coalesce(F.ltrim("text").startswith("{"), F.lit(False))
-    unfit = by_text & (F.col("parsed").isNull() | F.col(f"parsed.{CORRUPT}").isNotNull())
+    unfit = F.col("direct").isNull() & (F.col("parsed").isNull() | F.col(f"parsed.{CORRUPT}").isNotNull())
     # Without a data field the document is the record, so it may be broken as a whole.
     readable = F.from_json("text", _KEYS_AND_TEXTS).isNotNull()
     reason = F.when(~is_record, F.col("reason")).when(
