@@ -136,7 +136,7 @@ def write_tokens(
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        arrow, encode, last = to_arrow_schema(schema), encoder(vocabulary).encode, np.array([end], "<u4").tobytes()
+        arrow, encode, last = to_arrow_schema(schema), encoder(vocabulary).encode_all, np.array([end], "<u4").tobytes()
         flow, number = _Shard(unit), 0
 
         def out(rows: list[dict]) -> pa.RecordBatch:
@@ -144,8 +144,9 @@ def write_tokens(
 
         for batch in batches:
             number = batch.column(0)[0].as_py() if len(batch) else number
-            for key, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                if rows := list(flow.add(key, np.frombuffer(encode(text or "") + last, "<u4"))):
+            texts = (text or "" for text in batch.column(2).to_pylist())
+            for key, ids in zip(batch.column(1).to_pylist(), encode(texts)):
+                if rows := list(flow.add(key, np.frombuffer(ids + last, "<u4"))):
                     yield out(rows)
         if flow.size:
             yield out([flow.block()])

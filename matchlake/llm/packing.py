@@ -195,11 +195,11 @@ def pieces(docs: DataFrame, vocabulary: str, end: int, capacity: int, id_col: st
     """(id, piece, start, length, ids_crc32) of every document's tokens."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, last = encoder(vocabulary).encode, np.array([end], "<u4").tobytes()
+        encode, last = encoder(vocabulary).encode_all, np.array([end], "<u4").tobytes()
         for batch in batches:
             source, rows = [], []
-            for at, text in enumerate(batch.column(1).to_pylist()):
-                ids = encode(text or "") + last
+            for at, ids in enumerate(encode(text or "" for text in batch.column(1).to_pylist())):
+                ids += last
                 for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[start : start + 4 * capacity]
                     source.append(at)

@@ -5,23 +5,37 @@ from __future__ import annotations
 import json
 import re
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
+from operator import attrgetter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
-#: Entries of one generation of a memory; a worker holds two generations of each memory.
-MEMORY = 300_000
+#: Entries of one generation of the memory; a worker holds two generations.
+MEMORY = 250_000
+#: Characters of the texts whose chunks are looked up together.
+BLOCK_CHARS = 4 << 20
+#: Parts chunks: texts with control characters are not cut into chunks.
+_MARK = "\0"
 
 # Texts with other white space or control characters, or with what could be a special
 # token, are encoded in one piece.
 _ODD = re.compile(
     r"[^\S \n]|[\x00-\x09\x0b-\x1f\x7f-\xa0 ᠎ -‏ -  -⁯　﻿]|<\|"
 )
+_ID = attrgetter("id")
 _SPACED = re.compile(r" ?[^ \n]+|[ \n]+(?![^ \n])|[ \n]+")
 
 
+def _is_odd(text: str) -> bool:
+    # No printable character but the plain space is white space; asked first, as it is quick.
+    plain = "<|" not in text and text.replace("\n", "").isprintable()
+    return not plain and _ODD.search(text) is not None
+
+
 class Memory(dict):
     """Results for keys met lately: a full generation ages, and goes when the next is full."""
 
@@ -62,17 +76,14 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as file:
-            parts = json.load(file)["pre_tokenizer"].get("pretokenizers", [])
-        own = [p["pattern"]["Regex"] for p in parts if p["type"] == "Split"]
+        state = json.loads(self.tokenizer.pre_tokenizer.__getstate__())
+        own = [p["pattern"]["Regex"] for p in state.get("pretokenizers", []) if p["type"] == "Split"]
         self.split = regex.compile(own[0] if own else _BYTE_LEVEL_SPLIT).findall
         self.normalizer = self.tokenizer.normalizer
         self.letters = _byte_letters()
         self.space = chr(self.letters[ord(" ")])
         self.merge = self.tokenizer.model.tokenize
-        self.pieces = Memory(self._piece)
         self.chunks = Memory(self._chunk)
-        self.spaced = Memory(lambda word: self._chunk(" " + word))
         self.keeps_spaces = self._whole("a b") != self._whole("a\n\nb")
 
     def _whole(self, text: str) -> bytes:
@@ -84,7 +95,7 @@ class Encoder:
             letters = piece.replace(" ", self.space)
         else:
             letters = piece.encode("utf-8").decode("latin-1").translate(self.letters)
-        return array("I", [token.id for token in self.merge(letters)]).tobytes()
+        return array("I", map(_ID, self.merge(letters))).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
         if self.normalizer is not None:
@@ -92,27 +103,51 @@ class Encoder:
         # Most chunks are a word of letters, or one with a mark after it.
         word = chunk[1:] if chunk[:1] == " " else chunk
         if word.isalpha():
-            return self.pieces[chunk]
+            return self._piece(chunk)
         if word[:-1].isalpha() and word[-1] in ",.;:!?":
-            return self.pieces[chunk[:-1]] + self.pieces[word[-1]]
-        return b"".join(map(self.pieces.__getitem__, self.split(chunk)))
+            return self.chunks[chunk[:-1]] + self.chunks[word[-1]]
+        return b"".join(map(self._piece, self.split(chunk)))
 
-    def encode(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        if _ODD.search(text):
-            return self._whole(text)
+    def _marked(self, text: str) -> str:
+        """The chunks of a text, parted by a character that no text of chunks holds."""
+        plain = not any(w in text for w in ("  ", " \n", "\n ", "\n\n")) and text == text.strip(" \n")
         if not self.keeps_spaces:
-            return b"".join(map(self.chunks.__getitem__, text.split()))
-        # White space that does not just stand alone between words.
-        if not text or any(w in text for w in ("  ", " \n", "\n ", "\n\n")) or text != text.strip(" \n"):
-            return b"".join(map(self.chunks.__getitem__, _SPACED.findall(text)))
-        out, chunk, spaced = [], self.chunks.__getitem__, self.spaced.__getitem__
-        for line in text.split("\n"):
-            first, *words = line.split(" ")
-            out.append(chunk(first))
-            out += map(spaced, words)
-            out.append(chunk("\n"))
-        return b"".join(out[:-1])
+            return text.replace("\n", _MARK).replace(" ", _MARK) if plain else _MARK.join(text.split())
+        # White space that just stands alone between words.
+        if plain:
+            return text.replace("\n", f"{_MARK}\n{_MARK}").replace(" ", f"{_MARK} ")
+        return _MARK.join(_SPACED.findall(text))
+
+    def _block(self, texts: list[str]) -> list[bytes]:
+        """A chunk that the block repeats is looked up once."""
+        odd = {at: self._whole(t) for at, t in enumerate(texts) if _is_odd(t)}
+        marked = ["" if at in odd else self._marked(t) for at, t in enumerate(texts)]
+        parts = pc.split_pattern(pa.array(marked, pa.large_string()), _MARK)
+        chunks = parts.values.dictionary_encode()
+        known = list(map(self.chunks.__getitem__, chunks.dictionary.to_numpy(zero_copy_only=False)))
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        firsts, ids = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(known), "<u4")
+        which = chunks.indices.to_numpy()
+        taken = sizes[which]
+        ends = np.concatenate([[0], np.cumsum(taken)])
+        from_to = np.arange(ends[-1]) + np.repeat(firsts[which] - ends[:-1], taken)
+        out, bounds = ids[from_to].tobytes(), (4 * ends[parts.offsets.to_numpy()]).tolist()
+        return [odd[at] if at in odd else out[bounds[at] : bounds[at + 1]] for at in range(len(texts))]
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """Little-endian unsigned 32-bit ids of each text, in blocks of bounded size."""
+        block, size = [], 0
+        for text in texts:
+            if block and size + len(text) > BLOCK_CHARS:
+                yield from self._block(block)
+                block, size = [], 0
+            block.append(text)
+            size += len(text)
+        if block:
+            yield from self._block(block)
+
+    def encode(self, text: str) -> bytes:
+        return self._block([text])[0]
 
 
 _encoders: dict[str, Encoder] = {}

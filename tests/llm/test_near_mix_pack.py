@@ -11,7 +11,8 @@ from tokenizers import Tokenizer
 
 from matchlake.llm import bitplanes, mixing, near_dedup, packing
 from matchlake.llm.common import Scratch
-from matchlake.llm.tokens import Encoder
+from matchlake.llm import tokens
+from matchlake.llm.tokens import Encoder, Memory
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -234,3 +235,40 @@ def test_token_files_round_trip(spark, odd_docs, no_docs, vocabulary, unit):
         place += len(ids)
     bitplanes.write_tokens(no_docs, f"{root}/b", path)
     assert bitplanes.digest(spark, f"{root}/b").count() == 0
+
+
+def test_encoder_holds_each_chunk_once_and_no_more_than_two_generations(vocabulary, monkeypatch):
+    monkeypatch.setattr(tokens, "MEMORY", 20)
+    encoder = Encoder(vocabulary("byte_bpe_50k.json"))
+    for i in range(100):
+        encoder.encode(f"some words and b{'xyz'[i % 3] * (1 + i)}")
+    held = [m for m in vars(encoder).values() if isinstance(m, Memory)]
+    assert sum(len(m) + len(m.old) for m in held) <= 2 * 20
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_block_merges_a_repeated_chunk_once(vocabulary, monkeypatch, name):
+    monkeypatch.setattr(tokens, "MEMORY", 2)
+    encoder, whole = Encoder(vocabulary(name)), Tokenizer.from_file(vocabulary(name))
+    merged, merge = [], encoder.merge
+    encoder.merge = lambda letters: merged.append(letters) or merge(letters)
+    texts = ["one two three four five\nsix", "", "tab\there", " two  three\n\nfour ", "five"] * 20
+    ids = list(encoder.encode_all(texts))
+    assert [np.frombuffer(i, "<u4").tolist() for i in ids] == [
+        whole.encode(t, add_special_tokens=False).ids for t in texts
+    ]
+    assert len(merged) <= 20
+
+
+def test_blocks_are_cut_by_size(vocabulary, monkeypatch):
+    monkeypatch.setattr(tokens, "BLOCK_CHARS", 10)
+    encoder = Encoder(vocabulary("byte_bpe_50k.json"))
+    texts = ["a b c d e f g h", "", "i j", "k l", "m n o p q r s t u v"]
+    assert list(encoder.encode_all(texts)) == [encoder.encode(t) for t in texts]
+    assert list(encoder.encode_all([])) == []
+
+
+def test_odd_characters_are_told_quickly_and_alike():
+    for number in [*range(0xD800), *range(0xE000, 0x110000)]:
+        assert tokens._is_odd(chr(number)) == bool(tokens._ODD.search(chr(number)))
+    assert tokens._is_odd("a <|b") and not tokens._is_odd("a\nb < | c")
