@@ -47,7 +47,7 @@ LANES = BITS // 64
 BLOCK = 1000
 #: Ids that are broadcast at most; beyond it they are joined by shuffle.
 BROADCAST_IDS = 300_000
-WORD_MEMORY = 500_000
+WORD_MEMORY = 200_000
 
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _ODD = [f"odd{i}" for i in range(LANES)]

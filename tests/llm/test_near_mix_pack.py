@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -272,3 +273,13 @@ def test_odd_characters_are_told_quickly_and_alike():
     for number in [*range(0xD800), *range(0xE000, 0x110000)]:
         assert tokens._is_odd(chr(number)) == bool(tokens._ODD.search(chr(number)))
     assert tokens._is_odd("a <|b") and not tokens._is_odd("a\nb < | c")
+
+
+def test_word_hashes_stay_small():
+    known = near_dedup._WordHashes()
+    for i in range(399_999):
+        known[f"word{i}"]
+    held = sys.getsizeof(known) + sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in known.items())
+    assert held <= 40_000_000
+    fresh = near_dedup._WordHashes()
+    assert all(fresh[w] == known[w] for w in ("word0", "word1", "word399998"))
