@@ -250,14 +250,16 @@ def dedup_lines(
     or less than ``least_share`` of its words: what is left of a copy is no document.
     """
     found = _cleaned(docs, id_col, text_col, min_words, min_words_near, min_chars)
-    lost = F.col("drop").isNotNull()
+    goes = F.lit(False)
     if drop_empty:
-        found = found.filter(~(lost & F.coalesce(_normal(F.col("left")) == "", F.lit(True))))
+        goes = goes | F.coalesce(_normal(F.col("left")) == "", F.lit(True))
     if least_words or least_share:
         before, after = n_words(F.col("text")), n_words(F.col("left"))
-        stump = (after < least_words) | (after < F.lit(least_share) * before)
-        # Counted in their own step, and only where lines were lost.
-        found = found.withColumn("stump", F.when(lost, stump).otherwise(False)).filter("not stump")
+        goes = goes | (after < least_words) | (after < F.lit(least_share) * before)
+    # No filter stands here: it would be pushed below the projections, where it makes the text
+    # that is left anew at each mention, and splits the document anew for each line of it.
+    stays = F.when(F.col("drop").isNull() | ~goes, F.array("left"))
+    found = found.select("row", F.explode(stays).alias("left"))
     return found.select(*[F.col("left" if c == text_col else f"`row`.`{c}`").alias(c) for c in docs.columns])
 
 

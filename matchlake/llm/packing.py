@@ -210,6 +210,8 @@ def pieces(docs: DataFrame, vocabulary: str, end: int, capacity: int, id_col: st
                 [batch.column(0).take(pa.array(source, pa.int64())), *map(pa.array, columns, kinds)],
                 ["id", "piece", "start", "length", "ids_crc32"],
             )
+        # The worker lives on, and would keep what Arrow needed for the texts.
+        pa.default_memory_pool().release_unused()
 
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = slim.schema["id"].dataType.simpleString()

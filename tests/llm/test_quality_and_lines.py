@@ -146,6 +146,21 @@ def test_edits_at_every_place(spark):
     assert {k: v[0] for k, v in found.items()} == plain_line_dedup(rows)
 
 
+def test_what_is_left_of_a_text_is_made_once(spark, capsys):
+    same, long = "one two three four", " ".join(f"word{i}" for i in range(30))
+    rows = [(0, f"{same}\n{long}"), (1, f"{same}\nfive six"), (2, same), (3, f"{same}\n{long} more"), (4, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for least, empty in ((0, False), (2, True), (4, False)):
+        df = line_dedup.dedup_lines(docs, drop_empty=empty, least_words=least, least_share=least / 100)
+        # A second mention, or one inside a function of each line, would do the work again.
+        df.explain()
+        plan = capsys.readouterr().out
+        assert plan.count("array_join(") == 1 and plan.count("split(") == 1
+        stump = [] if least > 2 else [(1, "five six")]
+        gone = [] if empty or least else [(2, ""), (3, "")]
+        assert sorted(map(tuple, df.collect())) == [rows[0], *stump, *gone, *rows[4:]]
+
+
 def test_lines_of_odd_documents(odd_docs, no_docs):
     left = line_dedup.dedup_lines(odd_docs)
     assert left.columns == odd_docs.columns
