@@ -16,8 +16,13 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BATCH_ROWS = 1000
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def small_batches(spark: SparkSession) -> None:
+    """Fewer rows at once go to Python workers of this session from now on."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -195,10 +195,10 @@ def pieces(docs: DataFrame, vocabulary: str, end: int, capacity: int, id_col: st
     """(id, piece, start, length, ids_crc32) of every document's tokens."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, last = encoder(vocabulary).encode_all, np.array([end], "<u4").tobytes()
+        encode, last = encoder(vocabulary), np.array([end], "<u4").tobytes()
         for batch in batches:
             source, rows = [], []
-            for at, ids in enumerate(encode(text or "" for text in batch.column(1).to_pylist())):
+            for at, ids in enumerate(encode.encode_all(text or "" for text in batch.column(1).to_pylist())):
                 ids += last
                 for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[start : start + 4 * capacity]
@@ -210,7 +210,8 @@ def pieces(docs: DataFrame, vocabulary: str, end: int, capacity: int, id_col: st
                 [batch.column(0).take(pa.array(source, pa.int64())), *map(pa.array, columns, kinds)],
                 ["id", "piece", "start", "length", "ids_crc32"],
             )
-        # The worker lives on, and would keep what Arrow needed for the texts.
+        # The worker lives on, beside what other stages need, and would keep all this.
+        encode.forget()
         pa.default_memory_pool().release_unused()
 
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

@@ -149,6 +149,11 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         return self._block([text])[0]
 
+    def forget(self) -> None:
+        """Without what was remembered of texts; it is found anew."""
+        self.chunks.clear()
+        self.chunks.old = {}
+
 
 _encoders: dict[str, Encoder] = {}
 

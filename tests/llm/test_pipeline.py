@@ -1,10 +1,11 @@
 import random
 
 import corpus_pipeline
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from matchlake.llm import quality_rules
+from matchlake.llm import packing, quality_rules, tokens
 from matchlake.llm.common import WORD
 from test_near_mix_pack import plain_components
 from test_quality_and_lines import plain_kept, plain_line_dedup
@@ -110,3 +111,45 @@ def test_odd_and_empty_tables_go_through(spark, odd_docs, no_docs, tmp_path):
         for at, (_, stage) in enumerate(corpus_pipeline.STAGES):
             stage(spark, docs, "").write.parquet(f"{tmp_path}/{k}-{at}")
             docs = spark.read.parquet(f"{tmp_path}/{k}-{at}")
+
+
+def test_stages_send_few_rows_at_once_whoever_reads_the_documents(spark, odd_docs):
+    def rows_of_batches(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows]})
+
+    large = {"spark.sql.execution.arrow.maxRecordsPerBatch": "10000", "spark.sql.parquet.columnarReaderBatchSize": "4096"}
+    before = {name: spark.conf.get(name) for name in large}
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            for setting, value in large.items():
+                spark.conf.set(setting, value)
+            stage(spark, odd_docs.select("doc_id", "text", "source"), "")
+            sent = spark.range(0, 2500, numPartitions=1).mapInArrow(rows_of_batches, "rows long").collect()
+            assert [r["rows"] for r in sent] == [1000, 1000, 500], name
+            assert spark.conf.get("spark.sql.parquet.columnarReaderBatchSize") == "1000", name
+    finally:
+        for setting, value in before.items():
+            spark.conf.set(setting, value)
+
+
+def test_idle_workers_remember_no_chunks_of_packed_texts(spark, some_docs, vocabulary):
+    def remembered(batches):
+        from matchlake.llm import tokens
+
+        held = [(len(e.chunks) + len(e.chunks.old), 1) for e in tokens._encoders.values()]
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()) for n in map(sum, zip(*held, (0, 0)))], ["chunks", "encoders"])
+
+    docs = some_docs.coalesce(1)
+    path = vocabulary("word_bpe_49k.json")
+    found = [packing.pieces(docs, path, 1, 4096, "doc_id", "text").collect() for _ in range(2)]
+    assert sorted(found[0]) == sorted(found[1])
+    now = spark.range(0, 1, numPartitions=1).mapInArrow(remembered, "chunks long, encoders long").first()
+    assert now["chunks"] == 0
+
+    encoder = tokens.Encoder(path)
+    ids = encoder.encode("one two three")
+    encoder.chunks.old = {" four": b""}
+    encoder.forget()
+    assert not encoder.chunks and not encoder.chunks.old and encoder.encode("one two three") == ids
