@@ -14,6 +14,8 @@ SPACES = r"[\x20\x09-\x0D]+"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Rows of a batch sent to a Python worker: texts differ much in length.
 BATCH_ROWS = 1000
+#: Ids that are broadcast at most; beyond it they are joined by shuffle.
+BROADCAST_IDS = 300_000
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -77,32 +79,45 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.when(plain == "", 0).otherwise(count), F.lit(0)).cast("long")
 
 
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """For joins: a table of so many rows is sent to all executors if they are few."""
+    return F.broadcast(df) if rows <= BROADCAST_IDS else df
+
+
+def _star_check(e: DataFrame) -> tuple[int, int]:
+    """Number of nodes, and of those that keep edges (a, b) from being one star for each component:
+    an ``a`` with several ``b``, or one that is itself the ``b`` of others."""
+    ends = e.select(F.col("a").alias("id"), F.col("b").alias("to")).union(e.select("b", F.lit(None)))
+    nodes = ends.groupBy("id").agg(
+        F.min("to").alias("least"), F.max("to").alias("most"), F.max(F.col("to").isNull()).alias("centre")
+    )
+    wrong = F.col("least").isNotNull() & (F.col("centre") | (F.col("least") < F.col("most")))
+    return nodes.agg(F.count("*"), F.count_if(wrong)).first()
+
+
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """(id, component): the smallest id reachable over edges (a, b), for ids on an edge.
+    """(id, component): the smallest id reachable over edges (a, b), for ids that reach one
+    smaller than themselves.
 
     Alternates large-star and small-star steps, each a minimum per node joined back, so
-    a hub with very many neighbours is aggregated before it is shuffled. Steps are
-    written tables.
+    a hub with very many neighbours is aggregated before it is shuffled, until the edges
+    are stars. Steps are written tables.
     """
     e = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     e = scratch.keep(e.filter("a <> b").distinct(), f"{name}-0")
-    before, step = None, 0
+    step = 0
     while True:
+        nodes, wrong = _star_check(e)
+        if not wrong:
+            return e.select(F.col("a").alias("id"), F.col("b").alias("component"))
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         # Large star: every larger neighbour of a node points to the node's least neighbour.
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), "m")
-        large = large.filter("a <> m").distinct().withColumnRenamed("m", "b")
+        large = both.filter("b > a").join(few(least, nodes), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # Small star: a node and its smaller neighbours point to the least of them.
         floor = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(floor, "a").filter("b <> m").select(F.col("b").alias("a"), "m")
+        small = large.join(few(floor, nodes), "a").filter("b <> m").select(F.col("b").alias("a"), "m")
         small = small.union(floor.select("a", "m")).distinct().withColumnRenamed("m", "b")
         step += 1
         e = scratch.keep(small, f"{name}-{step}")
         scratch.drop(f"{name}-{step - 1}")
-        now = e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if now == before:
-            break
-        before = now
-    nodes = e.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    return nodes.union(e.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from matchlake.llm.common import WORD, Scratch, components, packed, row_key, unpacked
+from matchlake.llm.common import WORD, Scratch, components, few, packed, row_key, unpacked
 
 #: Probability with which two documents just at the threshold share no key, at most, and
 #: with which their sketches rule them out.
@@ -45,8 +45,8 @@ BITS = 1024
 LANES = BITS // 64
 #: Members of one key that one task compares with the others of the key.
 BLOCK = 1000
-#: Ids that are broadcast at most; beyond it they are joined by shuffle.
-BROADCAST_IDS = 300_000
+#: Rounds of hubs after the first go on while this share of the documents outside finds a link.
+GAIN = 0.05
 WORD_MEMORY = 200_000
 
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -201,10 +201,6 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * common >= percent * union).select("a", "b")
 
 
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else df
-
-
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -242,9 +238,9 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     shared = keyed.groupBy("key").count().filter("count > 1").select("key")
     met = scratch.keep(keyed.join(shared, "key"), "met")
     members = scratch.keep(met.select("id").distinct(), "members")
-    few = _small(members)
-    facts = scratch.keep(reps.join(few, "id", "left_semi").drop("digest", "keys"), "facts")
-    sets = shingle_sets(docs.join(few, "id", "left_semi"), width)
+    members = few(members, members.count())
+    facts = scratch.keep(reps.join(members, "id", "left_semi").drop("digest", "keys"), "facts")
+    sets = shingle_sets(docs.join(members, "id", "left_semi"), width)
     if not all_docs.filter("id is not null").groupBy("id").count().filter("count > 1").isEmpty():
         sets = sets.distinct()
     sets = scratch.keep(sets, "sets")
@@ -254,32 +250,32 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     links = _round(hubs.select("id", "hub").distinct(), facts, sets, percent)
     links = scratch.keep(links, "links-0")
 
-    step = 0
-    while True:
-        closed = scratch.keep(components(links, scratch, f"cc{step}"), f"closed-{step}")
-        rows = scratch.keep(_with_component(met, members, closed), f"rows-{step}")
+    closed, step, gained = components(links, scratch, "cc0"), 0, True
+    while gained:
+        rows = scratch.keep(_with_component(met, closed), f"rows-{step}")
         rest = scratch.keep(_outside(rows), f"rest-{step}")
         scratch.drop(f"rows-{step}")
         # A key within one component stays there: it need not be looked at again.
         met = rest.select("key", "id")
-        work, largest = rest.agg(F.sum("outside_rows"), F.count("*")).first()
+        outside = F.approx_count_distinct(F.when(F.col("outside"), F.col("id")))
+        work, largest, outside = rest.agg(F.sum("outside_rows"), F.count("*"), outside).first()
         if not largest:
             break
-        # Many documents outside: let them meet hubs of their own before all pairs count.
-        if step < 3 and (work or 0) > 4 * largest:
+        # What is closed is stars already; only new links are to be closed with them.
+        links, gained = closed.select(F.col("id").alias("a"), F.col("component").alias("b")), False
+        step += 1
+        # Many documents outside: let them meet hubs of their own before all pairs count, and
+        # go on so while that helps: else another round is as much work for as little.
+        if step <= 3 and (work or 0) > 4 * largest:
             out = rest.filter("outside")
             hub = out.groupBy("key").agg(F.min("id").alias("hub"))
             pairs = out.join(hub, "key").filter("id > hub").select("id", "hub").distinct()
-            more = _round(pairs, facts, sets, percent)
-            step += 1
-            links = scratch.keep(links.union(more).distinct(), f"links-{step}")
-            continue
-        pairs = scratch.keep(_across(rest, facts, percent), f"pairs-{step}")
-        more = _confirmed(pairs, sets, percent)
-        step += 1
-        links = scratch.keep(links.union(more), f"links-{step}")
-        closed = scratch.keep(components(links, scratch, f"cc{step}"), f"closed-{step}")
-        break
+            more = scratch.keep(_round(pairs, facts, sets, percent), f"links-{step}")
+            links, gained = links.union(more), more.count() >= GAIN * outside
+        if not gained:
+            pairs = scratch.keep(_across(rest, facts, percent), f"pairs-{step}")
+            links = links.union(scratch.keep(_confirmed(pairs, sets, percent), f"across-{step}"))
+        closed = components(links, scratch, f"cc{step}")
 
     found = reps.select("digest", "id").join(closed, "id", "left")
     found = found.select("digest", F.coalesce("component", "id").alias("component"))
@@ -297,9 +293,9 @@ def _round(pairs: DataFrame, facts: DataFrame, sets: DataFrame, percent: int) ->
     return _confirmed(near.select(F.col("id").alias("a"), "b"), sets, percent)
 
 
-def _with_component(met: DataFrame, members: DataFrame, closed: DataFrame) -> DataFrame:
-    known = members.join(closed, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
-    return met.join(known, "id")
+def _with_component(met: DataFrame, closed: DataFrame) -> DataFrame:
+    found = met.join(few(closed, closed.count()), "id", "left")
+    return found.select("key", "id", F.coalesce("component", "id").alias("component"))
 
 
 def _outside(rows: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from matchlake.llm import bitplanes, mixing, near_dedup, packing
-from matchlake.llm.common import Scratch
+from matchlake.llm.common import Scratch, components
 from matchlake.llm import tokens
 from matchlake.llm.tokens import Encoder, Memory
 
@@ -95,6 +95,31 @@ def test_sketch_keeps_pairs_of_unequal_size_at_the_threshold(spark, percent):
     assert dict(map(tuple, found)) == {"near": 7 * 80 * 2, "far": 0}
 
 
+def test_rounds_of_hubs_end_when_they_find_nothing(spark, monkeypatch):
+    # Many share keys by a long passage, but few are alike enough for a link.
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(d, " ".join(passage + [f"{d}x{i}" for i in range(14)])) for d in range(120)]
+    rows += [(500 + d, t + " more") for d, t in rows[:3]]
+    rounds, whole = [], near_dedup._round
+    monkeypatch.setattr(near_dedup, "_round", lambda *given: rounds.append(1) or whole(*given))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = near_dedup.near_duplicates(df, width=3, percent=85).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == plain_components(rows, 3, 85)
+    assert len(rounds) == 2
+
+
+def test_components_of_stars_take_no_step(spark, monkeypatch):
+    kept, keep = [], Scratch.keep
+    monkeypatch.setattr(Scratch, "keep", lambda self, df, name: kept.append(name) or keep(self, df, name))
+    scratch = Scratch(spark, "stars")
+    closed = lambda rows, name: dict(map(tuple, components(spark.createDataFrame(rows, "a long, b long"), scratch, name).collect()))
+    assert closed([(3, 1), (1, 2), (2, 1), (9, 7), (5, 5)], "star") == {3: 1, 2: 1, 9: 7}
+    assert kept == ["star-0"]
+    chain = [(i, i + 1) for i in range(1, 30)] + [(100, 40), (100, 41)]
+    assert closed(chain, "chain") == {i: 1 for i in range(2, 31)} | {41: 40, 100: 40}
+    assert closed([], "none") == {}
+
+
 def test_near_copies_of_odd_documents(odd_docs, no_docs):
     found = near_dedup.near_duplicates(odd_docs).collect()
     assert len(found) == odd_docs.count()
